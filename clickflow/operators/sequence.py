@@ -100,3 +100,86 @@ def count_window_tumbling(df: DataFrame, keys: Sequence[str], order: Sequence[st
     return (bucketed.groupBy(*keys, "win")
             .agg(F.count(F.lit(1)).alias(out), F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts"))
             .where(F.col(out) == size))
+
+
+def _carry_table(parts: DataFrame, keys: list[str], value: str, agg, out: str) -> DataFrame:
+    """Per (key, range partition): ``agg`` of ``value`` over the key's earlier
+    partitions.  Only pairs whose key started in an earlier partition have
+    one -- at most n - 1 rows, so the result is safe to broadcast."""
+    before = Window.partitionBy(*keys).orderBy(_RP).rowsBetween(Window.unboundedPreceding, -1)
+    renamed = [f"_cf_k{i}" for i in range(len(keys))]
+    return (parts.withColumn(out, agg(value).over(before))
+            .where(F.col(out).isNotNull())
+            .select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], F.col(_RP).alias("_cf_orp"), out))
+
+
+def _join_carry(df: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
+    renamed = [f"_cf_k{i}" for i in range(len(keys))]
+    cond = [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)] + [F.col(_RP) == F.col("_cf_orp")]
+    return df.join(F.broadcast(carry), on=cond, how="left").drop("_cf_orp", *renamed)
+
+
+def sessions(df: DataFrame, keys: Sequence[str], ts: str, gap, tiebreak: Sequence[str] = (),
+             out: str = "n", num_partitions: int | None = None) -> DataFrame:
+    """Session windows per key: (session_start, session_end, keys, n).
+
+    A row covers ``[ts, ts + gap)``; a row joins the open session unless it
+    starts after the latest end seen so far for its key (rows exactly one
+    gap apart join).  ``gap`` is a duration string or an interval column
+    (dynamic gap); rows with a gap that is not positive form no session.
+
+    Same result as grouping by ``session_window``, but a key is never handled
+    by one task: the key's ordered run is cut by range partitioning, each
+    piece is sessionised locally, and the latest end of the earlier pieces is
+    carried in through a broadcast table of at most n - 1 rows.  Pieces of one
+    session that straddle a cut are re-joined the same way.
+    """
+    keys, tiebreak = list(keys), list(tiebreak)
+    order = [ts, *tiebreak]
+    gap_col = F.expr(f"INTERVAL {gap}") if isinstance(gap, str) else gap
+    n = _num_partitions(df, num_partitions)
+    END, PREV, CARRY, SID = "_cf_end", "_cf_prev", "_cf_carry", "_cf_sid"
+
+    ends = df.select(*keys, *order, (F.col(ts) + gap_col).alias(END)).where(F.col(END) > F.col(ts))
+    ranged = ends.repartitionByRange(n, *_cols(keys), *_cols(order)).withColumn(_RP, F.spark_partition_id())
+
+    local = Window.partitionBy(*keys, _RP).orderBy(*_cols(order))
+    prev = ranged.withColumn(PREV, F.max(END).over(local.rowsBetween(Window.unboundedPreceding, -1)))
+    # Latest end of the key in earlier partitions.
+    carry = _carry_table(ranged.groupBy(*keys, _RP).agg(F.max(END).alias("_cf_pend")), keys, "_cf_pend", F.max,
+                         CARRY)
+    joined = _join_carry(prev, carry, keys)
+    last_end = F.greatest(F.col(PREV), F.col(CARRY))
+    starts = (last_end.isNull() | (F.col(ts) > last_end)).cast("long")
+    # Sessions started inside this piece; rows before the first start (sid 0)
+    # continue the session left open by an earlier piece.
+    numbered = joined.withColumn(SID, F.sum(starts).over(local.rowsBetween(Window.unboundedPreceding, 0)))
+    frags = (numbered.groupBy(*keys, _RP, SID)
+             .agg(F.min(ts).alias("_cf_s"), F.max(END).alias("_cf_e"), F.count(F.lit(1)).alias("_cf_c"))
+             .repartition(n, *_cols(keys), F.col(_RP)))
+
+    # For every piece that begins with a continuation, the piece that owns the
+    # open session: the latest earlier piece of the key with a start in it.
+    stats = frags.groupBy(*keys, _RP).agg(F.max(SID).alias("_cf_maxsid"), F.min(SID).alias("_cf_minsid"))
+    before = Window.partitionBy(*keys).orderBy(_RP).rowsBetween(Window.unboundedPreceding, -1)
+    owner = F.last(F.when(F.col("_cf_maxsid") > 0, F.struct(F.col(_RP).alias("rp"),
+                                                            F.col("_cf_maxsid").alias("sid"))),
+                   ignorenulls=True).over(before)
+    renamed = [f"_cf_k{i}" for i in range(len(keys))]
+    origin = (stats.withColumn("_cf_own", owner)
+              .where((F.col("_cf_minsid") == 0) & F.col("_cf_own").isNotNull())
+              .select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], F.col(_RP).alias("_cf_orp"),
+                      F.col("_cf_own.rp").alias("_cf_trp"), F.col("_cf_own.sid").alias("_cf_tsid")))
+    # Continuation pieces (at most n - 1) folded into their owner.
+    cond = [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)] + [F.col(_RP) == F.col("_cf_orp")]
+    conts = (frags.where(F.col(SID) == 0).join(F.broadcast(origin), on=cond, how="inner")
+             .groupBy(*renamed, "_cf_trp", "_cf_tsid")
+             .agg(F.max("_cf_e").alias("_cf_ce"), F.sum("_cf_c").alias("_cf_cc")))
+    cond2 = ([F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)]
+             + [F.col(_RP) == F.col("_cf_trp"), F.col(SID) == F.col("_cf_tsid")])
+    whole = frags.where(F.col(SID) > 0).join(F.broadcast(conts), on=cond2, how="left")
+    return whole.select(
+        F.col("_cf_s").alias("session_start"),
+        F.greatest(F.col("_cf_e"), F.col("_cf_ce")).alias("session_end"),
+        *keys,
+        (F.col("_cf_c") + F.coalesce(F.col("_cf_cc"), F.lit(0).cast("long"))).alias(out))

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickflow.operators.sequence import sessions
+
 
 def _counted(df: DataFrame, win: Column, keys: Sequence[str], prefix: str, out: str) -> DataFrame:
     agg = df.groupBy(win.alias("_cf_w"), *keys).agg(F.count(F.lit(1)).alias(out))
@@ -30,20 +32,27 @@ def sliding_counts(df: DataFrame, size: str, slide: str, keys: Sequence[str], ts
     return _counted(df, F.window(ts, size, slide), keys, "window", out)
 
 
-def session_counts(df: DataFrame, gap: str, keys: Sequence[str], ts: str = "ts", out: str = "n") -> DataFrame:
+def session_counts(df: DataFrame, gap: str, keys: Sequence[str], ts: str = "ts", out: str = "n",
+                   tiebreak: Sequence[str] = (), skew_safe: bool = True) -> DataFrame:
     """Sessions per key with a fixed gap; rows exactly one gap apart share a session.
 
-    Spark merges session fragments inside each task before the shuffle, so a
-    hot key arrives at the final merge already collapsed to fragments.
+    ``skew_safe`` (batch only) splits hot keys across tasks (see
+    ``sequence.sessions``).  Spark's own ``session_window`` aggregation --
+    used for streams and with ``skew_safe=False`` -- merges each key's
+    sessions in one task after the shuffle.
     """
+    if skew_safe and not df.isStreaming:
+        return sessions(df, keys, ts, gap, tiebreak, out)
     return _counted(df, F.session_window(ts, gap), keys, "session", out)
 
 
 def dynamic_session_counts(df: DataFrame, gap: Column, keys: Sequence[str], ts: str = "ts",
-                           out: str = "n") -> DataFrame:
+                           out: str = "n", tiebreak: Sequence[str] = (), skew_safe: bool = True) -> DataFrame:
     """Sessions whose gap comes from the row (``gap`` is an interval column).
 
     A row extends its session to ``ts + gap``; the next row joins it when it
     is not after that end.  Rows with a zero gap form no session.
     """
+    if skew_safe and not df.isStreaming:
+        return sessions(df, keys, ts, gap, tiebreak, out)
     return _counted(df, F.session_window(ts, gap), keys, "session", out)

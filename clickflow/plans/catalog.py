@@ -122,13 +122,14 @@ def sliding_user_counts(spark, sf_dir):
 
 
 def session_counts(spark, sf_dir):
-    return op.session_counts(_events(spark, sf_dir, "user_id", "ts"), SESSION_GAP, USER)
+    return op.session_counts(_events(spark, sf_dir, "user_id", "event_id", "ts"), SESSION_GAP, USER,
+                             tiebreak=["event_id"])
 
 
 def dynamic_session_counts(spark, sf_dir):
-    ev = _events(spark, sf_dir, "user_id", "event_type", "ts")
+    ev = _events(spark, sf_dir, "user_id", "event_id", "event_type", "ts")
     gap = F.make_interval(secs=F.length("event_type") * DYNAMIC_GAP_SECONDS_PER_CHAR)
-    return op.dynamic_session_counts(ev, gap, USER)
+    return op.dynamic_session_counts(ev, gap, USER, tiebreak=["event_id"])
 
 
 def topn_sliding(spark, sf_dir):
