@@ -59,3 +59,8 @@ def to_micros(duration: str | int) -> int:
 
 def seconds(duration: str | int) -> float:
     return to_micros(duration) / 1_000_000
+
+
+def ntz_from_millis(ms) -> Column:
+    """Epoch milliseconds -> TIMESTAMP_NTZ (UTC wall clock), time-zone free."""
+    return F.timestamp_add("MILLISECOND", _col(ms), F.expr(_EPOCH_NTZ))
