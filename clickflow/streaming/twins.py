@@ -40,8 +40,13 @@ def stream_topn_array(stream: DataFrame, size: str, slide: str, item: str, k: in
     k largest.  The second one fires when the watermark has passed the window,
     i.e. once all per-item counts of the window are in (the reference's timer
     at window start + 1 ms after the per-action results)."""
-    counts = stream_sliding_counts(stream, size, slide, [item], delay, ts)
-    return topn_array_stream(counts, k, ["window_start", "window_end"], item)
+    # Group the second aggregation on the window struct itself: it carries the
+    # event-time watermark, which plain start/end columns would lose.
+    counts = (with_event_time(stream, delay, ts)
+              .groupBy(F.window(ts, size, slide).alias("window"), item)
+              .agg(F.count(F.lit(1)).alias("n")))
+    top = topn_array_stream(counts, k, ["window"], item)
+    return top.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "top")
 
 
 def stream_session_counts(stream: DataFrame, gap, keys: Sequence[str], delay: str, ts: str = "ts") -> DataFrame:
@@ -63,15 +68,30 @@ def _sides(left: DataFrame, right: DataFrame, keys, delay, ts, lp, rp):
     return L, R, [F.col(k) == F.col("_cf_r_" + k) for k in keys]
 
 
+def _plain(col: str):
+    """Same instant without the watermark marker (one event-time column per side)."""
+    return F.timestamp_micros(F.unix_micros(F.col(col)))
+
+
 def stream_window_join(left: DataFrame, right: DataFrame, keys: Sequence[str], size: str, delay: str,
                        ts: str = "ts", lp: str = "app_", rp: str = "third_") -> DataFrame:
-    """Inner join on key and equal tumbling window (state evicted by watermark)."""
-    L, R, cond = _sides(left, right, keys, delay, ts, lp, rp)
-    L = L.withColumn("_cf_w", F.window(lp + ts, size))
-    R = R.withColumn("_cf_rw", F.window(rp + ts, size))
-    out = L.join(R, on=cond + [F.col("_cf_w") == F.col("_cf_rw")], how="inner")
-    rest = [c for c in out.columns if c not in keys and not c.startswith("_cf_")]
-    return out.select(*keys, F.col("_cf_w.start").alias("window_start"), F.col("_cf_w.end").alias("window_end"),
+    """Inner join on key and equal tumbling window.
+
+    The window struct is each side's event-time column, so the join state of
+    a window is evicted once both watermarks pass its end.
+    """
+    def side(df, prefix, key_alias):
+        w = with_event_time(df, delay, ts)
+        return w.select(*[F.col(k).alias(key_alias(k)) for k in keys],
+                        F.window(ts, size).alias(prefix + "w"),
+                        *[(_plain(c) if c == ts else F.col(c)).alias(prefix + c) for c in df.columns if c not in keys])
+
+    L = side(left, lp, lambda k: k)
+    R = side(right, rp, lambda k: "_cf_r_" + k)
+    cond = [F.col(k) == F.col("_cf_r_" + k) for k in keys] + [F.col(lp + "w") == F.col(rp + "w")]
+    out = L.join(R, on=cond, how="inner")
+    rest = [c for c in out.columns if c not in keys and not c.startswith("_cf_") and c not in (lp + "w", rp + "w")]
+    return out.select(*keys, F.col(lp + "w.start").alias("window_start"), F.col(lp + "w.end").alias("window_end"),
                       *rest)
 
 
