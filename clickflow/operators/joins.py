@@ -87,18 +87,21 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance:
               ts: str = "ts", left_prefix: str = "app_", right_prefix: str = "third_") -> DataFrame:
     """Pair each app row with every third-party row of the same key within
     +-tolerance (MATCHED); rows with no partner in range alert with the
-    missing side named.  Equal to a full outer interval join, built from one
-    inner and two anti joins so that the range stays part of the join key.
+    missing side named.  Equal to a full outer interval join, built from two
+    bucketed joins so that the range stays part of the join key: a left outer
+    join gives the pairs and the app rows without partner (each pair meets
+    in one bucket only, so nothing is duplicated), an anti join the
+    third-party rows without partner.
     """
     tol = to_micros(tolerance)
     L, R = _prefixed(left, keys, left_prefix), _prefixed(right, keys, right_prefix)
-    matched = _bucketed(L, R, keys, left_prefix + ts, right_prefix + ts, -tol, tol, "inner") \
-        .withColumn("status", F.lit(MATCHED))
-    left_only, right_only = _unmatched(left, right, keys, tol, ts, left_prefix, right_prefix)
-    left_only = left_only.withColumn("status", F.lit(MISSING_THIRD))
-    right_only = right_only.withColumn("status", F.lit(MISSING_APP))
-    return matched.unionByName(left_only, allowMissingColumns=True) \
-                  .unionByName(right_only, allowMissingColumns=True)
+    both = _bucketed(L, R.withColumn("_cf_hit", F.lit(True)), keys, left_prefix + ts, right_prefix + ts,
+                     -tol, tol, "left")
+    both = both.withColumn("status", F.when(F.col("_cf_hit"), F.lit(MATCHED)).otherwise(F.lit(MISSING_THIRD))) \
+               .drop("_cf_hit")
+    right_only = _bucketed(R, L, keys, right_prefix + ts, left_prefix + ts, -tol, tol, "left_anti") \
+        .withColumn("status", F.lit(MISSING_APP))
+    return both.unionByName(right_only, allowMissingColumns=True)
 
 
 def reconcile_alerts(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance: str | int = "5 seconds",

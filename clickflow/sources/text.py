@@ -16,6 +16,14 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that arrives in fewer splits than the cluster has
+    cores (e.g. one large row group), so CPU-heavy per-row work runs on all
+    of them.  A scan with enough splits is returned unchanged (no shuffle)."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def document_lines(documents: DataFrame, text_col: str = "text") -> DataFrame:
     """Every line of every document as ``value`` (whole texts, all lines)."""
-    return documents.select(F.explode(split_lines(text_col)).alias("value"))
+    return spread(documents.select(text_col)).select(F.explode(split_lines(text_col)).alias("value"))
