@@ -141,15 +141,32 @@ def window_join(left: DataFrame, right: DataFrame, keys: Sequence[str], size: st
 
 
 def window_cogroup(left: DataFrame, right: DataFrame, keys: Sequence[str], size: str, value: str,
-                   ts: str = "ts", left_out: str = "app_values", right_out: str = "third_values") -> DataFrame:
+                   ts: str = "ts", left_out: str = "app_values", right_out: str = "third_values",
+                   page_size: int | None = 10_000) -> DataFrame:
     """Per (key, tumbling window): the sorted values of both sides, emitted
-    even when one side is empty.  One aggregation over the tagged union, so it
-    also runs as a single stateful operator on streams.
+    even when one side is empty.
+
+    Batch (``page_size`` set): a group's values are cut into pages of at most
+    ``page_size`` values per side -- page p holds each side's values ranked
+    ``[p * page_size, (p + 1) * page_size)`` -- so no collected list is
+    unbounded even when one key and window hold a large share of the data.
+    Ranks come from the skew-safe ``keyed_row_number``.  Every group has page
+    0; all values are kept.
+
+    ``page_size=None``: one row per group, one aggregation over the tagged
+    union -- the form that also runs as a single stateful operator on streams.
     """
     tagged = (left.select(*keys, ts, F.col(value).alias("_cf_v"), F.lit(0).alias("_cf_side"))
               .unionByName(right.select(*keys, ts, F.col(value).alias("_cf_v"), F.lit(1).alias("_cf_side"))))
-    agg = tagged.groupBy(*keys, F.window(ts, size).alias("_cf_w")).agg(
-        F.array_sort(F.collect_list(F.when(F.col("_cf_side") == 0, F.col("_cf_v")))).alias(left_out),
-        F.array_sort(F.collect_list(F.when(F.col("_cf_side") == 1, F.col("_cf_v")))).alias(right_out))
-    return agg.select(*keys, F.col("_cf_w.start").alias("window_start"), F.col("_cf_w.end").alias("window_end"),
-                      left_out, right_out)
+    lists = [F.array_sort(F.collect_list(F.when(F.col("_cf_side") == 0, F.col("_cf_v")))).alias(left_out),
+             F.array_sort(F.collect_list(F.when(F.col("_cf_side") == 1, F.col("_cf_v")))).alias(right_out)]
+    if page_size is None or tagged.isStreaming:
+        agg = tagged.groupBy(*keys, F.window(ts, size).alias("_cf_w")).agg(*lists)
+        return agg.select(*keys, F.col("_cf_w.start").alias("window_start"), F.col("_cf_w.end").alias("window_end"),
+                          left_out, right_out)
+    from clickflow.operators.sequence import keyed_row_number
+    w = F.window(ts, size)
+    framed = tagged.select(*keys, w.start.alias("window_start"), w.end.alias("window_end"), "_cf_v", "_cf_side")
+    ranked = keyed_row_number(framed, [*keys, "window_start", "window_end", "_cf_side"], ["_cf_v"], "_cf_rank")
+    paged = ranked.withColumn("page", F.floor((F.col("_cf_rank") - 1) / page_size).cast("long"))
+    return paged.groupBy(*keys, "window_start", "window_end", "page").agg(*lists)

@@ -30,6 +30,7 @@ COUNT_TUMBLE = 10
 INTERVAL_LOWER, INTERVAL_UPPER = "-1 hour", "2 hours"
 JOIN_WINDOW = "1 day"
 COGROUP_WINDOW = "1 day"
+COGROUP_PAGE = 10_000
 RECONCILE_TOLERANCE = "1 hour"
 ROUTE_RULES = (("click", "tag1"), ("view", "tag2"))
 
@@ -155,9 +156,9 @@ def window_join(spark, sf_dir):
 
 def window_cogroup(spark, sf_dir):
     a, b = _pay(spark, sf_dir)
-    cg = op.window_cogroup(a, b, USER, COGROUP_WINDOW, "event_id")
+    cg = op.window_cogroup(a, b, USER, COGROUP_WINDOW, "event_id", page_size=COGROUP_PAGE)
     ids = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
-    return cg.select(*USER, "window_start", "window_end",
+    return cg.select(*USER, "window_start", "window_end", "page",
                      ids("app_values").alias("app_ids"), ids("third_values").alias("third_ids"))
 
 

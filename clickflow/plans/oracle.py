@@ -130,11 +130,14 @@ FROM {_APP} a JOIN {_THIRD} b
   ON a.user_id = b.user_id AND {_bucket('1 day', 'a.ts')} = {_bucket('1 day', 'b.ts')}
 """,
     "window_cogroup": f"""
-SELECT user_id, {_bucket('1 day')} AS window_start, {_bucket('1 day')} + INTERVAL '1 day' AS window_end,
+WITH t AS (SELECT user_id, {_bucket('1 day')} AS ws, event_id, event_type FROM events
+           WHERE event_type IN ('click', 'purchase')),
+r AS (SELECT *, (row_number() OVER (PARTITION BY user_id, ws, event_type ORDER BY event_id) - 1) // 10000 AS page
+      FROM t)
+SELECT user_id, ws AS window_start, ws + INTERVAL '1 day' AS window_end, page,
        coalesce(string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) FILTER (WHERE event_type = 'click'), '') AS app_ids,
        coalesce(string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) FILTER (WHERE event_type = 'purchase'), '') AS third_ids
-FROM events WHERE event_type IN ('click', 'purchase')
-GROUP BY 1, 2, 3
+FROM r GROUP BY user_id, ws, page
 """,
     "interval_join": f"""
 SELECT a.user_id, a.event_id AS app_event_id, a.ts AS app_ts, b.event_id AS third_event_id, b.ts AS third_ts

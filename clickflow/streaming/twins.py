@@ -101,7 +101,7 @@ def stream_window_cogroup(left: DataFrame, right: DataFrame, keys: Sequence[str]
     ``cogroup().applyInPandas``, which groups per micro-batch only)."""
     from clickflow.operators.joins import window_cogroup
     return window_cogroup(with_event_time(left, delay, ts), with_event_time(right, delay, ts), keys, size, value,
-                          ts)
+                          ts, page_size=None)
 
 
 def stream_interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], lower: str | int,

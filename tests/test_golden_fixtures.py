@@ -100,3 +100,13 @@ def test_unpivot_and_pairs(spark):
     ev = spark.createDataFrame([(7, "u1", "click", 1234)], "event_id long, user string, action string, times long")
     assert sorted(rows(op.unpivot_event(ev), "key", "value")) == [("action", "click"), ("times", "1234"), ("user", "u1")]
     assert rows(op.user_pairs(ev)) == [("u1", 1)]
+
+
+def test_cogroup_pages_keep_every_value(spark):
+    # one hot (key, window) with 25 left and 7 right values, pages of 10
+    left = spark.createDataFrame([("k", i * 10, i) for i in range(25)], "order_id string, ts long, v long")
+    right = spark.createDataFrame([("k", i * 10, 100 + i) for i in range(7)], "order_id string, ts long, v long")
+    got = op.window_cogroup(_ts(left), _ts(right), ["order_id"], "10 seconds", "v", page_size=10)
+    res = sorted((r.page, r.app_values, r.third_values) for r in got.collect())
+    assert res == [(0, list(range(10)), list(range(100, 107))), (1, list(range(10, 20)), []),
+                   (2, list(range(20, 25)), [])]
