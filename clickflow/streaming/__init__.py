@@ -5,13 +5,13 @@ stateful operators that need per-key state between micro-batches
 (``applyInPandasWithState``).
 """
 from clickflow.streaming.twins import (
-    with_event_time, stream_sliding_counts, stream_topn_array, stream_window_join, stream_window_cogroup,
+    with_event_time, with_processing_time, console, stream_sliding_counts, stream_topn_array, stream_window_join, stream_window_cogroup,
     stream_interval_join, stream_reconcile, stream_session_counts, stream_user_totals,
 )
 from clickflow.streaming.stateful import running_count_state, count_window_state, reconcile_state
 
 __all__ = [
-    "with_event_time", "stream_sliding_counts", "stream_topn_array", "stream_window_join",
+    "with_event_time", "with_processing_time", "console", "stream_sliding_counts", "stream_topn_array", "stream_window_join",
     "stream_window_cogroup", "stream_interval_join", "stream_reconcile", "stream_session_counts",
     "stream_user_totals", "running_count_state", "count_window_state", "reconcile_state",
 ]

@@ -25,6 +25,14 @@ def with_event_time(df: DataFrame, delay: str, ts: str = "ts") -> DataFrame:
     return df.withWatermark(ts, delay)
 
 
+def with_processing_time(df: DataFrame, out: str = "arrival_ts") -> DataFrame:
+    """Arrival-time column for processing-time windows (tumbling, sliding,
+    session): window on ``out`` instead of the event time.  Every row of a
+    micro-batch gets the batch's time, so such windows are per micro-batch
+    arrival, and a zero watermark on it closes them right away."""
+    return df.withColumn(out, F.current_timestamp()).withWatermark(out, "0 seconds")
+
+
 def _interval(micros: int):
     return F.expr(f"INTERVAL {micros} MICROSECONDS") if micros >= 0 else -F.expr(f"INTERVAL {-micros} MICROSECONDS")
 
@@ -54,6 +62,12 @@ def stream_session_counts(stream: DataFrame, gap, keys: Sequence[str], delay: st
     return _counted(with_event_time(stream, delay, ts), F.session_window(ts, gap), keys, "session", "n")
 
 
+def console(df: DataFrame, label: str | None = None, mode: str = "append", truncate: bool = False):
+    """Print a stream's rows (optionally tagged with a label column) to stdout."""
+    out = df.select(F.lit(label).alias("label"), "*") if label else df
+    return out.writeStream.format("console").outputMode(mode).option("truncate", truncate).start()
+
+
 def stream_user_totals(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Latest total per key; run in ``update`` mode to emit changed keys per batch."""
     return stream.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

@@ -157,3 +157,16 @@ def test_late_row_is_dropped(spark):
            for r in _ntz(got, "window_start").collect()}
     assert got[(0, "click")] == 2        # the late click is not counted
     assert got[(0, "view")] == 1 and got[(5, "view")] == 2   # views at 5 s and 14 s
+
+
+def test_processing_time_windows_and_update_totals(spark, event_dir):
+    folder, pdf = event_dir
+    s = st.with_processing_time(_stream(spark, folder))
+    # Processing-time windows close only when later arrivals move the
+    # watermark, so read them in update mode: the last count of each window.
+    tumbling = run_to_memory(op.tumbling_counts(s, "5 seconds", ["user_id"], ts="arrival_ts"), mode="update")
+    last = tumbling.groupBy("window_start", "user_id").agg(F.max("n").alias("n"))
+    assert last.agg(F.sum("n")).first()[0] == len(pdf)   # every row in exactly one arrival window
+    totals = run_to_memory(st.stream_user_totals(_stream(spark, folder), ["user_id"]), mode="update")
+    final = totals.groupBy("user_id").agg(F.max("n").alias("n"))
+    assert dict(rows(final)) == {int(k): int(v) for k, v in pdf.groupby("user_id").size().items()}
