@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickflow.session import ensure_checkpoint_dir
+
 _RP, _LRN, _CNT, _OFF = "_cf_rp", "_cf_lrn", "_cf_cnt", "_cf_off"
 
 
@@ -155,8 +157,12 @@ def sessions(df: DataFrame, keys: Sequence[str], ts: str, gap, tiebreak: Sequenc
     # continue the session left open by an earlier piece.
     numbered = joined.withColumn(SID, F.sum(starts).over(local.rowsBetween(Window.unboundedPreceding, 0)))
     frags = (numbered.groupBy(*keys, _RP, SID)
-             .agg(F.min(ts).alias("_cf_s"), F.max(END).alias("_cf_e"), F.count(F.lit(1)).alias("_cf_c"))
-             .repartition(n, *_cols(keys), F.col(_RP)))
+             .agg(F.min(ts).alias("_cf_s"), F.max(END).alias("_cf_e"), F.count(F.lit(1)).alias("_cf_c")))
+    # Three consumers below need different columns of the fragments, so Spark
+    # would re-run the shuffle and windows for each.  Write them once to the
+    # shared checkpoint folder instead (this also cuts the lineage).
+    ensure_checkpoint_dir(df.sparkSession)
+    frags = frags.checkpoint(eager=True)
 
     # For every piece that begins with a continuation, the piece that owns the
     # open session: the latest earlier piece of the key with a start in it.
