@@ -118,32 +118,52 @@ def stream_window_cogroup(left: DataFrame, right: DataFrame, keys: Sequence[str]
                           ts, page_size=None)
 
 
+def _bucketed_stream_join(L: DataFrame, R: DataFrame, keys, cond, lt: str, rt: str, lo: int, hi: int,
+                          how: str) -> DataFrame:
+    """Stream-stream join of ``L``/``R`` (already prefixed, right keys renamed)
+    where rt - lt is in [lo, hi] micros, with a time bucket in the equi-key so
+    a hot key's state is spread over (key, bucket) partitions.  The range
+    condition on the event-time columns bounds the state as before."""
+    width = max(hi - lo, 1)
+    L2 = L.withColumn("_cf_b", F.floor(F.unix_micros(F.col(lt)) / width))
+    rus = F.unix_micros(F.col(rt))
+    R2 = R.withColumn("_cf_rb", F.explode(F.sequence(F.floor((rus - hi) / width), F.floor((rus - lo) / width))))
+    rng = F.col(rt).between(F.col(lt) + _interval(lo), F.col(lt) + _interval(hi))
+    return L2.join(R2, on=cond + [F.col("_cf_b") == F.col("_cf_rb"), rng], how=how).drop("_cf_b", "_cf_rb")
+
+
 def stream_interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], lower: str | int,
                          upper: str | int, delay: str, ts: str = "ts", lp: str = "app_",
                          rp: str = "third_") -> DataFrame:
     """right.ts in [left.ts + lower, left.ts + upper]; the range bounds the join state."""
     lo, hi = to_micros(lower), to_micros(upper)
     L, R, cond = _sides(left, right, keys, delay, ts, lp, rp)
-    rng = F.col(rp + ts).between(F.col(lp + ts) + _interval(lo), F.col(lp + ts) + _interval(hi))
-    out = L.join(R, on=cond + [rng], how="inner")
+    out = _bucketed_stream_join(L, R, keys, cond, lp + ts, rp + ts, lo, hi, "inner")
     return out.drop(*["_cf_r_" + k for k in keys])
 
 
 def stream_reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance: str | int,
                      delay: str = "0 seconds", ts: str = "ts", lp: str = "app_", rp: str = "third_") -> DataFrame:
-    """Two-stream reconciliation as a full outer range join.
-
-    A pair within +-tolerance is emitted as soon as both rows are in; a row
-    without partner is emitted (as an alert naming the missing side) once the
-    watermark passes its time + tolerance -- the reference's 5 s timer.
+    """Two-stream reconciliation: pairs within +-tolerance and missing-partner alerts.
+
+    Two bucketed left outer joins (streams have no anti join): app rows
+    against third-party rows gives the pairs and the app rows without
+    partner; third-party rows against app rows, keeping only the rows
+    without partner, gives the rest.  A pair is emitted as soon as both rows
+    are in; an alert once the watermark passes the row's time + tolerance --
+    the reference's 5 s timer.
     """
     tol = to_micros(tolerance)
     L, R, cond = _sides(left, right, keys, delay, ts, lp, rp)
-    rng = F.col(rp + ts).between(F.col(lp + ts) - _interval(tol), F.col(lp + ts) + _interval(tol))
-    out = L.join(R, on=cond + [rng], how="full_outer")
-    a_id, b_id = F.col(lp + ts), F.col(rp + ts)
-    status = (F.when(a_id.isNotNull() & b_id.isNotNull(), F.lit(MATCHED))
-              .when(b_id.isNull(), F.lit(MISSING_THIRD)).otherwise(F.lit(MISSING_APP)))
-    key_cols = [F.coalesce(F.col(k), F.col("_cf_r_" + k)).alias(k) for k in keys]
-    rest = [c for c in out.columns if c not in keys and not c.startswith("_cf_r_")]
-    return out.select(*key_cols, *rest, status.alias("status"))
+    R = R.withColumn("_cf_hit", F.lit(True))
+    ab = _bucketed_stream_join(L, R, keys, cond, lp + ts, rp + ts, -tol, tol, "left_outer")
+    ab = ab.select(*keys, *[c for c in L.columns if c not in keys], *[c for c in R.columns if c.startswith(rp)],
+                   F.when(F.col("_cf_hit"), F.lit(MATCHED)).otherwise(F.lit(MISSING_THIRD)).alias("status"))
+    # Third-party side first: swap roles, keep rows that found no app partner.
+    R2, L2, cond2 = _sides(right, left, keys, delay, ts, rp, lp)
+    L2 = L2.withColumn("_cf_hit", F.lit(True))
+    ba = _bucketed_stream_join(R2, L2, keys, cond2, rp + ts, lp + ts, -tol, tol, "left_outer")
+    ba = ba.where(F.col("_cf_hit").isNull()).select(
+        *keys, *[F.lit(None).cast(L.schema[c].dataType).alias(c) for c in L.columns if c not in keys],
+        *[c for c in R2.columns if c not in keys], F.lit(MISSING_APP).alias("status"))
+    return ab.unionByName(ba)

@@ -170,3 +170,17 @@ def test_processing_time_windows_and_update_totals(spark, event_dir):
     totals = run_to_memory(st.stream_user_totals(_stream(spark, folder), ["user_id"]), mode="update")
     final = totals.groupBy("user_id").agg(F.max("n").alias("n"))
     assert dict(rows(final)) == {int(k): int(v) for k, v in pdf.groupby("user_id").size().items()}
+
+
+def test_stream_reconcile_fixture_equals_batch(spark):
+    batch = [(1, 1000, 1, "click", 0.0, ""), (2, 2000, 2, "click", 0.0, ""), (3, 3000, 3, "click", 0.0, ""),
+             (4, 10000, 3, "purchase", 0.0, ""), (5, 3000, 1, "purchase", 0.0, ""),
+             (6, 4000, 2, "purchase", 0.0, ""), (7, 5000, 6, "purchase", 0.0, "")]
+    sentinel = [(98, 10_000_000, 98, "click", 0.0, ""), (97, 10_000_000, 98, "purchase", 0.0, "")]
+    folder = _payments_dir([batch, sentinel, [(96, 20_000_000, 96, "view", 0.0, "")]])
+    s = stream_events(spark, folder, max_files=1)
+    got = run_to_memory(st.stream_reconcile(app_side(s), third_side(s), ["user_id"], "5 seconds"))
+    res = sorted(((r.user_id, r.app_event_id or -1, r.third_event_id or -1, r.status) for r in got.collect()
+                  if r.user_id < 90))
+    assert res == [(1, 1, 5, "MATCHED"), (2, 2, 6, "MATCHED"), (3, -1, 4, "MISSING_APP"),
+                   (3, 3, -1, "MISSING_THIRD"), (6, -1, 7, "MISSING_APP")]
