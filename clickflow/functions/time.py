@@ -47,6 +47,18 @@ def event_time(ts) -> Column:
     return F.timestamp_micros(epoch_micros(ts))
 
 
+def millis_of(df, col: str) -> Column:
+    """Epoch milliseconds of a time column of ``df``, whatever its type:
+    TIMESTAMP_NTZ (driver tables), TIMESTAMP (streams) or epoch-ms numbers."""
+    from pyspark.sql import types as T
+    dt = df.schema[col].dataType
+    if isinstance(dt, T.TimestampNTZType):
+        return epoch_millis(col)
+    if isinstance(dt, T.TimestampType):
+        return F.unix_millis(F.col(col))
+    return F.col(col).cast("long")
+
+
 def to_micros(duration: str | int) -> int:
     """'2 hours' / '5 seconds' / 1500 (ms) -> microseconds."""
     if isinstance(duration, int):

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.functions.time import epoch_millis
+from clickflow.functions.time import millis_of
 
 # Driver event mapping: the app side of a payment pair is a click, the
 # third-party side a purchase (both keyed by user).
@@ -34,7 +34,7 @@ def as_click_events(events: DataFrame) -> DataFrame:
         "event_id",
         F.col("user_id").cast("string").alias("user"),
         F.col("event_type").alias("action"),
-        epoch_millis("ts").alias("times"),
+        millis_of(events, "ts").alias("times"),
     )
 
 

@@ -184,3 +184,15 @@ def test_stream_reconcile_fixture_equals_batch(spark):
                   if r.user_id < 90))
     assert res == [(1, 1, 5, "MATCHED"), (2, 2, 6, "MATCHED"), (3, -1, 4, "MISSING_APP"),
                    (3, 3, -1, "MISSING_THIRD"), (6, -1, 7, "MISSING_APP")]
+
+
+def test_event_scan_stream_equals_batch_in_any_time_zone(spark, event_dir, batch_events):
+    from clickflow.sources import as_click_events
+    folder, _ = event_dir
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        got = run_to_memory(as_click_events(_stream(spark, folder)))
+        assert rows(got) == rows(as_click_events(batch_events))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
