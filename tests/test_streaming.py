@@ -196,3 +196,22 @@ def test_event_scan_stream_equals_batch_in_any_time_zone(spark, event_dir, batch
         assert rows(got) == rows(as_click_events(batch_events))
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_topn_stream_click_fixture_edges_ties_late(spark):
+    """10 s / 5 s windows, 3 s delay, top 2 by count desc then action asc."""
+    click, view, buy, count, duck, blah = "点击", "浏览", "买东西", "数数", "数鸭子", "阿巴阿巴"
+    e = lambda ms, eid, a: (eid, ms, 1, a, 0.0, "")
+    folder = _payments_dir([
+        [e(0, 1, click), e(4999, 2, view), e(5000, 3, click), e(9999, 4, view)],
+        [e(10000, 5, buy), e(12000, 6, buy), e(13000, 7, count)],
+        [e(14000, 8, count), e(50000, 9, duck)],       # spacer, moves the watermark to 47 s
+        [e(2000, 10, click)],                          # late for [-5,5) and [0,10): dropped
+        [e(100000, 11, blah)],                         # sentinel closes everything up to 97 s
+    ])
+    s = stream_events(spark, folder, max_files=1)
+    got = run_to_memory(st.stream_topn_array(s, "10 seconds", "5 seconds", "event_type", 2, "3 seconds"))
+    res = sorted((int(r.window_start.timestamp()) if r.window_start.year >= 1970 else -5, r.t)
+                 for r in got.select("window_start", op.render_top("top").alias("t")).collect())
+    assert res == [(-5, f"{view}:1,{click}:1"), (0, f"{view}:2,{click}:2"), (5, f"{buy}:2,{count}:2"),
+                   (10, f"{buy}:2,{count}:2"), (45, f"{duck}:1"), (50, f"{duck}:1")]
