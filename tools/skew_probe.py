@@ -40,9 +40,10 @@ def main() -> None:
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
-    from clickflow.operators import running_count
+    from clickflow.operators import running_count, session_counts
     from clickflow.session import build_session
-    spark = build_session("local[8]", 16, extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir})
+    spark = build_session("local[8]", 16, extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+                                                         "spark.driver.memory": os.environ.get("PROBE_MEM", "8g")})
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "ts")
     n = ev.count()
     skewed = (ev.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
@@ -58,10 +59,11 @@ def main() -> None:
     hot = df.where("user_id = 0").count()
     print(f"rows={total} hot_user_rows={hot} ({hot / total:.0%})")
 
-    def timed(label, out):
+    def timed(label, build):
+        """Build (plans may run eager steps, e.g. checkpoints) and run, all timed."""
         before = set(task_times(log_dir))
         t = time.perf_counter()
-        out.write.format("noop").mode("overwrite").save()
+        build().write.format("noop").mode("overwrite").save()
         wall = time.perf_counter() - t
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
         stages = {k: v for k, v in task_times(log_dir).items() if k not in before}
@@ -71,9 +73,14 @@ def main() -> None:
 
     plain = df.withColumn("n", F.count(F.lit(1)).over(
         Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)))
-    for _ in range(2):
-        timed("plain", plain)
-        timed("skew-safe", running_count(df, ["user_id"], ["ts", "event_id"]))
+    only = os.environ.get("PROBE_ONLY", "")
+    for _ in range(2 if only in ("", "rows") else 0):
+        timed("plain", lambda: plain)
+        timed("skew-safe", lambda: running_count(df, ["user_id"], ["ts", "event_id"]))
+    # Sessions: Spark's session_window aggregation vs the piecewise sessions.
+    for _ in range(2 if only in ("", "sessions") else 0):
+        timed("sess-plain", lambda: session_counts(df, "30 minutes", ["user_id"], skew_safe=False))
+        timed("sess-safe", lambda: session_counts(df, "30 minutes", ["user_id"], tiebreak=["event_id"]))
     spark.stop()
 
 
