@@ -215,3 +215,26 @@ def test_topn_stream_click_fixture_edges_ties_late(spark):
                  for r in got.select("window_start", op.render_top("top").alias("t")).collect())
     assert res == [(-5, f"{view}:1,{click}:1"), (0, f"{view}:2,{click}:2"), (5, f"{buy}:2,{count}:2"),
                    (10, f"{buy}:2,{count}:2"), (45, f"{duck}:1"), (50, f"{duck}:1")]
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_out_of_order_within_delay_gives_same_result(spark, batch_events, seed):
+    """SURVEY 5(d): rows shuffled inside files and the tail of each file moved
+    to the next micro-batch (delay 30 min < watermark delay 1 h): the closed
+    windows equal the batch result."""
+    pdf = pd.read_parquet(f"{SF001}/events.parquet").sort_values(["ts", "event_id"], ignore_index=True)
+    pdf["ts"] = pdf["ts"].astype("datetime64[us]")
+    chunks = [pdf.iloc[j * len(pdf) // 4:(j + 1) * len(pdf) // 4].copy() for j in range(4)]
+    for j in range(3):
+        tail = chunks[j]["ts"] > chunks[j]["ts"].max() - pd.Timedelta(minutes=30)
+        chunks[j + 1] = pd.concat([chunks[j][tail], chunks[j + 1]])
+        chunks[j] = chunks[j][~tail]
+    chunks = [c.sample(frac=1.0, random_state=seed) for c in chunks]
+    folder = write_batches(tempfile.mkdtemp(prefix="cf-ooo-"), chunks)
+    got = run_to_memory(st.stream_sliding_counts(_stream(spark, folder), "2 hours", "1 hour", ["user_id"], "1 hour"))
+    got = _ntz(got, "window_start", "window_end")
+    closed = pdf["ts"].max() - pd.Timedelta(hours=1)
+    want = op.sliding_counts(batch_events, "2 hours", "1 hour", ["user_id"]).where(
+        F.col("window_end") <= F.lit(closed).cast("timestamp_ntz"))
+    assert got.count() > 0
+    assert rows(got) == rows(want.select(*got.columns))
