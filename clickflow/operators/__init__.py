@@ -4,7 +4,8 @@ from clickflow.operators.transforms import (
     merge_routed, FIRST_PREFIX, SECOND_PREFIX,
 )
 from clickflow.operators.sequence import (
-    keyed_row_number, running_count, count_window_sliding, count_window_tumbling,
+    keyed_row_number, keyed_prefix_sums, running_count, running_sum,
+    count_window_sliding, count_window_tumbling,
 )
 from clickflow.operators.windows import (
     tumbling_counts, sliding_counts, session_counts, dynamic_session_counts,
@@ -17,7 +18,8 @@ from clickflow.operators.joins import (
 __all__ = [
     "tokenize", "word_count", "unpivot_event", "user_pairs", "event_text", "route", "branch", "merge_tagged",
     "merge_routed", "FIRST_PREFIX", "SECOND_PREFIX",
-    "keyed_row_number", "running_count", "count_window_sliding", "count_window_tumbling",
+    "keyed_row_number", "keyed_prefix_sums", "running_count", "running_sum",
+    "count_window_sliding", "count_window_tumbling",
     "tumbling_counts", "sliding_counts", "session_counts", "dynamic_session_counts",
     "topn_rows", "topn_array", "topn_array_stream", "render_top",
     "interval_join", "reconcile", "reconcile_alerts", "window_join", "window_cogroup",

@@ -37,33 +37,58 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "rn",
-                     num_partitions: int | None = None) -> DataFrame:
-    """1-based position of each row within its key, ordered by ``order``.
-
-    ``order`` must be a total order inside a key (e.g. ``(ts, event_id)``) for
-    the numbering to be deterministic.
+def keyed_prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict,
+                      num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums per key in ``order``: ``{out: value column}``.
+
+    Each value is summed inside its (key, range piece) by a window; the
+    totals of the key's earlier pieces are added from a broadcast table that
+    has a row only for pieces whose key started in an earlier piece -- at
+    most n - 1 rows.  ``order`` must be a total order inside a key.
     """
     keys, order = list(keys), list(order)
     n = _num_partitions(df, num_partitions)
-    ranged = df.repartitionByRange(n, *_cols(keys), *_cols(order)).withColumn(_RP, F.spark_partition_id())
+    vals = {o: (F.col(v) if isinstance(v, str) else v) for o, v in sums.items()}
+    tmp = {o: f"_cf_v{i}" for i, o in enumerate(vals)}
+    base = df.select("*", *[v.alias(tmp[o]) for o, v in vals.items()])
+    ranged = base.repartitionByRange(n, *_cols(keys), *_cols(order)).withColumn(_RP, F.spark_partition_id())
 
-    local = ranged.withColumn(
-        _LRN, F.row_number().over(Window.partitionBy(*keys, _RP).orderBy(*_cols(order))).cast("long"))
+    piece = Window.partitionBy(*keys, _RP).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.select("*", *[F.sum(t).over(piece).alias(t + "_l") for t in tmp.values()])
 
-    sizes = ranged.groupBy(*keys, _RP).agg(F.count(F.lit(1)).alias(_CNT))
+    totals = ranged.groupBy(*keys, _RP).agg(F.count(F.lit(1)).alias(_CNT),
+                                            *[F.sum(t).alias(t + "_t") for t in tmp.values()])
     before = Window.partitionBy(*keys).orderBy(_RP).rowsBetween(Window.unboundedPreceding, -1)
     renamed = [f"_cf_k{i}" for i in range(len(keys))]
-    offsets = (sizes.withColumn(_OFF, F.sum(_CNT).over(before))
-               .where(F.col(_OFF) > 0)
-               .select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)],
-                       F.col(_RP).alias("_cf_orp"), _OFF))
+    offsets = (totals.select("*", F.sum(_CNT).over(before).alias(_OFF),
+                             *[F.sum(t + "_t").over(before).alias(t + "_o") for t in tmp.values()])
+               .where(F.col(_OFF) > 0)          # the key has an earlier piece
+               .select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], F.col(_RP).alias("_cf_orp"),
+                       *[t + "_o" for t in tmp.values()]))
     # At most n - 1 rows (one per partition boundary): safe to broadcast.
-    cond = [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)]
-    cond.append(F.col(_RP) == F.col("_cf_orp"))
+    cond = [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)] + [F.col(_RP) == F.col("_cf_orp")]
     joined = local.join(F.broadcast(offsets), on=cond, how="left")
-    return (joined.withColumn(out, F.col(_LRN) + F.coalesce(F.col(_OFF), F.lit(0).cast("long")))
-            .drop(_RP, _LRN, _OFF, "_cf_orp", *renamed))
+    def total(t):
+        # SQL running-sum semantics: null until the key's first non-null value.
+        loc, off = F.col(t + "_l"), F.col(t + "_o")
+        return F.when(loc.isNull() & off.isNull(), F.lit(None)).otherwise(
+            F.coalesce(loc, F.lit(0)) + F.coalesce(off, F.lit(0)))
+    outs = [total(t).alias(o) for o, t in tmp.items()]
+    return joined.select(*df.columns, *outs)
+
+
+def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "rn",
+                     num_partitions: int | None = None) -> DataFrame:
+    """1-based position of each row within its key, ordered by ``order``
+    (a running sum of ones)."""
+    return keyed_prefix_sums(df, keys, order, {out: F.lit(1).cast("long")}, num_partitions)
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str = "total",
+                num_partitions: int | None = None) -> DataFrame:
+    """Keyed running reduce summing ``value``: every row emits its key's new total
+    (the reference's keyed reduce adds the tuple's second field)."""
+    return keyed_prefix_sums(df, keys, order, {out: value}, num_partitions)
 
 
 def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "n",

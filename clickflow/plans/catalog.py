@@ -86,6 +86,13 @@ def running_count(spark, sf_dir):
     return op.running_count(_events(spark, sf_dir, "user_id", "event_id", "ts"), USER, SEQ_ORDER)
 
 
+def running_value_sum(spark, sf_dir):
+    ev = _events(spark, sf_dir, "user_id", "event_id", "ts", "value")
+    ev = ev.withColumn("value", F.col("value").cast("decimal(18,2)"))
+    out = op.running_sum(ev, USER, SEQ_ORDER, "value", "total")
+    return out.select("user_id", "event_id", "ts", F.col("total").cast("decimal(38,2)").alias("total"))
+
+
 def count_window_sliding(spark, sf_dir):
     size, slide = COUNT_SLIDE
     return op.count_window_sliding(_events(spark, sf_dir, "user_id", "event_id", "ts"), USER, SEQ_ORDER,
@@ -184,6 +191,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count": word_count,
     "user_totals": user_totals,
     "running_count": running_count,
+    "running_value_sum": running_value_sum,
     "event_scan": event_scan,
     "event_unpivot": event_unpivot,
     "user_pairs": user_pairs,

@@ -55,6 +55,12 @@ SELECT word, count(*) AS n FROM toks GROUP BY word
     "running_count": f"""
 SELECT user_id, event_id, ts, count(*) OVER ({_SEQ} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n
 FROM events
+""",
+    "running_value_sum": f"""
+SELECT user_id, event_id, ts,
+       CAST(sum(CAST(value AS DECIMAL(18, 2))) OVER ({_SEQ} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS DECIMAL(38, 2)) AS total
+FROM events
 """,
     "event_scan": f"""
 SELECT event_id, CAST(user_id AS VARCHAR) AS "user", event_type AS action, {_MS} AS times FROM events

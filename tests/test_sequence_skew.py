@@ -55,3 +55,12 @@ def test_sessions_match_session_window(skewed, parts, dynamic):
     got = seq.sessions(skewed, ["k"], "ts", gap, ["id"], num_partitions=parts)
     want = _counted(skewed, F.session_window("ts", gap), ["k"], "session", "n")
     assert rows(got) == rows(want.select(*got.columns))
+
+
+@pytest.mark.parametrize("parts", [1, 9, 64])
+def test_running_sum_with_nulls_matches_window(skewed, parts):
+    df = skewed.withColumn("v", F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("ms") % 1000))
+    got = seq.running_sum(df, ["k"], ["ts", "id"], "v", "total", num_partitions=parts)
+    want = df.withColumn("total", F.sum("v").over(
+        Window.partitionBy("k").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)))
+    assert rows(got, "k", "id", "total") == rows(want, "k", "id", "total")
