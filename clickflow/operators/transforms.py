@@ -75,16 +75,17 @@ def merge_tagged(first: DataFrame, second: DataFrame, text_col: str = "value",
     return a.unionByName(b)
 
 
-def merge_routed(routed: DataFrame, prefixes: dict[str, str], text_col: str = "value",
-                 route_col: str = "route", out: str = "value") -> DataFrame:
-    """``merge_tagged`` for branches that live in one routed DataFrame.
+def merge_routed(df: DataFrame, branches: Sequence[tuple[Column, str]], text_col: str = "value",
+                 out: str = "value") -> DataFrame:
+    """``merge_tagged`` for branches of one DataFrame, in one scan.
 
-    Same rows as filtering each branch and unioning them, in one scan: the
-    prefix is chosen per row and the other branches are filtered away.
+    ``branches`` are (condition, prefix) pairs in routing order: a row goes to
+    the first branch whose condition holds (as ``route`` decides).  Rows of
+    no listed branch are filtered out by the conditions themselves, so the
+    filter reaches the scan (e.g. ``event_type IN (...)`` in parquet).
     """
-    prefix = None
-    for tag, p in prefixes.items():
-        cond = F.col(route_col) == F.lit(tag)
+    prefix, keep = None, None
+    for cond, p in branches:
         prefix = F.when(cond, F.lit(p)) if prefix is None else prefix.when(cond, F.lit(p))
-    return (routed.where(F.col(route_col).isin(list(prefixes)))
-            .select(F.concat(prefix, F.col(text_col)).alias(out)))
+        keep = cond if keep is None else (keep | cond)
+    return df.where(keep).select(F.concat(prefix, F.col(text_col)).alias(out))

@@ -73,9 +73,10 @@ def route_events(spark, sf_dir):
 
 
 def merge_tagged(spark, sf_dir):
+    """The two side-output branches (tag1, tag2) merged with their prefixes; main is dropped."""
     texted = op.event_text(as_click_events(_events(spark, sf_dir)))
-    routed = op.route(texted, [(F.col("action") == t, tag) for t, tag in ROUTE_RULES])
-    return op.merge_routed(routed, {"tag1": op.FIRST_PREFIX, "tag2": op.SECOND_PREFIX})
+    prefixes = {"tag1": op.FIRST_PREFIX, "tag2": op.SECOND_PREFIX}
+    return op.merge_routed(texted, [(F.col("action") == t, prefixes[tag]) for t, tag in ROUTE_RULES])
 
 
 def user_totals(spark, sf_dir):

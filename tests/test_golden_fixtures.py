@@ -92,8 +92,9 @@ def test_route_and_merge(spark):
     merged = [r[0] for r in op.merge_tagged(op.branch(routed, "tag1"), op.branch(routed, "tag2")).collect()]
     assert sorted(merged) == sorted([op.FIRST_PREFIX + "{user='ZhangJiaqi', action='a', times=1}",
                                      op.SECOND_PREFIX + "{user='LiYang', action='b', times=2}"])
-    assert sorted(merged) == sorted(r[0] for r in op.merge_routed(routed, {"tag1": op.FIRST_PREFIX,
-                                                                           "tag2": op.SECOND_PREFIX}).collect())
+    one_scan = op.merge_routed(routed, [(F.col("user") == "ZhangJiaqi", op.FIRST_PREFIX),
+                                        (F.col("user") == "LiYang", op.SECOND_PREFIX)])
+    assert sorted(merged) == sorted(r[0] for r in one_scan.collect())
 
 
 def test_unpivot_and_pairs(spark):
