@@ -28,9 +28,13 @@ def split_lines(text) -> Column:
     return F.split(_col(text), "\n")
 
 
+# Fixed value: the click event's text form, {user='u', action='a', times=123}.
+EVENT_FORMAT = "{user='%s', action='%s', times=%d}"
+
+
 def event_string(user, action, times) -> Column:
-    """The click event's text form: {user='u', action='a', times=123}."""
-    return F.format_string("{user='%s', action='%s', times=%d}", _col(user), _col(action), _col(times))
+    """The click event's text form."""
+    return F.format_string(EVENT_FORMAT, _col(user), _col(action), _col(times))
 
 
 def pair_string(a, b) -> Column:

@@ -47,7 +47,13 @@ def stream_topn_array(stream: DataFrame, size: str, slide: str, item: str, k: in
     """Two chained aggregations: per (window, item) counts, then per window the
     k largest.  The second one fires when the watermark has passed the window,
     i.e. once all per-item counts of the window are in (the reference's timer
-    at window start + 1 ms after the per-action results)."""
+    at window start + 1 ms after the per-action results).
+
+    The list per window has one entry per distinct item of the window, as the
+    reference's list state does: Spark accepts neither ``row_number`` nor
+    ``applyInPandasWithState`` (append mode) after a streaming aggregation,
+    so a bounded top-k fold is not available here.
+    """
     # Group the second aggregation on the window struct itself: it carries the
     # event-time watermark, which plain start/end columns would lose.
     counts = (with_event_time(stream, delay, ts)
