@@ -111,3 +111,11 @@ def test_cogroup_pages_keep_every_value(spark):
     res = sorted((r.page, r.app_values, r.third_values) for r in got.collect())
     assert res == [(0, list(range(10)), list(range(100, 107))), (1, list(range(10, 20)), []),
                    (2, list(range(20, 25)), [])]
+
+
+def test_word_count_from_text_file(spark, tmp_path):
+    from clickflow.sources import read_lines
+    p = tmp_path / "words.txt"
+    p.write_text("Hello zhangjiaqi\nni hao\nhello melos\nhao melos\n", encoding="utf-8")
+    got = dict(rows(op.word_count(read_lines(spark, str(p)))))
+    assert got == {"Hello": 1, "zhangjiaqi": 1, "ni": 1, "hao": 2, "hello": 1, "melos": 2}
