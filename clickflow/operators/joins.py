@@ -142,7 +142,7 @@ def window_join(left: DataFrame, right: DataFrame, keys: Sequence[str], size: st
 
 def window_cogroup(left: DataFrame, right: DataFrame, keys: Sequence[str], size: str, value: str,
                    ts: str = "ts", left_out: str = "app_values", right_out: str = "third_values",
-                   page_size: int | None = 10_000) -> DataFrame:
+                   page_size: int | None = 10_000, skew: str = "auto") -> DataFrame:
     """Per (key, tumbling window): the sorted values of both sides, emitted
     even when one side is empty.
 
@@ -151,7 +151,9 @@ def window_cogroup(left: DataFrame, right: DataFrame, keys: Sequence[str], size:
     ``[p * page_size, (p + 1) * page_size)`` -- so no collected list is
     unbounded even when one key and window hold a large share of the data.
     Ranks come from the skew-safe ``keyed_row_number``.  Every group has page
-    0; all values are kept.
+    0; all values are kept.  With ``skew="auto"`` a group-size check runs first
+    and, when no group side exceeds ``page_size``, everything is page 0 and
+    one aggregation suffices.
 
     ``page_size=None``: one row per group, one aggregation over the tagged
     union -- the form that also runs as a single stateful operator on streams.
@@ -167,6 +169,15 @@ def window_cogroup(left: DataFrame, right: DataFrame, keys: Sequence[str], size:
     from clickflow.operators.sequence import keyed_row_number
     w = F.window(ts, size)
     framed = tagged.select(*keys, w.start.alias("window_start"), w.end.alias("window_end"), "_cf_v", "_cf_side")
-    ranked = keyed_row_number(framed, [*keys, "window_start", "window_end", "_cf_side"], ["_cf_v"], "_cf_rank")
-    paged = ranked.withColumn("page", F.floor((F.col("_cf_rank") - 1) / page_size).cast("long"))
+    group = [*keys, "window_start", "window_end", "_cf_side"]
+    if skew == "never":
+        raise ValueError("paging needs ranks; use page_size=None for one row per group")
+    big = skew == "always" or bool(
+        framed.groupBy(*group).agg(F.count(F.lit(1)).alias("_cf_c")).where(F.col("_cf_c") > page_size)
+        .limit(1).collect())
+    if big:
+        ranked = keyed_row_number(framed, group, ["_cf_v"], "_cf_rank", skew=skew)
+        paged = ranked.withColumn("page", F.floor((F.col("_cf_rank") - 1) / page_size).cast("long"))
+    else:
+        paged = framed.withColumn("page", F.lit(0).cast("long"))
     return paged.groupBy(*keys, "window_start", "window_end", "page").agg(*lists)

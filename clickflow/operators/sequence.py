@@ -14,6 +14,14 @@ core.  Instead:
    the first or last key of a partition, so at most ``n - 1`` pairs have a
    non-zero offset: that table is broadcast with a proven size bound;
 4. position = local number + offset.
+
+That costs a sampling pass and a second shuffle, which only pays when some key
+is hot.  With ``skew="auto"`` (the default) a cheap check runs first: the largest
+key's row count, compared with one task's fair share of the input
+(``total / n``) and ``HOT_MIN_ROWS``.  When no key exceeds that budget, every key
+fits one task and the plain ``Window.partitionBy(key)`` plan (one shuffle) is
+used; otherwise the range-piece plan above.  ``"always"`` / ``"never"`` force a
+plan.
 """
 from __future__ import annotations
 
@@ -37,8 +45,41 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+# Below this many rows a key is never treated as hot: one task handles it in
+# seconds whatever the cluster size.
+HOT_MIN_ROWS = 1_000_000
+
+
+def hot_key_exists(df: DataFrame, keys: Sequence[str], num_partitions: int | None = None,
+                   min_rows: int = HOT_MIN_ROWS) -> bool:
+    """Whether some key holds more rows than ``max(total / n, min_rows)``.
+
+    One aggregation of the key columns (map-side combined) and a global max;
+    the row total is only counted when the largest key passes ``min_rows``.
+    At most n - 1 keys can exceed ``total / n``.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cf_c"))
+    largest = counts.agg(F.max("_cf_c")).first()[0]
+    if not largest or largest <= min_rows:
+        return False
+    return largest > df.count() // _num_partitions(df, num_partitions)
+
+
+def split_hot_keys(df: DataFrame, keys: Sequence[str], skew: str = "auto", num_partitions: int | None = None,
+                   min_rows: int = HOT_MIN_ROWS) -> bool:
+    """Decide the plan: True = range pieces, False = one window per key."""
+    if skew == "always":
+        return True
+    if skew == "never":
+        return False
+    if skew != "auto":
+        raise ValueError(f"skew must be 'auto', 'always' or 'never', not {skew!r}")
+    return hot_key_exists(df, keys, num_partitions, min_rows)
+
+
 def keyed_prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict,
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, skew: str = "auto",
+                      hot_min_rows: int = HOT_MIN_ROWS) -> DataFrame:
     """Inclusive running sums per key in ``order``: ``{out: value column}``.
 
     Each value is summed inside its (key, range piece) by a window; the
@@ -49,6 +90,9 @@ def keyed_prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     keys, order = list(keys), list(order)
     n = _num_partitions(df, num_partitions)
     vals = {o: (F.col(v) if isinstance(v, str) else v) for o, v in sums.items()}
+    if not split_hot_keys(df, keys, skew, num_partitions, hot_min_rows):
+        run = Window.partitionBy(*keys).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select(*df.columns, *[F.sum(v).over(run).alias(o) for o, v in vals.items()])
     tmp = {o: f"_cf_v{i}" for i, o in enumerate(vals)}
     base = df.select("*", *[v.alias(tmp[o]) for o, v in vals.items()])
     ranged = base.repartitionByRange(n, *_cols(keys), *_cols(order)).withColumn(_RP, F.spark_partition_id())
@@ -78,27 +122,28 @@ def keyed_prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "rn",
-                     num_partitions: int | None = None) -> DataFrame:
+                     num_partitions: int | None = None, skew: str = "auto") -> DataFrame:
     """1-based position of each row within its key, ordered by ``order``
     (a running sum of ones)."""
-    return keyed_prefix_sums(df, keys, order, {out: F.lit(1).cast("long")}, num_partitions)
+    return keyed_prefix_sums(df, keys, order, {out: F.lit(1).cast("long")}, num_partitions, skew)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str = "total",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, skew: str = "auto") -> DataFrame:
     """Keyed running reduce summing ``value``: every row emits its key's new total
     (the reference's keyed reduce adds the tuple's second field)."""
-    return keyed_prefix_sums(df, keys, order, {out: value}, num_partitions)
+    return keyed_prefix_sums(df, keys, order, {out: value}, num_partitions, skew)
 
 
 def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "n",
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, skew: str = "auto") -> DataFrame:
     """Keyed running reduce without a window: every row emits its key's new total."""
-    return keyed_row_number(df, keys, order, out, num_partitions)
+    return keyed_row_number(df, keys, order, out, num_partitions, skew)
 
 
 def count_window_sliding(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int,
-                         slide: int = 1, out: str = "n", num_partitions: int | None = None) -> DataFrame:
+                         slide: int = 1, out: str = "n", num_partitions: int | None = None,
+                         skew: str = "auto") -> DataFrame:
     """Sliding count window (size, slide) per key, summing one per element.
 
     The window fires on every ``slide``-th element of the key and covers the
@@ -107,14 +152,15 @@ def count_window_sliding(df: DataFrame, keys: Sequence[str], order: Sequence[str
     """
     if size < 1 or slide < 1:
         raise ValueError("size and slide must be positive")
-    numbered = keyed_row_number(df, keys, order, "_cf_pos", num_partitions)
+    numbered = keyed_row_number(df, keys, order, "_cf_pos", num_partitions, skew)
     if slide > 1:
         numbered = numbered.where(F.col("_cf_pos") % slide == 0)
     return numbered.withColumn(out, F.least(F.col("_cf_pos"), F.lit(size).cast("long"))).drop("_cf_pos")
 
 
 def count_window_tumbling(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int,
-                          ts: str = "ts", out: str = "n", num_partitions: int | None = None) -> DataFrame:
+                          ts: str = "ts", out: str = "n", num_partitions: int | None = None,
+                          skew: str = "auto") -> DataFrame:
     """Tumbling count window of ``size`` per key; only full windows fire.
 
     Rows are grouped by (key, (position - 1) div size): every group has at
@@ -122,7 +168,7 @@ def count_window_tumbling(df: DataFrame, keys: Sequence[str], order: Sequence[st
     """
     if size < 1:
         raise ValueError("size must be positive")
-    numbered = keyed_row_number(df, keys, order, "_cf_pos", num_partitions)
+    numbered = keyed_row_number(df, keys, order, "_cf_pos", num_partitions, skew)
     bucketed = numbered.withColumn("win", F.floor((F.col("_cf_pos") - 1) / size).cast("long"))
     return (bucketed.groupBy(*keys, "win")
             .agg(F.count(F.lit(1)).alias(out), F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts"))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.operators.sequence import sessions
+from clickflow.operators.sequence import sessions, split_hot_keys
 
 
 def _counted(df: DataFrame, win: Column, keys: Sequence[str], prefix: str, out: str) -> DataFrame:
@@ -33,26 +33,27 @@ def sliding_counts(df: DataFrame, size: str, slide: str, keys: Sequence[str], ts
 
 
 def session_counts(df: DataFrame, gap: str, keys: Sequence[str], ts: str = "ts", out: str = "n",
-                   tiebreak: Sequence[str] = (), skew_safe: bool = True) -> DataFrame:
+                   tiebreak: Sequence[str] = (), skew: str = "auto") -> DataFrame:
     """Sessions per key with a fixed gap; rows exactly one gap apart share a session.
 
-    ``skew_safe`` (batch only) splits hot keys across tasks (see
-    ``sequence.sessions``).  Spark's own ``session_window`` aggregation --
-    used for streams and with ``skew_safe=False`` -- merges each key's
-    sessions in one task after the shuffle.
+    Spark's own ``session_window`` aggregation merges each key's sessions in
+    one task after the shuffle.  In batch, when a key is hot (``skew``, see
+    ``sequence.split_hot_keys``), the key is cut into range pieces instead
+    (``sequence.sessions``).  Streams always use ``session_window``.
     """
-    if skew_safe and not df.isStreaming:
+    if not df.isStreaming and split_hot_keys(df, keys, skew):
         return sessions(df, keys, ts, gap, tiebreak, out)
     return _counted(df, F.session_window(ts, gap), keys, "session", out)
 
 
 def dynamic_session_counts(df: DataFrame, gap: Column, keys: Sequence[str], ts: str = "ts",
-                           out: str = "n", tiebreak: Sequence[str] = (), skew_safe: bool = True) -> DataFrame:
+                           out: str = "n", tiebreak: Sequence[str] = (), skew: str = "auto") -> DataFrame:
     """Sessions whose gap comes from the row (``gap`` is an interval column).
 
     A row extends its session to ``ts + gap``; the next row joins it when it
-    is not after that end.  Rows with a zero gap form no session.
+    is not after that end.  Rows with a zero gap form no session.  Hot keys:
+    as ``session_counts``.
     """
-    if skew_safe and not df.isStreaming:
+    if not df.isStreaming and split_hot_keys(df, keys, skew):
         return sessions(df, keys, ts, gap, tiebreak, out)
     return _counted(df, F.session_window(ts, gap), keys, "session", out)

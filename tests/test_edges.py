@@ -17,6 +17,7 @@ def _df(spark, data):
 def test_empty_inputs(spark):
     e = _df(spark, [])
     assert seq.keyed_row_number(e, ["k"], ["ts", "id"]).count() == 0
+    assert seq.keyed_row_number(e, ["k"], ["ts", "id"], skew="always").count() == 0
     assert seq.sessions(e, ["k"], "ts", "1 hour", ["id"]).count() == 0
     assert op.count_window_tumbling(e, ["k"], ["ts", "id"], 3).count() == 0
     a = e.select("k", "id", "ts")
@@ -28,7 +29,7 @@ def test_empty_inputs(spark):
 def test_null_key_numbered_across_pieces(spark):
     data = [(None, i, i * 1000) for i in range(300)] + [(1, 1000 + i, i * 1000) for i in range(50)]
     df = _df(spark, data)
-    got = seq.keyed_row_number(df, ["k"], ["ts", "id"], "rn", num_partitions=16)
+    got = seq.keyed_row_number(df, ["k"], ["ts", "id"], "rn", num_partitions=16, skew="always")
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id")).cast("long"))
     assert rows(got, "id", "rn") == rows(want, "id", "rn")
     s = seq.sessions(df, ["k"], "ts", "2 seconds", ["id"], num_partitions=16)

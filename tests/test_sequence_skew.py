@@ -30,7 +30,7 @@ def skewed(spark):
 
 @pytest.mark.parametrize("parts", [1, 7, 64])
 def test_row_number_matches_window(skewed, parts):
-    got = seq.keyed_row_number(skewed, ["k"], ["ts", "id"], "rn", num_partitions=parts)
+    got = seq.keyed_row_number(skewed, ["k"], ["ts", "id"], "rn", num_partitions=parts, skew="always")
     want = skewed.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id")).cast("long"))
     assert rows(got, "k", "id", "rn") == rows(want, "k", "id", "rn")
 
@@ -38,11 +38,11 @@ def test_row_number_matches_window(skewed, parts):
 @pytest.mark.parametrize("parts", [3, 64])
 def test_count_windows(skewed, parts):
     w = Window.partitionBy("k").orderBy("ts", "id")
-    sl = seq.count_window_sliding(skewed, ["k"], ["ts", "id"], 10, 5, num_partitions=parts)
+    sl = seq.count_window_sliding(skewed, ["k"], ["ts", "id"], 10, 5, num_partitions=parts, skew="always")
     brute = (skewed.withColumn("rn", F.row_number().over(w))
              .withColumn("n", F.count(F.lit(1)).over(w.rowsBetween(-9, 0))).where("rn % 5 = 0"))
     assert rows(sl, "k", "id", "n") == rows(brute, "k", "id", "n")
-    tu = seq.count_window_tumbling(skewed, ["k"], ["ts", "id"], 10, num_partitions=parts)
+    tu = seq.count_window_tumbling(skewed, ["k"], ["ts", "id"], 10, num_partitions=parts, skew="always")
     brute_t = (skewed.withColumn("win", F.floor((F.row_number().over(w) - 1) / 10).cast("long"))
                .groupBy("k", "win").agg(F.count(F.lit(1)).alias("n")).where("n = 10"))
     assert rows(tu, "k", "win", "n") == rows(brute_t, "k", "win", "n")
@@ -60,7 +60,23 @@ def test_sessions_match_session_window(skewed, parts, dynamic):
 @pytest.mark.parametrize("parts", [1, 9, 64])
 def test_running_sum_with_nulls_matches_window(skewed, parts):
     df = skewed.withColumn("v", F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("ms") % 1000))
-    got = seq.running_sum(df, ["k"], ["ts", "id"], "v", "total", num_partitions=parts)
+    got = seq.running_sum(df, ["k"], ["ts", "id"], "v", "total", num_partitions=parts, skew="always")
     want = df.withColumn("total", F.sum("v").over(
         Window.partitionBy("k").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)))
     assert rows(got, "k", "id", "total") == rows(want, "k", "id", "total")
+
+
+def test_hot_key_detection(skewed, spark):
+    # key 0 holds 1500 of 4002 rows: hot for 8 tasks once the minimum is lowered
+    assert seq.hot_key_exists(skewed, ["k"], num_partitions=8, min_rows=0)
+    assert not seq.hot_key_exists(skewed, ["k"], num_partitions=2, min_rows=0)   # 1500 < 4002 / 2
+    assert not seq.hot_key_exists(skewed, ["k"], num_partitions=8)               # below HOT_MIN_ROWS
+    assert seq.split_hot_keys(skewed, ["k"], "always") and not seq.split_hot_keys(skewed, ["k"], "never")
+
+
+@pytest.mark.parametrize("skew", ["auto", "never"])
+def test_plain_plans_agree(skewed, skew):
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    got = seq.keyed_row_number(skewed, ["k"], ["ts", "id"], "rn", skew=skew)
+    want = skewed.withColumn("rn", F.row_number().over(w).cast("long"))
+    assert rows(got, "k", "id", "rn") == rows(want, "k", "id", "rn")

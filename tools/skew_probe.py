@@ -76,11 +76,13 @@ def main() -> None:
     only = os.environ.get("PROBE_ONLY", "")
     for _ in range(2 if only in ("", "rows") else 0):
         timed("plain", lambda: plain)
-        timed("skew-safe", lambda: running_count(df, ["user_id"], ["ts", "event_id"]))
+        timed("skew-safe", lambda: running_count(df, ["user_id"], ["ts", "event_id"], skew="always"))
+        timed("auto", lambda: running_count(df, ["user_id"], ["ts", "event_id"]))
     # Sessions: Spark's session_window aggregation vs the piecewise sessions.
     for _ in range(2 if only in ("", "sessions") else 0):
-        timed("sess-plain", lambda: session_counts(df, "30 minutes", ["user_id"], skew_safe=False))
-        timed("sess-safe", lambda: session_counts(df, "30 minutes", ["user_id"], tiebreak=["event_id"]))
+        timed("sess-plain", lambda: session_counts(df, "30 minutes", ["user_id"], skew="never"))
+        timed("sess-safe", lambda: session_counts(df, "30 minutes", ["user_id"], tiebreak=["event_id"],
+                                                  skew="always"))
     spark.stop()
 
 
