@@ -175,6 +175,45 @@ def count_window_tumbling(df: DataFrame, keys: Sequence[str], order: Sequence[st
             .where(F.col(out) == size))
 
 
+def count_window_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, size: int,
+                     slide: int = 1, out: str = "total", num_partitions: int | None = None,
+                     skew: str = "auto") -> DataFrame:
+    """Count window (size, slide) per key reducing by summing ``value`` (the
+    reference's reduce adds the tuple's second field): on every ``slide``-th
+    row, the sum over the key's last ``size`` rows (SQL sum: nulls skipped,
+    null when all are null).
+
+    Without hot keys: one window per key.  With hot keys: running sums over
+    range pieces, and the window sum is ``cum(pos) - cum(pos - size)``, the
+    earlier prefix found by an equi-join on (key, position), which spreads a
+    hot key over tasks by position.
+    """
+    if size < 1 or slide < 1:
+        raise ValueError("size and slide must be positive")
+    keys, order = list(keys), list(order)
+    if not split_hot_keys(df, keys, skew, num_partitions):
+        w = Window.partitionBy(*keys).orderBy(*_cols(order))
+        r = df.select("*", F.row_number().over(w).alias("_cf_pos"),
+                      F.sum(value).over(w.rowsBetween(-(size - 1), 0)).alias(out))
+        if slide > 1:
+            r = r.where(F.col("_cf_pos") % slide == 0)
+        return r.drop("_cf_pos")
+    v = F.col(value)
+    numbered = keyed_prefix_sums(df, keys, order, {"_cf_pos": F.lit(1).cast("long"), "_cf_cx": F.coalesce(v, F.lit(0)),
+                                                   "_cf_cn": v.isNotNull().cast("long")},
+                                 num_partitions, skew="always")
+    fire = numbered.where(F.col("_cf_pos") % slide == 0) if slide > 1 else numbered
+    renamed = [f"_cf_k{i}" for i in range(len(keys))]
+    back = numbered.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)],
+                           (F.col("_cf_pos") + size).alias("_cf_bpos"), F.col("_cf_cx").alias("_cf_bx"),
+                           F.col("_cf_cn").alias("_cf_bn"))
+    cond = [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)] + [F.col("_cf_pos") == F.col("_cf_bpos")]
+    j = fire.join(back, on=cond, how="left")
+    nonnull = F.col("_cf_cn") - F.coalesce(F.col("_cf_bn"), F.lit(0))
+    total = F.when(nonnull > 0, F.col("_cf_cx") - F.coalesce(F.col("_cf_bx"), F.lit(0)))
+    return j.select(*df.columns, total.alias(out))
+
+
 def _carry_table(parts: DataFrame, keys: list[str], value: str, agg, out: str) -> DataFrame:
     """Per (key, range partition): ``agg`` of ``value`` over the key's earlier
     partitions.  Only pairs whose key started in an earlier partition have

@@ -113,6 +113,14 @@ def running_pair_text(spark, sf_dir):
     return counted.select(pair_string("user_id", "n").alias("value"))
 
 
+def count_window_sum(spark, sf_dir):
+    size, slide = COUNT_SLIDE
+    ev = _events(spark, sf_dir, "user_id", "event_id", "ts", "value")
+    ev = ev.withColumn("value", F.col("value").cast("decimal(18,2)"))
+    out = op.count_window_sum(ev, USER, SEQ_ORDER, "value", size, slide, "total")
+    return out.select("user_id", "event_id", "ts", F.col("total").cast("decimal(38,2)").alias("total"))
+
+
 def count_window_tumbling(spark, sf_dir):
     return op.count_window_tumbling(_events(spark, sf_dir, "user_id", "event_id", "ts"), USER, SEQ_ORDER,
                                     COUNT_TUMBLE)
@@ -207,6 +215,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "count_window_tumbling": count_window_tumbling,
     "count_window_sliding": count_window_sliding,
     "count_window_sliding_10_5": count_window_sliding_10_5,
+    "count_window_sum": count_window_sum,
     "window_join": window_join,
     "window_cogroup": window_cogroup,
     "interval_join": interval_join,

@@ -128,6 +128,12 @@ SELECT user_id, event_id, ts, n FROM (
          count(*) OVER ({_SEQ} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS n
   FROM events) x
 WHERE rn % 5 = 0
+""",
+    "count_window_sum": f"""
+SELECT user_id, event_id, ts,
+       CAST(sum(CAST(value AS DECIMAL(18, 2))) OVER ({_SEQ} ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)
+            AS DECIMAL(38, 2)) AS total
+FROM events
 """,
     "window_join": f"""
 SELECT a.user_id, {_bucket('1 day', 'a.ts')} AS window_start, {_bucket('1 day', 'a.ts')} + INTERVAL '1 day' AS window_end,

@@ -80,3 +80,14 @@ def test_plain_plans_agree(skewed, skew):
     got = seq.keyed_row_number(skewed, ["k"], ["ts", "id"], "rn", skew=skew)
     want = skewed.withColumn("rn", F.row_number().over(w).cast("long"))
     assert rows(got, "k", "id", "rn") == rows(want, "k", "id", "rn")
+
+
+@pytest.mark.parametrize("parts,skew,size,slide", [(1, "always", 3, 1), (9, "always", 10, 5), (64, "always", 2, 1),
+                                                   (8, "auto", 10, 5)])
+def test_count_window_sum_matches_window(skewed, parts, skew, size, slide):
+    df = skewed.withColumn("v", F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("ms") % 1000))
+    got = seq.count_window_sum(df, ["k"], ["ts", "id"], "v", size, slide, num_partitions=parts, skew=skew)
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    want = (df.withColumn("rn", F.row_number().over(w))
+            .withColumn("total", F.sum("v").over(w.rowsBetween(-(size - 1), 0))).where(F.col("rn") % slide == 0))
+    assert rows(got, "k", "id", "total") == rows(want, "k", "id", "total")
