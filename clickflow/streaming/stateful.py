@@ -56,31 +56,62 @@ def running_count_state(stream: DataFrame, keys: Sequence[str], order: Sequence[
         step, schema, "seen long", "append", GroupStateTimeout.NoTimeout)
 
 
+def _sum_type(dt: T.DataType) -> T.DataType:
+    if isinstance(dt, T.DecimalType):
+        return T.DecimalType(min(38, dt.precision + 10), dt.scale)
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return T.LongType()
+    return T.DoubleType()
+
+
 def count_window_state(stream: DataFrame, keys: Sequence[str], order: Sequence[str], size: int,
-                       slide: int | None = None, carry: Sequence[str] = (), out: str = "n") -> DataFrame:
-    """Count window (size, slide) per key, reducing by counting.
+                       slide: int | None = None, carry: Sequence[str] = (), out: str = "n",
+                       value: str | None = None) -> DataFrame:
+    """Count window (size, slide) per key on a stream.
 
     Fires on every ``slide``-th row of the key and covers the last ``size``
     rows; ``slide=None`` (tumbling) fires only when a window of ``size`` is
-    full.  The count of a firing is ``min(position, size)``.
+    full.  Without ``value`` the reduce counts (``min(position, size)``); with
+    ``value`` it sums that field over the window (nulls skipped, null when all
+    are null).  State per key: the row count and at most ``size - 1`` values.
     """
     slide = size if slide is None else slide
     keys, order, carry = list(keys), list(order), [c for c in carry if c not in keys]
-    schema = T.StructType(_fields(stream, keys + carry) + [T.StructField(out, T.LongType())])
+    out_type = T.LongType() if value is None else _sum_type(stream.schema[value].dataType)
+    schema = T.StructType(_fields(stream, keys + carry) + [T.StructField(out, out_type)])
+    state_schema = "seen long" if value is None else \
+        f"seen long, tail array<{stream.schema[value].dataType.simpleString()}>"
 
     def step(key, pdfs, state):
         pdf = _ordered(pdfs, order)
         if pdf.empty:
             return
-        seen = state.get[0] if state.exists else 0
+        if state.exists:
+            seen = state.get[0]
+            tail = list(state.get[1]) if value is not None and state.get[1] is not None else []
+        else:
+            seen, tail = 0, []
         pos = seen + np.arange(1, len(pdf) + 1, dtype="int64")
-        state.update((int(pos[-1]),))
         fire = pos % slide == 0
+        if value is None:
+            state.update((int(pos[-1]),))
+            if fire.any():
+                yield pdf.loc[fire, keys + carry].assign(**{out: np.minimum(pos[fire], size)})
+            return
+        vals = tail + [None if pd.isna(x) else x for x in pdf[value].tolist()]
+        sums = []
+        for i in np.flatnonzero(fire):
+            end = len(tail) + i + 1                      # row i's place in tail + batch
+            window = [x for x in vals[max(0, end - size):end] if x is not None]
+            sums.append(sum(window) if window else None)
+        state.update((int(pos[-1]), vals[-(size - 1):] if size > 1 else []))
         if fire.any():
-            yield pdf.loc[fire, keys + carry].assign(**{out: np.minimum(pos[fire], size)})
+            res = pdf.loc[fire, keys + carry].copy()
+            res[out] = pd.Series(sums, index=res.index, dtype="object")
+            yield res
 
     return stream.groupBy(*keys).applyInPandasWithState(
-        step, schema, "seen long", "append", GroupStateTimeout.NoTimeout)
+        step, schema, state_schema, "append", GroupStateTimeout.NoTimeout)
 
 
 def reconcile_state(app: DataFrame, third: DataFrame, keys: Sequence[str], tolerance: str | int,

@@ -238,3 +238,14 @@ def test_out_of_order_within_delay_gives_same_result(spark, batch_events, seed):
         F.col("window_end") <= F.lit(closed).cast("timestamp_ntz"))
     assert got.count() > 0
     assert rows(got) == rows(want.select(*got.columns))
+
+
+def test_count_window_state_sums_a_field(spark, event_dir, batch_events):
+    folder, _ = event_dir
+    s = _stream(spark, folder).withColumn("value", F.col("value").cast("decimal(18,2)"))
+    got = run_to_memory(st.count_window_state(s, ["user_id"], ["ts", "event_id"], 3, 2, carry=["event_id"],
+                                              value="value", out="total"))
+    b = batch_events.withColumn("value", F.col("value").cast("decimal(18,2)"))
+    want = op.count_window_sum(b, ["user_id"], ["ts", "event_id"], "value", 3, 2)
+    assert got.count() > 0
+    assert rows(got, "user_id", "event_id", "total") == rows(want, "user_id", "event_id", "total")
