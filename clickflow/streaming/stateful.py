@@ -34,14 +34,18 @@ def _ordered(pdfs, order: list[str]) -> pd.DataFrame:
 
 
 def running_count_state(stream: DataFrame, keys: Sequence[str], order: Sequence[str],
-                        carry: Sequence[str] = (), out: str = "n") -> DataFrame:
-    """Every input row emits its key's new running count (keyed reduce, no window).
+                        carry: Sequence[str] = (), out: str = "n", value: str | None = None) -> DataFrame:
+    """Every input row emits its key's new running count (keyed reduce, no
+    window), or with ``value`` the running sum of that field (nulls skipped).
 
     Within a micro-batch rows are taken in ``order``; across micro-batches in
-    arrival order, as a keyed stream does.
+    arrival order, as a keyed stream does.  State per key: one number (two
+    with ``value``).
     """
     keys, order, carry = list(keys), list(order), [c for c in carry if c not in keys]
-    schema = T.StructType(_fields(stream, keys + carry) + [T.StructField(out, T.LongType())])
+    out_type = T.LongType() if value is None else _sum_type(stream.schema[value].dataType)
+    schema = T.StructType(_fields(stream, keys + carry) + [T.StructField(out, out_type)])
+    state_schema = "seen long" if value is None else f"seen long, total {out_type.simpleString()}"
 
     def step(key, pdfs, state):
         pdf = _ordered(pdfs, order)
@@ -49,11 +53,23 @@ def running_count_state(stream: DataFrame, keys: Sequence[str], order: Sequence[
             return
         seen = state.get[0] if state.exists else 0
         n = seen + np.arange(1, len(pdf) + 1, dtype="int64")
-        state.update((int(n[-1]),))
-        yield pdf[keys + carry].assign(**{out: n})
+        if value is None:
+            state.update((int(n[-1]),))
+            yield pdf[keys + carry].assign(**{out: n})
+            return
+        total = state.get[1] if state.exists else None
+        totals = []
+        for x in pdf[value].tolist():
+            if not pd.isna(x):
+                total = x if total is None else total + x
+            totals.append(total)
+        state.update((int(n[-1]), total))
+        res = pdf[keys + carry].copy()
+        res[out] = pd.Series(totals, index=res.index, dtype="object")
+        yield res
 
     return stream.groupBy(*keys).applyInPandasWithState(
-        step, schema, "seen long", "append", GroupStateTimeout.NoTimeout)
+        step, schema, state_schema, "append", GroupStateTimeout.NoTimeout)
 
 
 def _sum_type(dt: T.DataType) -> T.DataType:

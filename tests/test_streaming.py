@@ -249,3 +249,13 @@ def test_count_window_state_sums_a_field(spark, event_dir, batch_events):
     want = op.count_window_sum(b, ["user_id"], ["ts", "event_id"], "value", 3, 2)
     assert got.count() > 0
     assert rows(got, "user_id", "event_id", "total") == rows(want, "user_id", "event_id", "total")
+
+
+def test_running_sum_state(spark, event_dir, batch_events):
+    folder, _ = event_dir
+    s = _stream(spark, folder).withColumn("value", F.col("value").cast("decimal(18,2)"))
+    got = run_to_memory(st.running_count_state(s, ["user_id"], ["ts", "event_id"], carry=["event_id"],
+                                               out="total", value="value"))
+    b = batch_events.withColumn("value", F.col("value").cast("decimal(18,2)"))
+    want = op.running_sum(b, ["user_id"], ["ts", "event_id"], "value", "total")
+    assert rows(got, "user_id", "event_id", "total") == rows(want, "user_id", "event_id", "total")
