@@ -6,7 +6,6 @@ configuration wins: we only fill settings that are still unset.
 """
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession

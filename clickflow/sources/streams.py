@@ -6,7 +6,6 @@ folder that receives event files.  ``max_files`` bounds each micro-batch.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from clickflow.functions.time import event_time
 from clickflow.schemas import DRIVER_EVENTS
