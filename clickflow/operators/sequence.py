@@ -18,9 +18,10 @@ core.  Instead:
 That costs a sampling pass and a second shuffle, which only pays when some key
 is hot.  With ``skew="auto"`` (the default) a cheap check runs first: the largest
 key's row count, compared with one task's fair share of the input
-(``total / n``) and ``HOT_MIN_ROWS``.  When no key exceeds that budget, every key
-fits one task and the plain ``Window.partitionBy(key)`` plan (one shuffle) is
-used; otherwise the range-piece plan above.  ``"always"`` / ``"never"`` force a
+(``total / n``), bounded by ``HOT_MIN_ROWS`` and ``HOT_MAX_ROWS``.  When no key
+exceeds that budget, every key fits one task and the plain
+``Window.partitionBy(key)`` plan (one shuffle) is used; otherwise the
+range-piece plan above.  ``"always"`` / ``"never"`` force a
 plan.
 """
 from __future__ import annotations
@@ -45,23 +46,27 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-# Below this many rows a key is never treated as hot: one task handles it in
-# seconds whatever the cluster size.
+# Below HOT_MIN_ROWS a key is never treated as hot: one task handles it in
+# seconds whatever the cluster size.  Above HOT_MAX_ROWS it always is, even
+# when the configured partition count makes the fair share larger.
 HOT_MIN_ROWS = 1_000_000
+HOT_MAX_ROWS = 50_000_000
 
 
 def hot_key_exists(df: DataFrame, keys: Sequence[str], num_partitions: int | None = None,
-                   min_rows: int = HOT_MIN_ROWS) -> bool:
-    """Whether some key holds more rows than ``max(total / n, min_rows)``.
+                   min_rows: int = HOT_MIN_ROWS, max_rows: int = HOT_MAX_ROWS) -> bool:
+    """Whether some key holds more rows than ``min(max(total / n, min_rows), max_rows)``.
 
     One aggregation of the key columns (map-side combined) and a global max;
-    the row total is only counted when the largest key passes ``min_rows``.
-    At most n - 1 keys can exceed ``total / n``.
+    the row total is only counted when the largest key lies between the two
+    limits.  At most n - 1 keys can exceed ``total / n``.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cf_c"))
     largest = counts.agg(F.max("_cf_c")).first()[0]
     if not largest or largest <= min_rows:
         return False
+    if largest > max_rows:
+        return True
     return largest > df.count() // _num_partitions(df, num_partitions)
 
 

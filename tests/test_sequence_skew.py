@@ -91,3 +91,8 @@ def test_count_window_sum_matches_window(skewed, parts, skew, size, slide):
     want = (df.withColumn("rn", F.row_number().over(w))
             .withColumn("total", F.sum("v").over(w.rowsBetween(-(size - 1), 0))).where(F.col("rn") % slide == 0))
     assert rows(got, "k", "id", "total") == rows(want, "k", "id", "total")
+
+
+def test_hot_key_absolute_cap(skewed):
+    # 1500 rows is below the fair share of 2 tasks (2001) but above an absolute cap of 1000
+    assert seq.hot_key_exists(skewed, ["k"], num_partitions=2, min_rows=0, max_rows=1000)
