@@ -37,3 +37,15 @@ def test_batch_word_count_job(spark, tmp_path):
     p = tmp_path / "w.txt"
     p.write_text("ni hao\nhao melos\n", encoding="utf-8")
     assert dict(jobs.batch_word_count(spark, str(p)).collect()) == {"ni": 1, "hao": 2, "melos": 1}
+
+
+def test_totals_to_jdbc_job_and_scan(spark):
+    folder, pdf = _events_dir()
+    url, driver = "jdbc:derby:memory:cf_job;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    q = jobs.user_totals_to_jdbc(spark, folder, url, "usercount", driver, checkpoint=tempfile.mkdtemp(),
+                                 available_now=True, max_files=1)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    back = jobs.jdbc_scan(spark, url, "usercount", driver)
+    assert back.count() == len(pdf)
+    assert back.groupBy("username").count().count() == pdf["user_id"].nunique()
