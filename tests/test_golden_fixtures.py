@@ -12,9 +12,9 @@ def _ts(df, col="ts"):
 
 
 def test_word_count_four_lines(spark):
-    lines = spark.createDataFrame([("Hello zhangjiaqi",), ("ni hao",), ("hello melos",), ("hao melos",)], "value string")
+    lines = spark.createDataFrame([("Hello alice",), ("ni hao",), ("hello bob",), ("hao bob",)], "value string")
     got = dict(rows(op.word_count(lines)))
-    assert got == {"Hello": 1, "zhangjiaqi": 1, "ni": 1, "hao": 2, "hello": 1, "melos": 2}
+    assert got == {"Hello": 1, "alice": 1, "ni": 1, "hao": 2, "hello": 1, "bob": 2}
 
 
 def test_tokenize_java_split_edges(spark):
@@ -85,15 +85,15 @@ def test_interval_join_bounds_inclusive(spark):
 
 
 def test_route_and_merge(spark):
-    ev = spark.createDataFrame([("ZhangJiaqi", "a", 1), ("LiYang", "b", 2), ("Chenyi", "c", 3)],
+    ev = spark.createDataFrame([("Ana", "a", 1), ("Ben", "b", 2), ("Cai", "c", 3)],
                                "user string, action string, times long")
-    routed = op.route(op.event_text(ev), [(F.col("user") == "ZhangJiaqi", "tag1"), (F.col("user") == "LiYang", "tag2")])
-    assert sorted(rows(routed, "user", "route")) == [("Chenyi", "main"), ("LiYang", "tag2"), ("ZhangJiaqi", "tag1")]
+    routed = op.route(op.event_text(ev), [(F.col("user") == "Ana", "tag1"), (F.col("user") == "Ben", "tag2")])
+    assert sorted(rows(routed, "user", "route")) == [("Cai", "main"), ("Ben", "tag2"), ("Ana", "tag1")]
     merged = [r[0] for r in op.merge_tagged(op.branch(routed, "tag1"), op.branch(routed, "tag2")).collect()]
-    assert sorted(merged) == sorted([op.FIRST_PREFIX + "{user='ZhangJiaqi', action='a', times=1}",
-                                     op.SECOND_PREFIX + "{user='LiYang', action='b', times=2}"])
-    one_scan = op.merge_routed(routed, [(F.col("user") == "ZhangJiaqi", op.FIRST_PREFIX),
-                                        (F.col("user") == "LiYang", op.SECOND_PREFIX)])
+    assert sorted(merged) == sorted([op.FIRST_PREFIX + "{user='Ana', action='a', times=1}",
+                                     op.SECOND_PREFIX + "{user='Ben', action='b', times=2}"])
+    one_scan = op.merge_routed(routed, [(F.col("user") == "Ana", op.FIRST_PREFIX),
+                                        (F.col("user") == "Ben", op.SECOND_PREFIX)])
     assert sorted(merged) == sorted(r[0] for r in one_scan.collect())
 
 
@@ -116,6 +116,6 @@ def test_cogroup_pages_keep_every_value(spark):
 def test_word_count_from_text_file(spark, tmp_path):
     from clickflow.sources import read_lines
     p = tmp_path / "words.txt"
-    p.write_text("Hello zhangjiaqi\nni hao\nhello melos\nhao melos\n", encoding="utf-8")
+    p.write_text("Hello alice\nni hao\nhello bob\nhao bob\n", encoding="utf-8")
     got = dict(rows(op.word_count(read_lines(spark, str(p)))))
-    assert got == {"Hello": 1, "zhangjiaqi": 1, "ni": 1, "hao": 2, "hello": 1, "melos": 2}
+    assert got == {"Hello": 1, "alice": 1, "ni": 1, "hao": 2, "hello": 1, "bob": 2}
