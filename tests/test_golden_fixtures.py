@@ -115,7 +115,7 @@ def test_cogroup_pages_keep_every_value(spark):
 
 def test_word_count_from_text_file(spark, tmp_path):
     from clickflow.sources import read_lines
-    p = tmp_path / "words.txt"
+    p = tmp_path / "lines.txt"
     p.write_text("Hello alice\nni hao\nhello bob\nhao bob\n", encoding="utf-8")
     got = dict(rows(op.word_count(read_lines(spark, str(p)))))
     assert got == {"Hello": 1, "alice": 1, "ni": 1, "hao": 2, "hello": 1, "bob": 2}
