@@ -23,9 +23,9 @@ def arrival_bucket(col: Column | None = None) -> Column:
     return F.date_format(F.current_timestamp() if col is None else col, BUCKET_FORMAT)
 
 
-def _shape(df: DataFrame, text_col: str, bucket: bool) -> tuple[DataFrame, list[str]]:
-    cols = [F.col(text_col).cast("string").alias("value")]
-    parts = []
+def _shape(df: DataFrame, text_col: str, bucket: bool, partition_by=()) -> tuple[DataFrame, list[str]]:
+    cols = [F.col(text_col).cast("string").alias("value"), *[F.col(c) for c in partition_by]]
+    parts = list(partition_by)
     if bucket:
         cols.append(arrival_bucket().alias("bucket"))
         parts = ["bucket"]
@@ -33,8 +33,9 @@ def _shape(df: DataFrame, text_col: str, bucket: bool) -> tuple[DataFrame, list[
 
 
 def write_text(df: DataFrame, path: str, text_col: str = "value", mode: str = "append", bucket: bool = False,
-               max_records_per_file: int | None = None) -> None:
-    out, parts = _shape(df, text_col, bucket)
+               max_records_per_file: int | None = None, partition_by=()) -> None:
+    """``partition_by`` writes e.g. all routed branches at once, one folder per ``route``."""
+    out, parts = _shape(df, text_col, bucket, partition_by)
     w = out.write.mode(mode).option("encoding", "UTF-8")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
@@ -45,9 +46,9 @@ def write_text(df: DataFrame, path: str, text_col: str = "value", mode: str = "a
 
 def stream_text(df: DataFrame, path: str, text_col: str = "value", checkpoint: str | None = None,
                 bucket: bool = True, trigger: str = "15 minutes", max_records_per_file: int | None = None,
-                available_now: bool = False):
+                available_now: bool = False, partition_by=()):
     """Start a streaming text sink; returns the StreamingQuery."""
-    out, parts = _shape(df, text_col, bucket)
+    out, parts = _shape(df, text_col, bucket, partition_by)
     ckpt = checkpoint or checkpoint_subdir(df.sparkSession, "text-sink-" + path.strip("/").replace("/", "_"))
     w = out.writeStream.format("text").option("path", path).option("checkpointLocation", ckpt).outputMode("append")
     if max_records_per_file:

@@ -76,3 +76,15 @@ def test_stream_running_totals_to_jdbc(spark):
     final = dict(rows(back.groupBy("username").agg(F.max("count"))))
     want = pdf.groupby("user_id").size()
     assert final == {str(k): int(v) for k, v in want.items()}
+
+
+def test_routed_branches_written_together(spark):
+    from clickflow import operators as op
+    ev = as_click_events(spark.read.parquet(f"{SF001}/events.parquet"))
+    routed = op.route(op.event_text(ev), [(F.col("action") == "click", "tag1"), (F.col("action") == "view", "tag2")])
+    out = tempfile.mkdtemp(prefix="cf-route-")
+    sinks.write_text(routed, out, mode="overwrite", partition_by=["route"])
+    assert sorted(d for d in os.listdir(out) if d.startswith("route=")) == ["route=main", "route=tag1", "route=tag2"]
+    back = spark.read.text(out)
+    assert back.where("route = 'tag1'").count() == routed.where("route = 'tag1'").count()
+    assert back.count() == ev.count()
