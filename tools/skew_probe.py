@@ -83,6 +83,7 @@ def main() -> None:
         timed("sess-plain", lambda: session_counts(df, "30 minutes", ["user_id"], skew="never"))
         timed("sess-safe", lambda: session_counts(df, "30 minutes", ["user_id"], tiebreak=["event_id"],
                                                   skew="always"))
+        timed("sess-auto", lambda: session_counts(df, "30 minutes", ["user_id"], tiebreak=["event_id"]))
     spark.stop()
 
 
