@@ -65,3 +65,31 @@ def test_sessions_random_against_brute_force(spark, seed):
     ms = lambda c: F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(c))  # noqa
     res = sorted(tuple(r) for r in got.select("k", ms("session_start"), ms("session_end"), "n").collect())
     assert res == brute_sessions(rows)
+
+
+@pytest.mark.parametrize("seed", [5, 6, 7, 8])
+def test_bucketed_range_joins_against_naive_join(spark, seed):
+    rnd = random.Random(seed)
+    lo_s = rnd.choice([-50, -5, 0, 3])
+    hi_s = lo_s + rnd.choice([0, 1, 7, 40])
+    mk = lambda n, base: [(rnd.choice([1, 1, 1, 2, 3]), base + i, rnd.randrange(0, 300_000)) for i in range(n)]  # noqa
+    a = spark.createDataFrame(mk(150, 0), "k long, event_id long, ms long").withColumn("ts", ntz_from_millis("ms"))
+    b = spark.createDataFrame(mk(150, 1000), "k long, event_id long, ms long").withColumn("ts", ntz_from_millis("ms"))
+    a, b = a.select("k", "event_id", "ts"), b.select("k", "event_id", "ts")
+    got = op.interval_join(a, b, ["k"], f"{lo_s} seconds", f"{hi_s} seconds")
+    a2 = a.select(F.col("k").alias("ak"), F.col("event_id").alias("app_event_id"), F.col("ts").alias("app_ts"))
+    b2 = b.select(F.col("k").alias("bk"), F.col("event_id").alias("third_event_id"), F.col("ts").alias("third_ts"))
+    cond = (F.col("ak") == F.col("bk")) & F.col("third_ts").between(
+        F.col("app_ts") + F.make_interval(secs=F.lit(lo_s)), F.col("app_ts") + F.make_interval(secs=F.lit(hi_s)))
+    want = a2.join(b2, cond).select("app_event_id", "third_event_id")
+    assert sorted(tuple(r) for r in got.select("app_event_id", "third_event_id").collect()) == \
+        sorted(tuple(r) for r in want.collect())
+    # reconcile with tolerance |hi_s| (at least 1 s) against a naive full outer join
+    tol = max(abs(hi_s), 1)
+    rec = op.reconcile(a, b, ["k"], f"{tol} seconds")
+    fcond = (F.col("ak") == F.col("bk")) & F.col("third_ts").between(
+        F.col("app_ts") - F.make_interval(secs=F.lit(tol)), F.col("app_ts") + F.make_interval(secs=F.lit(tol)))
+    full = a2.join(b2, fcond, "full_outer").select("app_event_id", "third_event_id")
+    key = lambda r: (r[0] if r[0] is not None else -1, r[1] if r[1] is not None else -1)
+    assert sorted(key(r) for r in rec.select("app_event_id", "third_event_id").collect()) == \
+        sorted(key(r) for r in full.collect())
