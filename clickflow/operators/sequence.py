@@ -41,9 +41,15 @@ def _cols(cs) -> list[Column]:
 
 
 def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
+    """Range pieces: the given count, else the session's shuffle partitions
+    (the default parallelism when that setting is not a number)."""
     if num_partitions:
         return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+    try:
+        return max(1, int(conf))
+    except ValueError:
+        return max(1, df.sparkSession.sparkContext.defaultParallelism)
 
 
 # Below HOT_MIN_ROWS a key is never treated as hot: one task handles it in
