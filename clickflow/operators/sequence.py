@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from clickflow.session import ensure_checkpoint_dir
 
-_RP, _LRN, _CNT, _OFF = "_cf_rp", "_cf_lrn", "_cf_cnt", "_cf_off"
+_RP, _CNT, _OFF = "_cf_rp", "_cf_cnt", "_cf_off"
 
 
 def _cols(cs) -> list[Column]:
@@ -123,6 +123,7 @@ def keyed_prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     # At most n - 1 rows (one per partition boundary): safe to broadcast.
     cond = [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)] + [F.col(_RP) == F.col("_cf_orp")]
     joined = local.join(F.broadcast(offsets), on=cond, how="left")
+
     def total(t):
         # SQL running-sum semantics: null until the key's first non-null value.
         loc, off = F.col(t + "_l"), F.col(t + "_o")
