@@ -119,3 +119,20 @@ def test_word_count_from_text_file(spark, tmp_path):
     p.write_text("Hello alice\nni hao\nhello bob\nhao bob\n", encoding="utf-8")
     got = dict(rows(op.word_count(read_lines(spark, str(p)))))
     assert got == {"Hello": 1, "alice": 1, "ni": 1, "hao": 2, "hello": 1, "bob": 2}
+
+
+def test_topn_rows_ties_and_sparse_windows(spark):
+    click, view, buy = "点击", "浏览", "买东西"          # code points: 浏 < 点, 买 < 浏
+    ev = _ts(spark.createDataFrame([(0, click), (4999, view), (5000, click), (9999, view), (10000, buy),
+                                    (12000, buy), (50000, click)], "ts long, event_type string"))
+    counts = op.sliding_counts(ev, "10 seconds", "5 seconds", ["event_type"])
+    top = op.topn_rows(counts, 2, ["window_start", "window_end"], ["event_type"])
+    start_s = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("window_start"))
+    got = sorted(tuple(r) for r in top.select(start_s.alias("s"), "rk", "event_type", "n").collect())
+    assert got == [
+        (-5, 1, view, 1), (-5, 2, click, 1),      # tie at 1: action ascending
+        (0, 1, view, 2), (0, 2, click, 2),        # tie at 2: action ascending
+        (5, 1, buy, 2), (5, 2, view, 1),          # click and view tie at 1: view first
+        (10, 1, buy, 2),                          # a single action
+        (45, 1, click, 1), (50, 1, click, 1),     # single-action windows
+    ]
