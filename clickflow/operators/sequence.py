@@ -111,6 +111,9 @@ def keyed_prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     piece = Window.partitionBy(*keys, _RP).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(t).over(piece).alias(t + "_l") for t in tmp.values()])
 
+    # Needs only (keys, order, values): when ``df`` carries other columns,
+    # Spark prunes this branch's range exchange to those and runs it as its
+    # own narrow shuffle instead of reusing the main one.
     totals = ranged.groupBy(*keys, _RP).agg(F.count(F.lit(1)).alias(_CNT),
                                             *[F.sum(t).alias(t + "_t") for t in tmp.values()])
     before = Window.partitionBy(*keys).orderBy(_RP).rowsBetween(Window.unboundedPreceding, -1)
@@ -187,6 +190,11 @@ def count_window_tumbling(df: DataFrame, keys: Sequence[str], order: Sequence[st
             .where(F.col(out) == size))
 
 
+# The tail table of count_window_sum's hot-key plan has at most
+# size * (n - 1) rows; it is broadcast only below this many.
+TAIL_BROADCAST_ROWS = 5_000_000
+
+
 def count_window_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, size: int,
                      slide: int = 1, out: str = "total", num_partitions: int | None = None,
                      skew: str = "auto") -> DataFrame:
@@ -195,10 +203,14 @@ def count_window_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
     row, the sum over the key's last ``size`` rows (SQL sum: nulls skipped,
     null when all are null).
 
-    Without hot keys: one window per key.  With hot keys: running sums over
-    range pieces, and the window sum is ``cum(pos) - cum(pos - size)``, the
-    earlier prefix found by an equi-join on (key, position), which spreads a
-    hot key over tasks by position.
+    Without hot keys: one window per key.  With hot keys, over range pieces:
+    the window sum is ``cum(pos) - cum(pos - size)``.  Inside a piece the
+    earlier prefix is ``lag(cum, size)``.  Only the first ``size`` rows of a
+    piece whose key began in an earlier piece look further back, and their
+    targets all lie among the last ``size`` rows of an earlier piece of the
+    key that continues.  Those tails are taken from the range pieces with a
+    per-piece top-``size`` (limited map-side), so the table has at most
+    ``size * (n - 1)`` rows and the main rows are numbered once.
     """
     if size < 1 or slide < 1:
         raise ValueError("size and slide must be positive")
@@ -210,20 +222,69 @@ def count_window_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
         if slide > 1:
             r = r.where(F.col("_cf_pos") % slide == 0)
         return r.drop("_cf_pos")
+
+    n = _num_partitions(df, num_partitions)
     v = F.col(value)
-    numbered = keyed_prefix_sums(df, keys, order, {"_cf_pos": F.lit(1).cast("long"), "_cf_cx": F.coalesce(v, F.lit(0)),
-                                                   "_cf_cn": v.isNotNull().cast("long")},
-                                 num_partitions, skew="always")
-    fire = numbered.where(F.col("_cf_pos") % slide == 0) if slide > 1 else numbered
+    base = df.select("*", F.coalesce(v, F.lit(0)).alias("_cf_x"), v.isNotNull().cast("long").alias("_cf_nn"))
+    ranged = base.repartitionByRange(n, *_cols(keys), *_cols(order)).withColumn(_RP, F.spark_partition_id())
+
+    # Local (in-piece) position, running sums, and the running sums `size` rows back.
+    w = Window.partitionBy(*keys, _RP).orderBy(*_cols(order))
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    local = (ranged.select("*", F.row_number().over(w).alias("_cf_lp"), F.sum("_cf_x").over(run).alias("_cf_lx"),
+                           F.sum("_cf_nn").over(run).alias("_cf_ln"))
+             .select("*", F.lag("_cf_lx", size).over(w).alias("_cf_px"), F.lag("_cf_ln", size).over(w).alias("_cf_pn")))
+
+    # Per piece: size and sums; what the key's earlier pieces add (offsets) and
+    # whether the key goes on in a later piece.  Only pieces of keys that cross
+    # a partition boundary matter: at most n - 1 of each.
     renamed = [f"_cf_k{i}" for i in range(len(keys))]
-    back = numbered.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)],
-                           (F.col("_cf_pos") + size).alias("_cf_bpos"), F.col("_cf_cx").alias("_cf_bx"),
-                           F.col("_cf_cn").alias("_cf_bn"))
-    cond = [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)] + [F.col("_cf_pos") == F.col("_cf_bpos")]
-    j = fire.join(back, on=cond, how="left")
-    nonnull = F.col("_cf_cn") - F.coalesce(F.col("_cf_bn"), F.lit(0))
-    total = F.when(nonnull > 0, F.col("_cf_cx") - F.coalesce(F.col("_cf_bx"), F.lit(0)))
-    return j.select(*df.columns, total.alias(out))
+    by_key = Window.partitionBy(*keys).orderBy(_RP)
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    pieces = (ranged.groupBy(*keys, _RP)
+              .agg(F.count(F.lit(1)).alias("_cf_pc"), F.sum("_cf_x").alias("_cf_px_t"), F.sum("_cf_nn").alias("_cf_pn_t"))
+              .select("*", F.coalesce(F.sum("_cf_pc").over(before), F.lit(0)).alias("_cf_oc"),
+                      F.coalesce(F.sum("_cf_px_t").over(before), F.lit(0)).alias("_cf_ox"),
+                      F.coalesce(F.sum("_cf_pn_t").over(before), F.lit(0)).alias("_cf_on"),
+                      F.lead(_RP).over(by_key).isNotNull().alias("_cf_goes_on")))
+    key_as = [F.col(k).alias(r) for k, r in zip(keys, renamed)]
+    on_key = [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)]
+    offsets = pieces.where(F.col("_cf_oc") > 0).select(*key_as, F.col(_RP).alias("_cf_orp"), "_cf_oc", "_cf_ox",
+                                                       "_cf_on")
+    going_on = pieces.where("_cf_goes_on").select(*key_as, F.col(_RP).alias("_cf_orp"), "_cf_pc", "_cf_px_t",
+                                                 "_cf_pn_t", "_cf_oc", "_cf_ox", "_cf_on")
+
+    # Tails: the last `size` rows of every piece whose key goes on, with their
+    # key-wide position and running sums.
+    desc = Window.partitionBy(*keys, _RP).orderBy(*[c.desc() for c in _cols(order)])
+    tail = (ranged.join(F.broadcast(going_on), on=on_key + [F.col(_RP) == F.col("_cf_orp")], how="inner")
+            .withColumn("_cf_rd", F.row_number().over(desc))
+            .where(F.col("_cf_rd") <= size)
+            .select(*keys, _RP, *order, "_cf_rd", "_cf_x", "_cf_nn", "_cf_pc", "_cf_px_t", "_cf_pn_t", "_cf_oc",
+                    "_cf_ox", "_cf_on"))
+    after = desc.rowsBetween(Window.unboundedPreceding, -1)
+    tail = tail.select(
+        *key_as,
+        (F.col("_cf_oc") + F.col("_cf_pc") - F.col("_cf_rd") + 1).alias("_cf_tpos"),
+        (F.col("_cf_ox") + F.col("_cf_px_t") - F.coalesce(F.sum("_cf_x").over(after), F.lit(0))).alias("_cf_tx"),
+        (F.col("_cf_on") + F.col("_cf_pn_t") - F.coalesce(F.sum("_cf_nn").over(after), F.lit(0))).alias("_cf_tn"))
+    tail_side = F.broadcast(tail) if size * max(n - 1, 1) <= TAIL_BROADCAST_ROWS else tail
+
+    j = local.join(F.broadcast(offsets), on=on_key + [F.col(_RP) == F.col("_cf_orp")], how="left") \
+             .drop("_cf_orp", *renamed)
+    oc, ox, on_ = (F.coalesce(F.col(c), F.lit(0)) for c in ("_cf_oc", "_cf_ox", "_cf_on"))
+    j = j.withColumn("_cf_pos", F.col("_cf_lp") + oc)
+    j = j.withColumn("_cf_target", F.when((F.col("_cf_lp") <= size) & (oc > 0) & (F.col("_cf_pos") > size),
+                                          F.col("_cf_pos") - size))
+    if slide > 1:
+        j = j.where(F.col("_cf_pos") % slide == 0)
+    j = j.join(tail_side, on=on_key + [F.col("_cf_target") == F.col("_cf_tpos")], how="left")
+    inside = F.col("_cf_lp") > size
+    x = (F.when(inside, F.col("_cf_lx") - F.col("_cf_px"))
+          .otherwise(ox + F.col("_cf_lx") - F.coalesce(F.col("_cf_tx"), F.lit(0))))
+    nn = (F.when(inside, F.col("_cf_ln") - F.col("_cf_pn"))
+           .otherwise(on_ + F.col("_cf_ln") - F.coalesce(F.col("_cf_tn"), F.lit(0))))
+    return j.select(*df.columns, F.when(nn > 0, x).alias(out))
 
 
 def _carry_table(parts: DataFrame, keys: list[str], value: str, agg, out: str) -> DataFrame:

@@ -34,3 +34,13 @@ def test_null_key_numbered_across_pieces(spark):
     assert rows(got, "id", "rn") == rows(want, "id", "rn")
     s = seq.sessions(df, ["k"], "ts", "2 seconds", ["id"], num_partitions=16)
     assert rows(s, "k", "n") == sorted([(None, 300), (1, 50)], key=repr)
+
+
+def test_null_key_count_window_sum_across_pieces(spark):
+    data = [(None, i, i * 1000) for i in range(300)] + [(1, 1000 + i, i * 1000) for i in range(50)]
+    df = _df(spark, data).withColumn("v", F.col("id") % 7)
+    got = seq.count_window_sum(df, ["k"], ["ts", "id"], "v", 20, 3, num_partitions=16, skew="always")
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    want = (df.withColumn("rn", F.row_number().over(w)).withColumn("total", F.sum("v").over(w.rowsBetween(-19, 0)))
+            .where("rn % 3 = 0"))
+    assert rows(got, "id", "total") == rows(want, "id", "total")

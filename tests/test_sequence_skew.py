@@ -83,7 +83,8 @@ def test_plain_plans_agree(skewed, skew):
 
 
 @pytest.mark.parametrize("parts,skew,size,slide", [(1, "always", 3, 1), (9, "always", 10, 5), (64, "always", 2, 1),
-                                                   (8, "auto", 10, 5)])
+                                                   (8, "auto", 10, 5), (64, "always", 100, 7),
+                                                   (200, "always", 50, 1)])
 def test_count_window_sum_matches_window(skewed, parts, skew, size, slide):
     df = skewed.withColumn("v", F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("ms") % 1000))
     got = seq.count_window_sum(df, ["k"], ["ts", "id"], "v", size, slide, num_partitions=parts, skew=skew)
