@@ -18,3 +18,14 @@ def test_bench_prints_one_json_line():
     assert d["unit"] == "sec" and d["sf"] == 0.001
     assert set(d["queries"]) == {"user_totals", "topn_sliding"}
     assert abs(d["value"] - sum(d["queries"].values())) < 1e-6
+
+
+def test_cli_list_and_run(tmp_path):
+    listed = subprocess.run([sys.executable, "-m", "clickflow", "list"], cwd=ROOT, capture_output=True, text=True,
+                            timeout=120, check=True).stdout
+    assert "topn_sliding" in listed and "reconcile" in listed
+    out = tmp_path / "totals"
+    subprocess.run([sys.executable, "-m", "clickflow", "run", "user_totals", SF001, str(out)], cwd=ROOT,
+                   capture_output=True, text=True, timeout=600, check=True)
+    import pyarrow.parquet as pq
+    assert pq.read_table(str(out)).num_rows > 0
