@@ -40,7 +40,7 @@ def main() -> None:
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
-    from clickflow.operators import running_count, session_counts
+    from clickflow.operators import count_window_sum, running_count, session_counts
     from clickflow.session import build_session
     spark = build_session("local[8]", 16, extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
                                                          "spark.driver.memory": os.environ.get("PROBE_MEM", "8g")})
@@ -78,6 +78,12 @@ def main() -> None:
         timed("plain", lambda: plain)
         timed("skew-safe", lambda: running_count(df, ["user_id"], ["ts", "event_id"], skew="always"))
         timed("auto", lambda: running_count(df, ["user_id"], ["ts", "event_id"]))
+    # Count window summing a field: one window per user vs pieces + tails.
+    for _ in range(2 if only == "cws" else 0):
+        timed("cws-plain", lambda: count_window_sum(df.withColumn("v", F.col("event_id") % 10), ["user_id"],
+                                                    ["ts", "event_id"], "v", 10, 5, skew="never"))
+        timed("cws-safe", lambda: count_window_sum(df.withColumn("v", F.col("event_id") % 10), ["user_id"],
+                                                   ["ts", "event_id"], "v", 10, 5, skew="always"))
     # Sessions: Spark's session_window aggregation vs the piecewise sessions.
     for _ in range(2 if only in ("", "sessions") else 0):
         timed("sess-plain", lambda: session_counts(df, "30 minutes", ["user_id"], skew="never"))
