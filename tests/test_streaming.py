@@ -259,3 +259,13 @@ def test_running_sum_state(spark, event_dir, batch_events):
     b = batch_events.withColumn("value", F.col("value").cast("decimal(18,2)"))
     want = op.running_sum(b, ["user_id"], ["ts", "event_id"], "value", "total")
     assert rows(got, "user_id", "event_id", "total") == rows(want, "user_id", "event_id", "total")
+
+
+def test_session_counts_stream_equals_batch(spark, event_dir, batch_events):
+    folder, pdf = event_dir
+    got = _ntz(run_to_memory(st.stream_session_counts(_stream(spark, folder), "2 hours", ["user_id"], "0 seconds")),
+               "session_start", "session_end")
+    want = op.session_counts(batch_events, "2 hours", ["user_id"], tiebreak=["event_id"]).where(
+        F.col("session_end") <= F.lit(pdf["ts"].max()).cast("timestamp_ntz"))
+    assert got.count() > 0
+    assert rows(got) == rows(want.select(*got.columns))
