@@ -68,10 +68,16 @@ def stream_session_counts(stream: DataFrame, gap, keys: Sequence[str], delay: st
     return _counted(with_event_time(stream, delay, ts), F.session_window(ts, gap), keys, "session", "n")
 
 
-def console(df: DataFrame, label: str | None = None, mode: str = "append", truncate: bool = False):
+def console(df: DataFrame, label: str | None = None, mode: str = "append", truncate: bool = False,
+            checkpoint: str | None = None, available_now: bool = False):
     """Print a stream's rows (optionally tagged with a label column) to stdout."""
     out = df.select(F.lit(label).alias("label"), "*") if label else df
-    return out.writeStream.format("console").outputMode(mode).option("truncate", truncate).start()
+    w = out.writeStream.format("console").outputMode(mode).option("truncate", truncate)
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()
 
 
 def stream_user_totals(stream: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -269,3 +269,12 @@ def test_session_counts_stream_equals_batch(spark, event_dir, batch_events):
         F.col("session_end") <= F.lit(pdf["ts"].max()).cast("timestamp_ntz"))
     assert got.count() > 0
     assert rows(got) == rows(want.select(*got.columns))
+
+
+def test_console_print_with_label(spark, event_dir):
+    folder, pdf = event_dir
+    q = st.console(_stream(spark, folder).select("user_id", "event_type"), label="main",
+                   checkpoint=tempfile.mkdtemp(prefix="cf-con-"), available_now=True)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert sum(p["numInputRows"] for p in q.recentProgress) == len(pdf)
