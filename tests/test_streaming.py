@@ -261,12 +261,15 @@ def test_running_sum_state(spark, event_dir, batch_events):
     assert rows(got, "user_id", "event_id", "total") == rows(want, "user_id", "event_id", "total")
 
 
-def test_session_counts_stream_equals_batch(spark, event_dir, batch_events):
+@pytest.mark.parametrize("dynamic", [False, True])
+def test_session_counts_stream_equals_batch(spark, event_dir, batch_events, dynamic):
     folder, pdf = event_dir
-    got = _ntz(run_to_memory(st.stream_session_counts(_stream(spark, folder), "2 hours", ["user_id"], "0 seconds")),
+    gap = F.make_interval(secs=F.length("event_type") * 1800) if dynamic else "2 hours"
+    got = _ntz(run_to_memory(st.stream_session_counts(_stream(spark, folder), gap, ["user_id"], "0 seconds")),
                "session_start", "session_end")
-    want = op.session_counts(batch_events, "2 hours", ["user_id"], tiebreak=["event_id"]).where(
-        F.col("session_end") <= F.lit(pdf["ts"].max()).cast("timestamp_ntz"))
+    batch = (op.dynamic_session_counts(batch_events, gap, ["user_id"], tiebreak=["event_id"]) if dynamic
+             else op.session_counts(batch_events, gap, ["user_id"], tiebreak=["event_id"]))
+    want = batch.where(F.col("session_end") <= F.lit(pdf["ts"].max()).cast("timestamp_ntz"))
     assert got.count() > 0
     assert rows(got) == rows(want.select(*got.columns))
 
