@@ -20,6 +20,9 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Delete reliable-checkpoint files (hot-key session fragments) once the
+    # checkpointed data is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
