@@ -2,7 +2,7 @@
 
 Library code never creates its own session; callers pass one in.  This helper
 is for tests, ``bench.py`` and command-line use.  On a cluster the deploy
-configuration wins: we only fill settings that are still unset.
+configuration wins (see ``build_session``).
 """
 from __future__ import annotations
 
@@ -10,8 +10,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings that every plan in this package assumes or benefits from.  They are
-# applied only when the running session has no value for them yet.
+# Settings that every plan in this package assumes or benefits from.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -25,24 +24,38 @@ DEFAULTS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# The subset that can be changed on a running session (SQL runtime settings).
+RUNTIME_DEFAULTS = {k: v for k, v in DEFAULTS.items() if k.startswith("spark.sql.")}
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "clickflow", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the package defaults.
+    """Create (or reuse) a session.
 
-    ``master`` is only for local runs; on a cluster leave it ``None`` so the
-    submit configuration decides.
+    With ``master`` (local runs, tests, the bench) this helper owns the
+    session and applies ``DEFAULTS``.  Without it (a cluster, the command
+    line) the deployment configuration decides: only SQL runtime settings the
+    session has no value for are filled in, and ``extra`` is applied as given.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULTS)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+        conf = dict(DEFAULTS)
+        if shuffle_partitions:
+            conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        conf.update(extra or {})
+        for k, v in conf.items():
+            builder = builder.config(k, v)
+        spark = builder.getOrCreate()
+    else:
+        spark = builder.getOrCreate()
+        for k, v in RUNTIME_DEFAULTS.items():
+            if spark.conf.get(k, None) is None:
+                spark.conf.set(k, v)
+        if shuffle_partitions:
+            spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        for k, v in (extra or {}).items():
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
