@@ -27,3 +27,19 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["window_start", "window_end", "event_type", "n", "rk"]
     assert df.count() > 0
+
+
+def test_queries_match_oracle_in_a_foreign_session(spark):
+    """Results must not depend on the session time zone, partition count or AQE."""
+    conf = {"spark.sql.session.timeZone": "America/Los_Angeles", "spark.sql.shuffle.partitions": "37",
+            "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        res = oracle_check.compare(spark, SF001)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    bad = {k: v for k, v in res.items() if not (v.get("cols") and v.get("values"))}
+    assert not bad, bad
