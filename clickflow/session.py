@@ -57,7 +57,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         for k, v in (extra or {}).items():
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -65,12 +64,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (distributed file system) folder there and we use
-    it as is.  Only when it is unset -- local runs and tests -- do we create a
-    private scratch folder, which is fine because local mode has one machine.
+    it as is; a cluster without one is an error, because executors could not
+    see each other's files.  Only local masters (one machine: tests, the
+    bench) fall back to a private scratch folder.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not is_single_machine(sc.master):
+            raise ValueError(f"master {sc.master!r} needs spark.checkpoint.dir set to a folder all executors share")
         path = tempfile.mkdtemp(prefix="clickflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc.getCheckpointDir() is None:
@@ -78,6 +80,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def is_single_machine(master: str) -> bool:
+    """True for local masters: ``local``, ``local[n]``, ``local[*, failures]`` (not ``local-cluster[...]``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_subdir(spark: SparkSession, name: str) -> str:
     """A named folder under the shared checkpoint folder (streaming state, staged tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

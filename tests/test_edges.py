@@ -44,3 +44,16 @@ def test_null_key_count_window_sum_across_pieces(spark):
     want = (df.withColumn("rn", F.row_number().over(w)).withColumn("total", F.sum("v").over(w.rowsBetween(-19, 0)))
             .where("rn % 3 = 0"))
     assert rows(got, "id", "total") == rows(want, "id", "total")
+
+
+def test_checkpoint_folder_must_be_named_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from clickflow.session import ensure_checkpoint_dir, is_single_machine
+    assert is_single_machine("local[4]") and is_single_machine("local") and not is_single_machine("local-cluster[2,1,512]")
+    unset = SimpleNamespace(get=lambda key, default=None: default)
+    cluster = SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master="yarn", getConf=lambda: unset))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(cluster)
