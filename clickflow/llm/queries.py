@@ -2,16 +2,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from clickflow.llm.decontaminate import contamination
 from clickflow.llm.url_filter import HOST_RULES, PATTERN_RULES, filter_urls
 from clickflow.sources import read_table
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read_table(spark, sf_dir, "pages"))
 
 
 QUERIES = {
+    "op2_decontaminate": op2_decontaminate,
     "op10_url_filter": op10_url_filter,
 }
 
@@ -19,7 +28,31 @@ _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _RULES = ", ".join(f"('{r.name}', '{r.host}', '{r.path}', '{r.verdict}')" for r in HOST_RULES)
 _PATTERNS = " OR ".join(f"regexp_matches(translate(url, {_AZ}), '{r.regex}')" for r in PATTERN_RULES)
 
+_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLE_SQL = {
+    "op2_decontaminate": f"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '{_WORDS}') AS w FROM documents),
+bw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '{_WORDS}') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, list_slice(w, i, i + least(len(w), 10) - 1) AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM bw WHERE len(w) > 0)),
+grams AS (
+  SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM dw, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, i, g.n, item_id FROM grams g JOIN win USING (n, win)),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY 1),
+hit_items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+  FROM hits GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)""",
     "op10_url_filter": f"""
 WITH cut AS (
   SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
