@@ -6,9 +6,16 @@ from pyspark.sql import functions as F
 
 from clickflow.llm.decontaminate import contamination
 from clickflow.llm.url_filter import HOST_RULES, PATTERN_RULES, filter_urls
+from clickflow.llm.warc import archive_index
 from clickflow.sources import read_table
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = archive_index(read_table(spark, sf_dir, "pages"))
+    return index.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                        "refers_to")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
@@ -20,6 +27,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
     "op10_url_filter": op10_url_filter,
 }
@@ -31,6 +39,17 @@ _PATTERNS = " OR ".join(f"regexp_matches(translate(url, {_AZ}), '{r.regex}')" fo
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 ORACLE_SQL = {
+    "op1_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (
+  SELECT page_id, payload_bytes, min(page_id) OVER (PARTITION BY h, payload_bytes) AS first,
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(h, (1 + 10 * (i // 8))::BIGINT, 10))::BIGINT >> (5 * (7 - i % 8))) & 31), 1)), '')
+           AS payload_digest
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM d""",
     "op2_decontaminate": f"""
 WITH dw AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '{_WORDS}') AS w FROM documents),
