@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickflow.llm.decontaminate import contamination
+from clickflow.llm.line_dedup import dedup_lines
 from clickflow.llm.url_filter import HOST_RULES, PATTERN_RULES, filter_urls
 from clickflow.llm.warc import archive_index
 from clickflow.sources import read_table
@@ -22,6 +23,12 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", F.col("deleted_lines").cast("long").alias("deleted_lines"),
+                       F.length("text").cast("long").alias("n_chars_kept"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read_table(spark, sf_dir, "pages"))
 
@@ -29,6 +36,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
+    "op8_line_dedup": op8_line_dedup,
     "op10_url_filter": op10_url_filter,
 }
 
@@ -72,6 +80,33 @@ hit_items AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)""",
+    "op8_line_dedup": r"""
+WITH raw AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l, text FROM documents),
+li AS (
+  SELECT doc_id, i - 1 AS line_no, trim(l[i], chr(32) || chr(9) || chr(13)) AS s,
+         len(regexp_extract_all(l[i], '\S+')) AS words
+  FROM raw, unnest(range(1, len(l) + 1)) AS u(i)),
+seq AS (
+  SELECT *, row_number() OVER d AS o, sum(words) OVER d AS upto
+  FROM li WHERE words > 0 WINDOW d AS (PARTITION BY doc_id ORDER BY line_no)),
+ends AS (
+  SELECT a.doc_id, a.o AS lo, min(b.o) AS hi FROM seq a JOIN seq b
+    ON a.doc_id = b.doc_id AND b.o >= a.o AND b.o < a.o + 50 AND b.upto >= a.upto - a.words + 50 GROUP BY 1, 2
+  UNION
+  SELECT a.doc_id, max(b.o) AS lo, a.o AS hi FROM seq a JOIN seq b
+    ON a.doc_id = b.doc_id AND b.o <= a.o AND b.o > a.o - 50 AND a.upto - b.upto + b.words >= 50 GROUP BY 1, a.o),
+runs AS (
+  SELECT e.doc_id, lo, hi, string_agg(s, chr(10) ORDER BY o) AS content, list(line_no ORDER BY o) AS nos
+  FROM ends e JOIN seq s ON s.doc_id = e.doc_id AND o BETWEEN lo AND hi GROUP BY 1, 2, 3),
+firsts AS (SELECT *, min(struct_pack(d := doc_id, lo := lo)) OVER (PARTITION BY content) AS f FROM runs),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(nos) AS line_no FROM firsts WHERE f.d <> doc_id OR f.lo <> lo),
+per AS (SELECT doc_id, list(line_no) AS g FROM gone GROUP BY 1),
+new AS (
+  SELECT doc_id, coalesce(len(g), 0) AS deleted_lines, CASE WHEN g IS NULL THEN text ELSE array_to_string(
+    list_transform(list_filter(range(len(l)), lambda i: NOT list_contains(g, i)), lambda i: l[i + 1]), chr(10)) END AS t
+  FROM raw LEFT JOIN per USING (doc_id))
+SELECT doc_id, deleted_lines::BIGINT AS deleted_lines, length(t)::BIGINT AS n_chars_kept, sha256(t) AS text_sha256 FROM new""",
     "op10_url_filter": f"""
 WITH cut AS (
   SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
