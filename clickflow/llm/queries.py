@@ -1,9 +1,11 @@
 """The training-data operators as queries over the driver tables, with DuckDB SQL where SQL can say the same."""
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickflow.llm.bpe import encode_documents
 from clickflow.llm.decontaminate import contamination
 from clickflow.llm.line_dedup import dedup_lines
 from clickflow.llm.url_filter import HOST_RULES, PATTERN_RULES, filter_urls
@@ -23,6 +25,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(read_table(spark, sf_dir, "documents"),
+                            public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(read_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", F.col("deleted_lines").cast("long").alias("deleted_lines"),
@@ -36,6 +43,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
+    "op6_bpe": op6_bpe,
     "op8_line_dedup": op8_line_dedup,
     "op10_url_filter": op10_url_filter,
 }
