@@ -28,7 +28,6 @@ from clickflow.llm.common import materialize
 
 MIN_WORDS = 50
 ISLAND = ["doc", "text_hash", "island"]
-NONE = F.lit(None).cast("bigint")
 
 
 def _lines(text: Column) -> Column:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from clickflow.llm.bpe import encode_documents
 from clickflow.llm.decontaminate import contamination
+from clickflow.llm.language_id import identify_by_fold
 from clickflow.llm.line_dedup import dedup_lines
+from clickflow.llm.toxicity import score_by_fold
 from clickflow.llm.url_filter import HOST_RULES, PATTERN_RULES, filter_urls
 from clickflow.llm.warc import archive_index
 from clickflow.sources import read_table
@@ -30,12 +32,20 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                             public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_by_fold(read_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(read_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", F.col("deleted_lines").cast("long").alias("deleted_lines"),
                        F.length("text").cast("long").alias("n_chars_kept"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_by_fold(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read_table(spark, sf_dir, "pages"))
 
@@ -44,7 +54,9 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
     "op6_bpe": op6_bpe,
+    "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
 }
 
