@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from clickflow.llm.common import crc_fold, materialize
 
@@ -220,9 +221,8 @@ def identify(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
             columns = [pa.array([f[i] for f in found], k) for i, k in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*b.columns, *columns], names=[*b.schema.names, *new])
 
-    schema = kept.schema
-    for name, kind in zip(new, ("string", "double", "double", "boolean")):
-        schema = schema.add(name, kind)
+    kinds = (StringType(), DoubleType(), DoubleType(), BooleanType())
+    schema = StructType([*kept.schema.fields, *(StructField(n, k) for n, k in zip(new, kinds))])
     return kept.mapInArrow(run, schema)
 
 

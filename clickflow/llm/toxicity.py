@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from clickflow.llm.common import crc_fold, materialize
 
@@ -243,7 +244,8 @@ def score_documents(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> Da
                 [*(c for _, c in rest), pa.array(s, pa.float64()), pa.array([int(v >= 0.5) for v in s], pa.int32())],
                 names=[*(n for n, _ in rest), "score", "predicted"])
 
-    schema = kept.drop(text).schema.add("score", "double").add("predicted", "int")
+    schema = StructType([*kept.drop(text).schema.fields, StructField("score", DoubleType()),
+                         StructField("predicted", IntegerType())])
     return kept.mapInArrow(run, schema)
 
 
