@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickflow.llm.bpe import encode_documents
 from clickflow.llm.decontaminate import contamination
+from clickflow.llm.html_extract import extract_pages
 from clickflow.llm.language_id import identify_by_fold
 from clickflow.llm.line_dedup import dedup_lines
 from clickflow.llm.toxicity import score_by_fold
@@ -27,6 +28,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read_table(spark, sf_dir, "documents"),
                             public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -53,6 +58,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
+    "op4_html_extract": op4_html_extract,
     "op6_bpe": op6_bpe,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
