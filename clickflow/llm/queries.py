@@ -5,6 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickflow.llm.ann import search
 from clickflow.llm.bpe import encode_documents
 from clickflow.llm.decontaminate import contamination
 from clickflow.llm.html_extract import extract_pages
@@ -32,6 +33,11 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read_table(spark, sf_dir, "documents"),
                             public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -59,6 +65,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
     "op4_html_extract": op4_html_extract,
+    "op5_ann": op5_ann,
     "op6_bpe": op6_bpe,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
