@@ -11,6 +11,7 @@ from clickflow.llm.decontaminate import contamination
 from clickflow.llm.html_extract import extract_pages
 from clickflow.llm.language_id import identify_by_fold
 from clickflow.llm.line_dedup import dedup_lines
+from clickflow.llm.ngram_join import link_documents
 from clickflow.llm.toxicity import score_by_fold
 from clickflow.llm.url_filter import HOST_RULES, PATTERN_RULES, filter_urls
 from clickflow.llm.warc import archive_index
@@ -29,6 +30,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_documents(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -64,6 +69,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
+    "op3_ngram_join": op3_ngram_join,
     "op4_html_extract": op4_html_extract,
     "op5_ann": op5_ann,
     "op6_bpe": op6_bpe,
@@ -113,6 +119,21 @@ hit_items AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)""",
+    "op3_ngram_join": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, list_slice(w, i, i + 3) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+inter AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM inter JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.other = l.x)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
     "op8_line_dedup": r"""
 WITH raw AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l, text FROM documents),
 li AS (
