@@ -302,7 +302,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, doc: str = "doc_i
                 digests.append(hashlib.sha256(ids).hexdigest())
                 decoded.append(hashlib.sha256(tokenizer.decode(ids)).hexdigest())
                 if with_ids:
-                    flat.append(np.array(ids.split(), dtype=np.int32))
+                    flat.append(np.fromstring(ids, dtype=np.int32, sep=" "))
             columns = [b.column("doc"), pa.array(counts, pa.int64()), pa.array(digests, pa.string()),
                        pa.array(decoded, pa.string())]
             if with_ids:

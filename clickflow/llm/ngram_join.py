@@ -37,6 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from clickflow.llm.common import materialize
 
@@ -147,25 +148,26 @@ def _scan(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     counters += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
                     waiting, held = [], 0
             size = b.num_rows
-            yield _scanned(b.column("doc"), *out, [None] * size, [None] * size)
+            yield _scanned(b.column("doc"), b.column("text_hash"), *out, [None] * size, [None] * size)
         if waiting:
             counters += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
         if counters.any():
             kind = np.uint16 if counters.max() < 1 << 16 else np.int64
             parts = [counters[a:a + CHUNK].astype(kind).tobytes() for a in range(0, COUNTERS, CHUNK)]
             size = len(parts)
-            yield _scanned(pa.nulls(size, doc_type[0]), *[[None] * size] * 4, list(range(size)), parts)
+            yield _scanned(pa.nulls(size, doc_type), pa.nulls(size, pa.int64()), *[[None] * size] * 4,
+                           list(range(size)), parts)
 
-    slim = docs.select("doc", "text")
-    doc_type = [pa.int64() if dict(slim.dtypes)["doc"] == "bigint" else pa.string()]
-    return slim.mapInArrow(run, f"doc {dict(slim.dtypes)['doc']}, n bigint, node bigint, check bigint, bits binary, "
-                                "chunk int, counts binary")
+    slim = docs.select("doc", F.xxhash64("text").alias("text_hash"), "text")
+    doc_type = to_arrow_type(slim.schema["doc"].dataType)
+    return slim.mapInArrow(run, f"doc {dict(slim.dtypes)['doc']}, text_hash bigint, n bigint, node bigint, "
+                                "check bigint, bits binary, chunk int, counts binary")
 
 
-def _scanned(doc, n, node, check, bits, chunk, counts) -> pa.RecordBatch:
+def _scanned(doc, text_hash, n, node, check, bits, chunk, counts) -> pa.RecordBatch:
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays([doc, *(pa.array(c, t) for c, t in zip((n, node, check, bits, chunk, counts), kinds))],
-                                      names=["doc", "n", "node", "check", "bits", "chunk", "counts"])
+    return pa.RecordBatch.from_arrays([doc, text_hash, *(pa.array(c, t) for c, t in zip((n, node, check, bits, chunk, counts), kinds))],
+                                      names=["doc", "text_hash", "n", "node", "check", "bits", "chunk", "counts"])
 
 
 def frequent_table(scanned: DataFrame) -> np.ndarray:
@@ -395,7 +397,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def link_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text", k: int = WORDS,
                    percent: int = PERCENT) -> DataFrame:
-    """Per row: ``doc``, n_shingles, node (names equal sets; null if empty), component_id.
+    """Per row: ``doc``, text_hash, n_shingles, node (names equal sets; null if empty), component_id.
 
     ``component_id`` is the smallest document id reachable by links, the
     row's own included.  Null and wordless texts have no tokens and link with
@@ -457,5 +459,30 @@ def link_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text", k:
     else:
         smallest = smallest.withColumnRenamed("first", "component_id")
     joined = rows.join(smallest, "node", "left")
-    return joined.select(F.col("doc").alias(doc), F.col("n").alias("n_shingles"), "node",
+    return joined.select(F.col("doc").alias(doc), "text_hash", F.col("n").alias("n_shingles"), "node",
                          F.when(F.col("node").isNull(), F.col("doc")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text", k: int = WORDS,
+             percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id; all columns kept.
+
+    Documents without words are linked with nothing and stay.  Of rows that
+    are equal in id and text one stays; of different texts with the smallest
+    id in one component the one with the smallest hash stays.
+    """
+    links = materialize(link_documents(docs, doc, text, k, percent), "links")
+    first = links.where(F.col(doc).eqNullSafe(F.col("component_id")) & F.col("node").isNotNull())
+    # Null ids are never the smallest: a component of null ids alone is told apart by its sets.
+    group = F.when(F.col(doc).isNull(), F.col("node"))
+    stay = first.groupBy(F.col(doc).alias("__doc"), group.alias("__group")).agg(
+        F.min("text_hash").alias("__hash"), F.count(F.lit(1)).alias("__n"))
+    stay = stay.select("__doc", "__hash", "__n").union(
+        links.where("node is null").select(doc, "text_hash", F.lit(1).cast("bigint"))).distinct()
+    stay = materialize(stay, "stay")
+    same = docs[doc].eqNullSafe(stay["__doc"]) & (F.xxhash64(docs[text]) == stay["__hash"])
+    kept = docs.join(stay.select("__doc", "__hash"), same, "left_semi")
+    if not stay.where("__n > 1").isEmpty():  # some id is repeated: equal rows, or other texts that are gone now
+        words = F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+        kept = kept.where(words).dropDuplicates([doc, text]).unionByName(kept.where(~words))
+    return kept
