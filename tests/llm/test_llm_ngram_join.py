@@ -1,0 +1,130 @@
+"""N-gram Jaccard join against all pairs."""
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from clickflow.llm import ngram_join as nj
+
+
+def grams(t, k):
+    w = (t or "").encode().lower().split()
+    n = min(k, len(w))
+    return {tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if w else set()
+
+
+def naive(docs, k, percent):
+    sets = [grams(t, k) for _, t in docs]
+    root = list(range(len(docs)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i in range(len(docs)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    low = {}
+    for i, (d, _) in enumerate(docs):
+        low.setdefault(find(i), []).append(d)
+    out = []
+    for i, (d, _) in enumerate(docs):
+        ids = [x for x in low[find(i)] if x is not None]
+        out.append((d, len(sets[i]), d if not sets[i] else min(ids) if ids else None))
+    return sorted(out, key=repr)
+
+
+def near_copies(rng, groups, size, length):
+    docs, i = [], 0
+    for _ in range(groups):
+        base = [f"w{rng.randint(0, 500)}" for _ in range(length)]
+        for _ in range(size):
+            w = list(base)
+            for _ in range(rng.randint(0, max(1, length // 40))):
+                w[rng.randrange(len(w))] = f"x{rng.randint(0, 10**6)}"
+            docs.append((i, " ".join(w)))
+            i += 1
+    return docs
+
+
+EDGES = [(900, None), (901, ""), (902, " \t\n"), (903, "one two"), (904, "One\nTWO"), (905, "one two three"), (None, "one two"),
+         (None, "solo null id text"), (906, "a b c d"), (907, "A b\x0bc d"), (908, "é É"), (909, "é é"), (903, "one two"),
+         (910, "nb\xa0sp x"), (911, "nb sp x")]
+
+
+@pytest.mark.parametrize("frequent", ["counted", "all", "half"])
+def test_against_all_pairs(spark, monkeypatch, frequent):
+    rng = random.Random(len(frequent))
+    docs = near_copies(rng, 5, 12, 60) + EDGES
+    docs += [(1000, " ".join(f"q{i}" for i in range(20000))), (1001, " ".join(f"q{i}" for i in range(19900)))]
+    if frequent != "counted":
+        table = {"all": 255, "half": 0b10101010}[frequent]
+        monkeypatch.setattr(nj, "frequent_table", lambda s: np.full(nj.COUNTERS // 8, table, np.uint8))
+        monkeypatch.setattr(nj, "BLOCK", 5)
+        monkeypatch.setattr(nj, "MEMBERS", 3)
+    df = spark.createDataFrame([(a, b, 1, 2, "s") for a, b in docs], "doc_id long, text string, node int, n int, sig string")
+    got = nj.link_documents(df.repartition(4)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=repr) == naive(docs, 4, 85)
+
+
+def test_keep_one(spark):
+    docs = near_copies(random.Random(9), 4, 6, 80) + EDGES
+    df = spark.createDataFrame([(a, b, 1) for a, b in docs], "doc_id long, text string, component_id int")
+    kept = nj.keep_one(df, k=5, percent=80)
+    assert kept.columns == df.columns
+    want = {(d, t) for (d, t) in docs if not grams(t, 5)}
+    comp = {}
+    for (d, _, c), (d2, t) in zip(sorted(naive(docs, 5, 80), key=repr), sorted(docs, key=repr)):
+        comp[d] = c
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert want <= set(got)
+    ids = [d for d, t in got if grams(t, 5) and d is not None]
+    assert sorted(ids) == sorted({c for d, c in comp.items() if d is not None and any(grams(t, 5) for x, t in docs if x == d)})
+    assert nj.keep_one(df.limit(0)).count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(6, 400), st.integers(0, 10**6), st.sampled_from([80, 85, 90]), st.integers(0, 4))
+def test_linked_sets_share_a_signature(n, seed, percent, share):
+    """Whatever tokens are frequent, two sets that link have an index entry in common."""
+    rng = np.random.default_rng(seed)
+    x = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+    lost, more = rng.integers(0, n * (100 - percent) // 100 + 1), rng.integers(0, n * (100 - percent) // 100 + 1)
+    y = np.unique(np.concatenate([rng.permutation(x)[lost:], rng.integers(0, 2**63, more, dtype=np.uint64)]))
+    common = len(np.intersect1d(x, y))
+    if 100 * common < percent * (len(x) + len(y) - common) or np.array_equal(x, y):
+        return
+    often = lambda s: (nj._mix(s) % np.uint64(4)) < np.uint64(share)
+    a, b = (nj.signatures(s, often(s), percent) for s in (x, y))
+    assert len(np.intersect1d(a[0], b[0])) or len(np.intersect1d(a[1], b[1]))
+
+
+def test_bitmaps_never_exceed_the_difference():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        x = np.unique(rng.integers(0, 2**63, rng.integers(1, 300), dtype=np.uint64))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) < 0.9], rng.integers(0, 2**63, 9, dtype=np.uint64)]))
+        maps = [np.frombuffer(nj.parity_bitmap(s, nj.bitmap_bits(len(s), 85)), np.uint8)[None] for s in (x, y)]
+        size = min(m.shape[1] for m in maps)
+        different = int(np.bitwise_count(nj._fold(maps[0], size) ^ nj._fold(maps[1], size)).sum())
+        assert different <= len(np.setxor1d(x, y))
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 60)] + \
+            [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]
+    got = {r.node: r.root for r in nj.components(spark.createDataFrame(edges, "x long, y long")).collect()}
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    assert got == {i: find(i) for a, b in edges if a != b for i in (a, b)}
