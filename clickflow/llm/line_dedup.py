@@ -45,9 +45,8 @@ def line_sequences(docs: DataFrame, doc: str, text: str) -> DataFrame:
         return F.struct(i.alias("line_no"), F.regexp_count(s, F.lit(r"\S+")).alias("words"),
                         F.xxhash64(s).alias("h1"), F.xxhash64(F.lit(1), s).alias("h2"))
     found = F.filter(F.transform(_lines(F.col(text)), line), lambda x: x["words"] > 0)
-    return (docs.select(F.col(doc).alias("doc"), F.xxhash64(F.col(text)).alias("text_hash"), found.alias("found"))
-            .dropDuplicates(["doc", "text_hash"])
-            .select("doc", "text_hash", F.posexplode("found").alias("ord", "x"))
+    return (docs.select(F.col(doc).alias("doc"), F.xxhash64(F.col(text)).alias("text_hash"),
+                        F.posexplode(found).alias("ord", "x"))
             .select("doc", "text_hash", "ord", "x.*"))
 
 
@@ -72,22 +71,52 @@ def _ranks(pairs: DataFrame, name: str) -> DataFrame:
             .select("a", "b", (F.col("start") + F.col("within")).alias("rank")))
 
 
-def _shortest_runs(lines: DataFrame, min_words: int) -> DataFrame:
-    """Adds ``fwd`` and ``bwd``: lines of the shortest run of ``min_words`` words from / to each line, else null.
+def _islands(known: DataFrame, min_words: int) -> DataFrame:
+    """One row per island, a stretch of repeated lines without a gap, of ``min_words`` words or more.
 
-    A line has a word at least, so ``min_words`` lines always suffice.
+    ``x`` lists its lines: line_no, rank, and the number of lines of the
+    shortest run of ``min_words`` words from (``fwd``) and to (``bwd``) each,
+    else null.  A line has a word at least, so ``min_words`` lines suffice.
+    ``wanted`` is the longest of these runs.
     """
+    whole = Window.partitionBy("doc", "text_hash").orderBy("ord")
+    # Rows equal in id and text are one document.
+    known = (known.withColumn("island", F.col("ord") - F.dense_rank().over(whole))
+             .withColumn("again", F.lag("ord").over(whole).eqNullSafe(F.col("ord"))).where("not again"))
     order = Window.partitionBy(*ISLAND).orderBy("ord")
-    total = F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    lines = lines.withColumn("upto", total).withColumn("before", F.col("upto") - F.col("words"))
-    ahead = F.collect_list("upto").over(order.rowsBetween(0, min_words - 1))
-    behind = F.collect_list("before").over(order.rowsBetween(1 - min_words, 0))
-    lines = lines.withColumns({"ahead": ahead, "behind": behind})
+    known = known.withColumn("all", F.sum("words").over(Window.partitionBy(*ISLAND))).where(F.col("all") >= min_words)
+    known = known.withColumn("upto", F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    known = known.withColumn("before", F.col("upto") - F.col("words"))
+    known = known.withColumns({"ahead": F.collect_list("upto").over(order.rowsBetween(0, min_words - 1)),
+                               "behind": F.collect_list("before").over(order.rowsBetween(1 - min_words, 0))})
     short_f = F.size(F.filter("ahead", lambda x: x < F.col("before") + min_words))
     short_b = F.size(F.filter("behind", lambda x: x > F.col("upto") - min_words))
-    return lines.select(*ISLAND, "ord", "line_no", "rank",
-                        F.when(short_f < F.size("ahead"), short_f + 1).alias("fwd"),
-                        F.when(short_b < F.size("behind"), short_b + 1).alias("bwd"))
+    lines = known.select(*ISLAND, F.struct(
+        "ord", "line_no", "rank", F.when(short_f < F.size("ahead"), short_f + 1).alias("fwd"),
+        F.when(short_b < F.size("behind"), short_b + 1).alias("bwd")).alias("line"))
+    return lines.groupBy(*ISLAND).agg(
+        F.sort_array(F.collect_list("line")).alias("x"),  # lines of one document
+        F.max(F.greatest("line.fwd", "line.bwd")).alias("wanted"))
+
+
+def _next_level(ranked: DataFrame, level: int) -> DataFrame | None:
+    """Islands with the ranks of 2^(level+1) lines from their ranks of 2^level, where runs that long are asked for."""
+    step = 1 << level
+    size = F.size("ranks")
+    follow = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.struct(
+        F.get("ranks", i).alias("a"), F.get("ranks", i + step).alias("b")))
+    pairs = (ranked.where((F.col("wanted") >= 2 * step) & (size > step))
+             .select(*ISLAND, "wanted", F.posexplode(follow).alias("pos", "p")))
+    alive = F.col("p.a").isNotNull() & F.col("p.b").isNotNull()
+    ranks = _ranks(pairs.where(alive).select(F.col("p.a").alias("a"), F.col("p.b").alias("b")), f"ranks-{level + 1}")
+    # Positions without a pair get keys that match nothing, spread out.
+    lone = -1 - F.pmod(F.xxhash64(*ISLAND, "pos"), F.lit(1 << 20))
+    pairs = pairs.select(*ISLAND, "wanted", "pos", F.when(alive, F.col("p.a")).otherwise(lone).alias("pa"),
+                         F.when(alive, F.col("p.b")).otherwise(F.lit(-1)).alias("pb"))
+    joined = pairs.join(ranks, (F.col("pa") == F.col("a")) & (F.col("pb") == F.col("b")), "left")
+    rows = joined.groupBy(*ISLAND, "wanted").agg(F.sort_array(F.collect_list(F.struct("pos", "rank"))).alias("r"))
+    return rows.select(*ISLAND, "wanted", F.transform("r", lambda x: x["rank"]).alias("ranks")).where(
+        F.exists("ranks", lambda x: x.isNotNull()))
 
 
 def repeated_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text",
@@ -95,50 +124,37 @@ def repeated_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     """(doc, text_hash, line_no): the lines that belong to a later copy of a repeated run."""
     lines = materialize(line_sequences(docs, doc, text), "lines")
     # Level 0: ids of lines that occur more than once, ranked.
-    ids = _ranks(lines.select(F.col("h1").alias("a"), F.col("h2").alias("b")), "rank-0")
-    known = lines.join(ids, (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b")))
-    place = F.row_number().over(Window.partitionBy("doc", "text_hash").orderBy("ord"))
-    known = known.select("doc", "text_hash", "ord", "line_no", "words", "rank",
-                         (F.col("ord") - place).alias("island"))  # lines without a gap between them
-    enough = F.sum("words").over(Window.partitionBy(*ISLAND))
-    known = known.withColumn("all", enough).where(F.col("all") >= min_words)
-    state = materialize(_shortest_runs(known, min_words).withColumnRenamed("rank", "r0"), "level-0")
-
-    # Prefix doubling up to the longest run that is asked for.
-    longest = state.agg(F.greatest(F.max("fwd"), F.max("bwd"))).first()[0] or 0
+    ids = _ranks(lines.select(F.col("h1").alias("a"), F.col("h2").alias("b")), "ranks-0")
+    known = (lines.join(ids, (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b")))
+             .select("doc", "text_hash", "ord", "line_no", "words", "rank"))
+    islands = materialize(_islands(known, min_words), "islands")
+    longest = islands.agg(F.max("wanted")).first()[0] or 0
+
+    ranked = islands.select(*ISLAND, "wanted", F.transform("x", lambda x: x["rank"]).alias("ranks"))
+    levels = ranked.select(*ISLAND, F.lit(0).alias("level"), "ranks")
     level = 0
     while 2 << level <= longest:
-        reach = Window.partitionBy(*ISLAND).orderBy("ord")
-        wanted = F.max(F.greatest("fwd", "bwd")).over(Window.partitionBy(*ISLAND)) >= 2 << level
-        nxt = F.lead(f"r{level}", 1 << level).over(reach)
-        both = state.withColumns({"nxt": nxt, "wanted": wanted})
-        ok = F.col("wanted") & F.col(f"r{level}").isNotNull() & F.col("nxt").isNotNull()
-        # Positions without a pair get keys that match nothing, spread out.
-        lone = -1 - F.pmod(F.xxhash64("doc", "text_hash", "ord"), F.lit(1 << 20))
-        both = both.withColumns({"pa": F.when(ok, F.col(f"r{level}")).otherwise(lone),
-                                 "pb": F.when(ok, F.col("nxt")).otherwise(F.lit(-1))})
-        ranks = _ranks(both.where("pa >= 0").select(F.col("pa").alias("a"), F.col("pb").alias("b")),
-                       f"rank-{level + 1}")
-        joined = both.join(ranks, (F.col("pa") == F.col("a")) & (F.col("pb") == F.col("b")), "left")
-        state = materialize(joined.select(*state.columns, F.col("rank").alias(f"r{level + 1}")), f"level-{level + 1}")
+        ranked = materialize(_next_level(ranked, level), f"level-{level + 1}")
         level += 1
-    return _later_copies(state, level)
+        levels = levels.union(ranked.select(*ISLAND, F.lit(level).alias("level"), "ranks"))
+    return _later_copies(islands, levels)
 
 
-def _later_copies(state: DataFrame, level: int) -> DataFrame:
+def _later_copies(islands: DataFrame, levels: DataFrame) -> DataFrame:
     """Lines of runs whose rank pair also names an earlier run."""
-    ranks = F.array(*[F.col(f"r{k}") for k in range(level + 1)])
-    # One island's lines are lines of one document.
-    one = (state.groupBy(*ISLAND)
-           .agg(F.sort_array(F.collect_list(F.struct("ord", "line_no", "fwd", "bwd", ranks.alias("r")))).alias("x"))
-           .withColumn("n", F.size("x")))
+    # One row a level for each island, so this collects six short lists at most for 50 words.
+    ladder = levels.groupBy(*ISLAND).agg(F.sort_array(F.collect_list(F.struct("level", "ranks"))).alias("r"))
+    renamed = ladder.select(F.col("doc").alias("d"), F.col("text_hash").alias("t"), F.col("island").alias("i"), "r")
+    one = islands.join(renamed, F.col("doc").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t"))
+                       & (F.col("island") == F.col("i"))).withColumn("n", F.size("x"))
 
     def run(start: Column, length: Column, kind: int) -> Column:
         # 2^k <= length < 2^(k+1)
         k = F.length(F.bin(length)) - 1
         last = start + length - F.call_function("shiftleft", F.lit(1), k.cast("int"))
+        ranks = F.get("r", k)["ranks"]
         return F.struct(F.lit(kind).alias("kind"), start.alias("start"), length.alias("len"),
-                        F.get(F.get("x", start)["r"], k).alias("a"), F.get(F.get("x", last)["r"], k).alias("b"))
+                        F.get(ranks, start).alias("a"), F.get(ranks, last).alias("b"))
 
     every = F.sequence(F.lit(0), F.col("n") - 1)
     ahead = F.transform(F.filter(every, lambda i: F.get("x", i)["fwd"].isNotNull()),
@@ -146,7 +162,7 @@ def _later_copies(state: DataFrame, level: int) -> DataFrame:
     behind = F.transform(F.filter(every, lambda i: F.get("x", i)["bwd"].isNotNull()),
                          lambda i: run(i - F.get("x", i)["bwd"] + 1, F.get("x", i)["bwd"], 1))
     found = F.filter(F.concat(ahead, behind), lambda y: y["a"].isNotNull() & y["b"].isNotNull())
-    runs = one.select(*ISLAND, "x", F.explode(F.transform(found, lambda y: F.struct(
+    runs = one.select(*ISLAND, F.explode(F.transform(found, lambda y: F.struct(
         y.alias("run"), F.transform(F.slice("x", y["start"] + 1, y["len"]), lambda z: z["line_no"]).alias("nos"),
         F.get("x", y["start"])["ord"].alias("ord")))).alias("y"))
     runs = materialize(runs.select("doc", "text_hash", "y.run.kind", "y.run.len", "y.run.a", "y.run.b",
