@@ -24,6 +24,10 @@ def batch_word_count(spark: SparkSession, path: str) -> DataFrame:
     return op.word_count(read_lines(spark, path))
 
 
+# Files a micro-batch may take: bounds the rows of one key that stateful Python sees at once.
+MAX_FILES = 1000
+
+
 def _start(df: DataFrame, name: str, checkpoint: str | None, mode: str = "append", sink: str = "console",
            available_now: bool = False, **options):
     w = (df.writeStream.format(sink).outputMode(mode)
@@ -35,7 +39,7 @@ def _start(df: DataFrame, name: str, checkpoint: str | None, mode: str = "append
 
 
 def count_window_to_text(spark: SparkSession, events_dir: str, out_dir: str, size: int = 2, slide: int = 1,
-                         checkpoint: str | None = None, available_now: bool = False, max_files: int | None = None):
+                         checkpoint: str | None = None, available_now: bool = False, max_files: int | None = MAX_FILES):
     """Events -> user pairs -> sliding count window per user -> '(user,n)' lines
     in hour-bucketed rolling text files."""
     ev = stream_events(spark, events_dir, max_files)
@@ -46,17 +50,17 @@ def count_window_to_text(spark: SparkSession, events_dir: str, out_dir: str, siz
 
 def user_totals_to_jdbc(spark: SparkSession, events_dir: str, url: str, table: str = "usercount",
                         driver: str | None = None, checkpoint: str | None = None, available_now: bool = False,
-                        max_files: int | None = None):
+                        max_files: int | None = MAX_FILES):
     """Events -> running count per user -> insert (username, count) rows over JDBC."""
     ev = stream_events(spark, events_dir, max_files)
     totals = st.running_count_state(ev, ["user_id"], ["ts", "event_id"]).select(
-        F.col("user_id").cast("string").alias("username"), F.col("n").cast("int").alias("count"))
+        F.col("user_id").cast("string").alias("username"), F.col("n").alias("count"))
     return sinks.stream_jdbc(totals, url, table, driver, checkpoint=checkpoint, available_now=available_now)
 
 
 def topn_per_window(spark: SparkSession, events_dir: str, size: str = "10 seconds", slide: str = "5 seconds",
                     k: int = 2, delay: str = "3 seconds", checkpoint: str | None = None,
-                    available_now: bool = False, max_files: int | None = None, sink: str = "console", **options):
+                    available_now: bool = False, max_files: int | None = MAX_FILES, sink: str = "console", **options):
     """Events -> top-k actions per sliding event-time window (two chained aggregations)."""
     ev = stream_events(spark, events_dir, max_files)
     top = st.stream_topn_array(ev, size, slide, "event_type", k, delay)
@@ -65,7 +69,7 @@ def topn_per_window(spark: SparkSession, events_dir: str, size: str = "10 second
 
 
 def split_stream(spark: SparkSession, events_dir: str, first: str = "click", second: str = "view",
-                 checkpoint: str | None = None, available_now: bool = False, max_files: int | None = None,
+                 checkpoint: str | None = None, available_now: bool = False, max_files: int | None = MAX_FILES,
                  sink: str = "console", **options):
     """Events -> text rows labelled by branch (tag1 / tag2 / main), as side outputs."""
     ev = as_click_events(stream_events(spark, events_dir, max_files))
@@ -75,7 +79,7 @@ def split_stream(spark: SparkSession, events_dir: str, first: str = "click", sec
 
 
 def merge_streams(spark: SparkSession, events_dir: str, first: str = "click", second: str = "view",
-                  checkpoint: str | None = None, available_now: bool = False, max_files: int | None = None,
+                  checkpoint: str | None = None, available_now: bool = False, max_files: int | None = MAX_FILES,
                   sink: str = "console", **options):
     """Events -> the two side branches merged with their prefixes; main dropped."""
     ev = op.event_text(as_click_events(stream_events(spark, events_dir, max_files)))
@@ -90,7 +94,7 @@ def _pay(spark, events_dir, max_files):
 
 
 def window_join(spark: SparkSession, events_dir: str, size: str = "5 seconds", delay: str = "0 seconds",
-                checkpoint: str | None = None, available_now: bool = False, max_files: int | None = None,
+                checkpoint: str | None = None, available_now: bool = False, max_files: int | None = MAX_FILES,
                 sink: str = "console", **options):
     a, b = _pay(spark, events_dir, max_files)
     return _start(st.stream_window_join(a, b, ["user_id"], size, delay), "window-join", checkpoint, sink=sink,
@@ -98,7 +102,7 @@ def window_join(spark: SparkSession, events_dir: str, size: str = "5 seconds", d
 
 
 def window_cogroup(spark: SparkSession, events_dir: str, size: str = "10 seconds", delay: str = "0 seconds",
-                   checkpoint: str | None = None, available_now: bool = False, max_files: int | None = None,
+                   checkpoint: str | None = None, available_now: bool = False, max_files: int | None = MAX_FILES,
                    sink: str = "console", **options):
     a, b = _pay(spark, events_dir, max_files)
     cg = st.stream_window_cogroup(a, b, ["user_id"], size, "event_id", delay)
@@ -107,7 +111,7 @@ def window_cogroup(spark: SparkSession, events_dir: str, size: str = "10 seconds
 
 def interval_join(spark: SparkSession, events_dir: str, lower: str = "-5 seconds", upper: str = "10 seconds",
                   delay: str = "0 seconds", checkpoint: str | None = None, available_now: bool = False,
-                  max_files: int | None = None, sink: str = "console", **options):
+                  max_files: int | None = MAX_FILES, sink: str = "console", **options):
     a, b = _pay(spark, events_dir, max_files)
     return _start(st.stream_interval_join(a, b, ["user_id"], lower, upper, delay), "interval-join", checkpoint,
                   sink=sink, available_now=available_now, **options)
@@ -115,7 +119,7 @@ def interval_join(spark: SparkSession, events_dir: str, lower: str = "-5 seconds
 
 def reconcile(spark: SparkSession, events_dir: str, tolerance: str = "5 seconds", delay: str = "0 seconds",
               one_to_one: bool = False, checkpoint: str | None = None, available_now: bool = False,
-              max_files: int | None = None, sink: str = "console", **options):
+              max_files: int | None = MAX_FILES, sink: str = "console", **options):
     """App vs third-party payments: MATCHED pairs and MISSING_* alerts once the
     watermark passes a row's time + tolerance.  ``one_to_one`` keeps one
     pending row per side and key, as the reference's co-process function."""

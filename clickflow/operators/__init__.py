@@ -12,7 +12,7 @@ from clickflow.operators.windows import (
 )
 from clickflow.operators.topn import topn_rows, topn_array, topn_array_stream, render_top
 from clickflow.operators.joins import (
-    interval_join, reconcile, reconcile_alerts, window_join, window_cogroup,
+    interval_join, reconcile, reconcile_alerts, reconcile_one_to_one, window_join, window_cogroup, window_cogroup_rows,
 )
 
 __all__ = [
@@ -22,5 +22,6 @@ __all__ = [
     "count_window_sliding", "count_window_tumbling", "count_window_sum",
     "tumbling_counts", "sliding_counts", "session_counts", "dynamic_session_counts",
     "topn_rows", "topn_array", "topn_array_stream", "render_top",
-    "interval_join", "reconcile", "reconcile_alerts", "window_join", "window_cogroup",
+    "interval_join", "reconcile", "reconcile_alerts", "reconcile_one_to_one", "window_join", "window_cogroup",
+    "window_cogroup_rows",
 ]

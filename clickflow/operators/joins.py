@@ -13,11 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickflow.functions.time import epoch_micros, to_micros
+from clickflow.functions.time import epoch_micros, millis_of, to_micros
+from clickflow.operators.sequence import keyed_prefix_sums, keyed_row_number, with_previous
 
 # Reconciliation status names.
 MATCHED = "MATCHED"
@@ -75,33 +76,52 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], lower:
     return _bucketed(lp, rp, keys, left_prefix + ts, right_prefix + ts, lo, hi, "inner")
 
 
-def _unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str], tol: int, ts: str,
-               lp: str, rp: str) -> tuple[DataFrame, DataFrame]:
-    L, R = _prefixed(left, keys, lp), _prefixed(right, keys, rp)
-    left_only = _bucketed(L, R, keys, lp + ts, rp + ts, -tol, tol, "left_anti")
-    right_only = _bucketed(R, L, keys, rp + ts, lp + ts, -tol, tol, "left_anti")
-    return left_only, right_only
-
-
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance: str | int = "5 seconds",
               ts: str = "ts", left_prefix: str = "app_", right_prefix: str = "third_") -> DataFrame:
     """Pair each app row with every third-party row of the same key within
     +-tolerance (MATCHED); rows with no partner in range alert with the
-    missing side named.  Equal to a full outer interval join, built from two
-    bucketed joins so that the range stays part of the join key: a left outer
-    join gives the pairs and the app rows without partner (each pair meets
-    in one bucket only, so nothing is duplicated), an anti join the
-    third-party rows without partner.
+    missing side named.  Equal to a full outer interval join: the pairs come
+    from one bucketed join, the rows without a partner from
+    ``reconcile_alerts``, which looks at neighbours only and joins nothing.
     """
     tol = to_micros(tolerance)
     L, R = _prefixed(left, keys, left_prefix), _prefixed(right, keys, right_prefix)
-    both = _bucketed(L, R.withColumn("_cf_hit", F.lit(True)), keys, left_prefix + ts, right_prefix + ts,
-                     -tol, tol, "left")
-    both = both.withColumn("status", F.when(F.col("_cf_hit"), F.lit(MATCHED)).otherwise(F.lit(MISSING_THIRD))) \
-               .drop("_cf_hit")
-    right_only = _bucketed(R, L, keys, right_prefix + ts, left_prefix + ts, -tol, tol, "left_anti") \
-        .withColumn("status", F.lit(MISSING_APP))
-    return both.unionByName(right_only, allowMissingColumns=True)
+    both = _bucketed(L, R, keys, left_prefix + ts, right_prefix + ts, -tol, tol, "inner").withColumn(
+        "status", F.lit(MATCHED))
+    alone = _alone(left, right, keys, tol, ts)
+    cols = [c for c in left.columns if c not in keys]
+    app = alone.where(F.col("_cf_side") == 0).select(*keys, *[F.col(c).alias(left_prefix + c) for c in cols],
+                                                     F.lit(MISSING_THIRD).alias("status"))
+    third = alone.where(F.col("_cf_side") == 1).select(*keys, *[F.col(c).alias(right_prefix + c) for c in cols],
+                                                       F.lit(MISSING_APP).alias("status"))
+    return both.unionByName(app, allowMissingColumns=True).unionByName(third, allowMissingColumns=True)
+
+
+def _alone(left: DataFrame, right: DataFrame, keys: Sequence[str], tol: int, ts: str) -> DataFrame:
+    """Rows of either side (``_cf_side``) with no row of the other within +-tol, from one pass over both.
+
+    The tagged union is bucketed by time, each row also given to the buckets
+    next to its own; in a bucket the last row of the other side before and
+    the first after a row decide.
+    """
+    cols = [c for c in left.columns if c not in keys]
+    one, other = (d.select(*keys, *cols, F.lit(s).alias("_cf_side"), _micros(d, ts).alias("_cf_us"))
+                  for d, s in ((left, 0), (right, 1)))
+    width = max(tol, 1)
+    own = F.floor(F.col("_cf_us") / width)
+    rows = one.unionByName(other).withColumn(_B, F.explode(F.array(own - 1, own, own + 1))).withColumn("_cf_own", own)
+    w = Window.partitionBy(*keys, _B).orderBy("_cf_us")
+    before, after = w.rangeBetween(-tol, 0), w.rangeBetween(0, tol)
+
+    def seen(side):
+        at = F.when(F.col("_cf_side") == side, 1)
+        return F.coalesce(F.max(at).over(before), F.max(at).over(after), F.lit(0))
+    marked = rows.withColumns({"_cf_l": seen(0), "_cf_r": seen(1)}).where(F.col(_B) == F.col("_cf_own"))
+    has = F.when(F.col("_cf_side") == 0, F.col("_cf_r")).otherwise(F.col("_cf_l")) == 1
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()  # null keys never have a partner
+    return marked.where(~(has & keyed)).select(*keys, *cols, "_cf_side")
 
 
 def reconcile_alerts(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance: str | int = "5 seconds",
@@ -110,12 +130,9 @@ def reconcile_alerts(left: DataFrame, right: DataFrame, keys: Sequence[str], tol
 
     Both sides must have the same columns; output is those columns + status.
     """
-    tol = to_micros(tolerance)
-    left_only, right_only = _unmatched(left, right, keys, tol, ts, "_cf_l_", "_cf_r_")
-    cols = [c for c in left.columns if c not in keys]
-    a = left_only.select(*keys, *[F.col("_cf_l_" + c).alias(c) for c in cols], F.lit(MISSING_THIRD).alias("status"))
-    b = right_only.select(*keys, *[F.col("_cf_r_" + c).alias(c) for c in cols], F.lit(MISSING_APP).alias("status"))
-    return a.unionByName(b)
+    alone = _alone(left, right, keys, to_micros(tolerance), ts)
+    status = F.when(F.col("_cf_side") == 0, MISSING_THIRD).otherwise(MISSING_APP)
+    return alone.withColumn("status", status).drop("_cf_side")
 
 
 def window_join(left: DataFrame, right: DataFrame, keys: Sequence[str], size: str, ts: str = "ts",
@@ -140,44 +157,72 @@ def window_join(left: DataFrame, right: DataFrame, keys: Sequence[str], size: st
     return out.select(*first, *[c for c in out.columns if c not in first])
 
 
+def _tagged(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str, value: str) -> DataFrame:
+    sides = (left, F.lit(0)), (right, F.lit(1))
+    one, other = (d.select(*keys, ts, F.col(value).alias("_cf_v"), side.alias("_cf_side")) for d, side in sides)
+    return one.unionByName(other)
+
+
 def window_cogroup(left: DataFrame, right: DataFrame, keys: Sequence[str], size: str, value: str,
-                   ts: str = "ts", left_out: str = "app_values", right_out: str = "third_values",
-                   page_size: int | None = 10_000, skew: str = "auto") -> DataFrame:
-    """Per (key, tumbling window): the sorted values of both sides, emitted
-    even when one side is empty.
-
-    Batch (``page_size`` set): a group's values are cut into pages of at most
-    ``page_size`` values per side -- page p holds each side's values ranked
-    ``[p * page_size, (p + 1) * page_size)`` -- so no collected list is
-    unbounded even when one key and window hold a large share of the data.
-    Ranks come from the skew-safe ``keyed_row_number``.  Every group has page
-    0; all values are kept.  With ``skew="auto"`` a group-size check runs first
-    and, when no group side exceeds ``page_size``, everything is page 0 and
-    one aggregation suffices.
-
-    ``page_size=None``: one row per group, one aggregation over the tagged
-    union -- the form that also runs as a single stateful operator on streams.
+                   ts: str = "ts", left_out: str = "app_values", right_out: str = "third_values") -> DataFrame:
+    """Per (key, tumbling window): the sorted values of both sides, one row a
+    group, emitted even when one side is empty.
+
+    One aggregation over the tagged union, batch and stream alike.  A row
+    holds all values of its key and window, as the co-group function gets
+    them; ``window_cogroup_rows`` gives the same content without lists.
     """
-    tagged = (left.select(*keys, ts, F.col(value).alias("_cf_v"), F.lit(0).alias("_cf_side"))
-              .unionByName(right.select(*keys, ts, F.col(value).alias("_cf_v"), F.lit(1).alias("_cf_side"))))
     lists = [F.array_sort(F.collect_list(F.when(F.col("_cf_side") == 0, F.col("_cf_v")))).alias(left_out),
              F.array_sort(F.collect_list(F.when(F.col("_cf_side") == 1, F.col("_cf_v")))).alias(right_out)]
-    if page_size is None or tagged.isStreaming:
-        agg = tagged.groupBy(*keys, F.window(ts, size).alias("_cf_w")).agg(*lists)
-        return agg.select(*keys, F.col("_cf_w.start").alias("window_start"), F.col("_cf_w.end").alias("window_end"),
-                          left_out, right_out)
-    from clickflow.operators.sequence import keyed_row_number
+    agg = _tagged(left, right, keys, ts, value).groupBy(*keys, F.window(ts, size).alias("_cf_w")).agg(*lists)
+    return agg.select(*keys, F.col("_cf_w.start").alias("window_start"), F.col("_cf_w.end").alias("window_end"),
+                      left_out, right_out)
+
+
+def window_cogroup_rows(left: DataFrame, right: DataFrame, keys: Sequence[str], size: str, value: str,
+                        ts: str = "ts", left_tag: str = "app", right_tag: str = "third") -> DataFrame:
+    """The co-group of every (key, tumbling window) as rows: side, rank in the side by value, value.
+
+    Sorted by (keys, window, side, rank) the rows are the two lists that a
+    co-group function sees, however many values a group has: ranks are keyed
+    row numbers, which cut large groups into pieces.
+    """
     w = F.window(ts, size)
-    framed = tagged.select(*keys, w.start.alias("window_start"), w.end.alias("window_end"), "_cf_v", "_cf_side")
-    group = [*keys, "window_start", "window_end", "_cf_side"]
-    if skew == "never":
-        raise ValueError("paging needs ranks; use page_size=None for one row per group")
-    big = skew == "always" or bool(
-        framed.groupBy(*group).agg(F.count(F.lit(1)).alias("_cf_c")).where(F.col("_cf_c") > page_size)
-        .limit(1).collect())
-    if big:
-        ranked = keyed_row_number(framed, group, ["_cf_v"], "_cf_rank", skew=skew)
-        paged = ranked.withColumn("page", F.floor((F.col("_cf_rank") - 1) / page_size).cast("long"))
-    else:
-        paged = framed.withColumn("page", F.lit(0).cast("long"))
-    return paged.groupBy(*keys, "window_start", "window_end", "page").agg(*lists)
+    framed = _tagged(left, right, keys, ts, value).select(
+        *keys, w.start.alias("window_start"), w.end.alias("window_end"),
+        F.when(F.col("_cf_side") == 0, left_tag).otherwise(right_tag).alias("side"), F.col("_cf_v").alias(value))
+    group = [*keys, "window_start", "window_end", "side"]
+    return keyed_row_number(framed, group, [value], "rank").select(*group, "rank", value)
+
+
+def reconcile_one_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance: str | int = "5 seconds",
+                         ts: str = "ts", id_col: str = "event_id") -> DataFrame:
+    """1:1 reconciliation: each row pairs with at most one row of the other side.
+
+    The batch form of the keyed process that keeps one pending row: rows of a
+    key are taken in (time in ms, app before third, id) order; a row within
+    ``tolerance`` of the pending row of the other side is MATCHED with it, any
+    other row replaces the pending one, which is reported missing.  So only
+    neighbours can pair, and in a run of rows that are each in reach of the
+    one before, the first pairs with the second, the third with the fourth.
+    Output: keys, app and third id and ms, status.
+    """
+    keys, tol_ms = list(keys), to_micros(tolerance) // 1000
+    order = ["_cf_ms", "_cf_side", "_cf_id"]
+    sides = [d.select(*keys, millis_of(d, ts).alias("_cf_ms"), F.lit(s).alias("_cf_side"), F.col(id_col).alias("_cf_id"))
+             for d, s in ((left, 0), (right, 1))]
+    timeline = with_previous(sides[0].unionByName(sides[1]), keys, order, "_cf_prev")
+    linked = (F.col("_cf_prev._cf_side") != F.col("_cf_side")) & (F.col("_cf_ms") - F.col("_cf_prev._cf_ms") <= tol_ms)
+    timeline = timeline.withColumn("_cf_new", F.when(F.coalesce(linked, F.lit(False)), 0).otherwise(1))
+    runs = keyed_prefix_sums(timeline, keys, order, {"_cf_run": "_cf_new"})
+    run = Window.partitionBy(*keys, "_cf_run").orderBy(*order)
+    runs = runs.withColumns({"_cf_at": F.row_number().over(run), "_cf_more": F.lead("_cf_id").over(run).isNotNull()})
+    second = F.col("_cf_at") % 2 == 0
+    app = F.col("_cf_side") == 0
+
+    def pick(mine: Column, field: str) -> Column:
+        return F.when(mine, F.col(field)).when(second, F.col(f"_cf_prev.{field}"))
+    status = F.when(second, MATCHED).when(app, MISSING_THIRD).otherwise(MISSING_APP)
+    return runs.where(second | ~F.col("_cf_more")).select(
+        *keys, pick(app, "_cf_id").alias(f"app_{id_col}"), pick(app, "_cf_ms").alias("app_ms"),
+        pick(~app, "_cf_id").alias(f"third_{id_col}"), pick(~app, "_cf_ms").alias("third_ms"), status.alias("status"))

@@ -1,28 +1,26 @@
-"""Per-key sequence numbers without a single task per key.
-
-Running totals and count windows need each row's position inside its key
-(ordered by time).  ``Window.partitionBy(key)`` would put a whole key into one
-task, so a key holding a third of the data would be a third of the job on one
-core.  Instead:
-
-1. range-partition on (key, order): Spark samples split points, so a hot key
-   is cut into many partitions, each holding a contiguous run of it;
-2. number rows inside each (key, range partition) with a window -- groups are
-   bounded by the partition size;
-3. count rows per (key, partition) and take a running sum over the previous
-   partitions of the same key.  A key can only cross a partition boundary at
-   the first or last key of a partition, so at most ``n - 1`` pairs have a
-   non-zero offset: that table is broadcast with a proven size bound;
-4. position = local number + offset.
-
-That costs a sampling pass and a second shuffle, which only pays when some key
-is hot.  With ``skew="auto"`` (the default) a cheap check runs first: the largest
-key's row count, compared with one task's fair share of the input
-(``total / n``), bounded by ``HOT_MIN_ROWS`` and ``HOT_MAX_ROWS``.  When no key
-exceeds that budget, every key fits one task and the plain
-``Window.partitionBy(key)`` plan (one shuffle) is used; otherwise the
-range-piece plan above.  ``"always"`` / ``"never"`` force a
-plan.
+"""Per-key sequences without a single task per key.
+
+Running totals, count windows and sessions need what lies before a row in its
+key.  ``Window.partitionBy(key)`` would put a whole key into one task.  Here a
+key's rows are cut into pieces by the first order column, and the piece is a
+pure function of the row:
+
+    piece = floor(position / width)
+
+with ``position`` the order column as a number (microseconds for times) and
+one ``width`` for the table, taken from its span and row count so that a key
+holding every row would have about ``PIECE_ROWS`` rows a piece.  The width is
+a scalar subquery, so building a plan runs nothing.
+
+1. Totals per (key, piece), combined map-side; a running total over a key's
+   earlier pieces gives what each piece starts from.  A key has at most
+   rows / PIECE_ROWS pieces.
+2. That start joins the piece as its first row, so one window per (key, piece)
+   gives final results: no join, and no plan that depends on the key's size.
+
+Rows that share the first order column cannot be cut apart: a key with far
+more than ``PIECE_ROWS`` rows at one instant is one piece.  Order columns that
+are neither times nor integers make one piece a key.
 """
 from __future__ import annotations
 
@@ -30,135 +28,102 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from clickflow.functions.time import epoch_micros
 
-from clickflow.session import ensure_checkpoint_dir
+PIECE_ROWS = 200_000  # rows of a piece, about, if one key held the whole table
 
-_RP, _CNT, _OFF = "_cf_rp", "_cf_cnt", "_cf_off"
+_PIECE, _ROW, _POS = "_cf_piece", "_cf_row", "_cf_pos"
 
 
 def _cols(cs) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    """Range pieces: the given count, else the session's shuffle partitions
-    (the default parallelism when that setting is not a number)."""
-    if num_partitions:
-        return int(num_partitions)
-    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
-    try:
-        return max(1, int(conf))
-    except ValueError:
-        return max(1, df.sparkSession.sparkContext.defaultParallelism)
-
-
-# Below HOT_MIN_ROWS a key is never treated as hot: one task handles it in
-# seconds whatever the cluster size.  Above HOT_MAX_ROWS it always is, even
-# when the configured partition count makes the fair share larger.
-HOT_MIN_ROWS = 1_000_000
-HOT_MAX_ROWS = 50_000_000
-
-
-def hot_key_exists(df: DataFrame, keys: Sequence[str], num_partitions: int | None = None,
-                   min_rows: int = HOT_MIN_ROWS, max_rows: int = HOT_MAX_ROWS) -> bool:
-    """Whether some key holds more rows than ``min(max(total / n, min_rows), max_rows)``.
-
-    One aggregation of the key columns (map-side combined) and a global max;
-    the row total is only counted when the largest key lies between the two
-    limits.  At most n - 1 keys can exceed ``total / n``.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cf_c"))
-    largest = counts.agg(F.max("_cf_c")).first()[0]
-    if not largest or largest <= min_rows:
-        return False
-    if largest > max_rows:
-        return True
-    return largest > df.count() // _num_partitions(df, num_partitions)
-
-
-def split_hot_keys(df: DataFrame, keys: Sequence[str], skew: str = "auto", num_partitions: int | None = None,
-                   min_rows: int = HOT_MIN_ROWS) -> bool:
-    """Decide the plan: True = range pieces, False = one window per key."""
-    if skew == "always":
-        return True
-    if skew == "never":
-        return False
-    if skew != "auto":
-        raise ValueError(f"skew must be 'auto', 'always' or 'never', not {skew!r}")
-    return hot_key_exists(df, keys, num_partitions, min_rows)
+def _number(df: DataFrame, col: str) -> Column | None:
+    """The order column as a long, or None if it is no time or integer."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(F.col(col))
+    if isinstance(kind, T.TimestampNTZType):
+        return epoch_micros(col)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(F.col(col)).cast("long")
+    if isinstance(kind, T.IntegralType):
+        return F.col(col).cast("long")
+    return None
+
+
+def with_pieces(df: DataFrame, order: Sequence[str], piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """``df`` with the piece of each row (null order values have a null piece, which sorts first as they do)."""
+    at = _number(df, order[0])
+    if at is None:
+        return df.withColumn(_PIECE, F.lit(0).cast("long"))
+    lo, hi, n = F.min("p"), F.max("p"), F.count(F.lit(1))
+    pieces = F.greatest(F.lit(1.0), F.ceil(n / piece_rows).cast("double"))
+    width = F.greatest(F.lit(1.0), (hi.cast("double") - lo.cast("double")) / pieces)
+    return df.withColumn(_PIECE, F.floor(at / df.select(at.alias("p")).agg(width.alias("w")).scalar()))
+
+
+def _with_starts(base: DataFrame, keys: list[str], totals: dict[str, Column], merge: dict) -> DataFrame:
+    """``base`` plus one first row per (key, piece) that holds ``merge`` of ``totals`` over the key's earlier pieces."""
+    per_piece = base.groupBy(*keys, _PIECE).agg(*[v.alias(c) for c, v in totals.items()])
+    before = Window.partitionBy(*keys).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_piece.select(*keys, _PIECE, *[merge[c](c).over(before).alias(c) for c in totals],
+                              F.lit(False).alias(_ROW))
+    return base.withColumn(_ROW, F.lit(True)).unionByName(starts, allowMissingColumns=True)
 
 
 def keyed_prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict,
-                      num_partitions: int | None = None, skew: str = "auto",
-                      hot_min_rows: int = HOT_MIN_ROWS) -> DataFrame:
+                      piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Inclusive running sums per key in ``order``: ``{out: value column}``.
 
-    Each value is summed inside its (key, range piece) by a window; the
-    totals of the key's earlier pieces are added from a broadcast table that
-    has a row only for pieces whose key started in an earlier piece -- at
-    most n - 1 rows.  ``order`` must be a total order inside a key.
+    ``order`` must be a total order inside a key.  SQL semantics: nulls are
+    skipped, the sum is null until the key's first value; its type is that of
+    ``sum(value)``.  All columns of ``df`` are kept.
     """
     keys, order = list(keys), list(order)
-    n = _num_partitions(df, num_partitions)
-    vals = {o: (F.col(v) if isinstance(v, str) else v) for o, v in sums.items()}
-    if not split_hot_keys(df, keys, skew, num_partitions, hot_min_rows):
-        run = Window.partitionBy(*keys).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select(*df.columns, *[F.sum(v).over(run).alias(o) for o, v in vals.items()])
-    tmp = {o: f"_cf_v{i}" for i, o in enumerate(vals)}
-    base = df.select("*", *[v.alias(tmp[o]) for o, v in vals.items()])
-    ranged = base.repartitionByRange(n, *_cols(keys), *_cols(order)).withColumn(_RP, F.spark_partition_id())
-
-    piece = Window.partitionBy(*keys, _RP).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.select("*", *[F.sum(t).over(piece).alias(t + "_l") for t in tmp.values()])
-
-    # Needs only (keys, order, values): when ``df`` carries other columns,
-    # Spark prunes this branch's range exchange to those and runs it as its
-    # own narrow shuffle instead of reusing the main one.
-    totals = ranged.groupBy(*keys, _RP).agg(F.count(F.lit(1)).alias(_CNT),
-                                            *[F.sum(t).alias(t + "_t") for t in tmp.values()])
-    before = Window.partitionBy(*keys).orderBy(_RP).rowsBetween(Window.unboundedPreceding, -1)
-    renamed = [f"_cf_k{i}" for i in range(len(keys))]
-    offsets = (totals.select("*", F.sum(_CNT).over(before).alias(_OFF),
-                             *[F.sum(t + "_t").over(before).alias(t + "_o") for t in tmp.values()])
-               .where(F.col(_OFF) > 0)          # the key has an earlier piece
-               .select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], F.col(_RP).alias("_cf_orp"),
-                       *[t + "_o" for t in tmp.values()]))
-    # At most n - 1 rows (one per partition boundary): safe to broadcast.
-    cond = [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)] + [F.col(_RP) == F.col("_cf_orp")]
-    joined = local.join(F.broadcast(offsets), on=cond, how="left")
-
-    def total(t):
-        # SQL running-sum semantics: null until the key's first non-null value.
-        loc, off = F.col(t + "_l"), F.col(t + "_o")
-        return F.when(loc.isNull() & off.isNull(), F.lit(None)).otherwise(
-            F.coalesce(loc, F.lit(0)) + F.coalesce(off, F.lit(0)))
-    outs = [total(t).alias(o) for o, t in tmp.items()]
-    return joined.select(*df.columns, *outs)
+    values = {f"_cf_v{i}": (F.col(v) if isinstance(v, str) else v) for i, v in enumerate(sums.values())}
+    base = with_pieces(df.select("*", *[v.alias(t) for t, v in values.items()]), order, piece_rows)
+    kinds = df.select(*[F.sum(v).alias(t) for t, v in values.items()]).schema
+    rows = _with_starts(base, keys, {t: F.sum(t) for t in values}, {t: F.sum for t in values})
+    run = Window.partitionBy(*keys, _PIECE).orderBy(_ROW, *_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+    outs = [F.sum(t).over(run).cast(kinds[t].dataType).alias(o) for o, t in zip(sums, values)]
+    return rows.select(*df.columns, _ROW, *outs).where(_ROW).drop(_ROW)
 
 
 def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "rn",
-                     num_partitions: int | None = None, skew: str = "auto") -> DataFrame:
-    """1-based position of each row within its key, ordered by ``order``
-    (a running sum of ones)."""
-    return keyed_prefix_sums(df, keys, order, {out: F.lit(1).cast("long")}, num_partitions, skew)
+                     piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """1-based position of each row within its key, ordered by ``order`` (a running sum of ones)."""
+    return keyed_prefix_sums(df, keys, order, {out: F.lit(1).cast("long")}, piece_rows)
+
+
+def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
+                  piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """``df`` with ``out``, a struct of the order columns of the row before in its key (null for the first)."""
+    keys, order = list(keys), list(order)
+    base = with_pieces(df.withColumn(out, F.struct(*order)), order, piece_rows)
+    rows = _with_starts(base, keys, {out: F.max(out)}, {out: F.max})
+    local = Window.partitionBy(*keys, _PIECE).orderBy(_ROW, *_cols(order))
+    return rows.withColumn(out, F.lag(out).over(local)).where(_ROW).select(*df.columns, out)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str = "total",
-                num_partitions: int | None = None, skew: str = "auto") -> DataFrame:
+                piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Keyed running reduce summing ``value``: every row emits its key's new total
     (the reference's keyed reduce adds the tuple's second field)."""
-    return keyed_prefix_sums(df, keys, order, {out: value}, num_partitions, skew)
+    return keyed_prefix_sums(df, keys, order, {out: value}, piece_rows)
 
 
 def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "n",
-                  num_partitions: int | None = None, skew: str = "auto") -> DataFrame:
+                  piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Keyed running reduce without a window: every row emits its key's new total."""
-    return keyed_row_number(df, keys, order, out, num_partitions, skew)
+    return keyed_row_number(df, keys, order, out, piece_rows)
 
 
 def count_window_sliding(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int,
-                         slide: int = 1, out: str = "n", num_partitions: int | None = None,
-                         skew: str = "auto") -> DataFrame:
+                         slide: int = 1, out: str = "n", piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Sliding count window (size, slide) per key, summing one per element.
 
     The window fires on every ``slide``-th element of the key and covers the
@@ -167,15 +132,14 @@ def count_window_sliding(df: DataFrame, keys: Sequence[str], order: Sequence[str
     """
     if size < 1 or slide < 1:
         raise ValueError("size and slide must be positive")
-    numbered = keyed_row_number(df, keys, order, "_cf_pos", num_partitions, skew)
+    numbered = keyed_row_number(df, keys, order, _POS, piece_rows)
     if slide > 1:
-        numbered = numbered.where(F.col("_cf_pos") % slide == 0)
-    return numbered.withColumn(out, F.least(F.col("_cf_pos"), F.lit(size).cast("long"))).drop("_cf_pos")
+        numbered = numbered.where(F.col(_POS) % slide == 0)
+    return numbered.withColumn(out, F.least(F.col(_POS), F.lit(size).cast("long"))).drop(_POS)
 
 
 def count_window_tumbling(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int,
-                          ts: str = "ts", out: str = "n", num_partitions: int | None = None,
-                          skew: str = "auto") -> DataFrame:
+                          ts: str = "ts", out: str = "n", piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Tumbling count window of ``size`` per key; only full windows fire.
 
     Rows are grouped by (key, (position - 1) div size): every group has at
@@ -183,129 +147,43 @@ def count_window_tumbling(df: DataFrame, keys: Sequence[str], order: Sequence[st
     """
     if size < 1:
         raise ValueError("size must be positive")
-    numbered = keyed_row_number(df, keys, order, "_cf_pos", num_partitions, skew)
-    bucketed = numbered.withColumn("win", F.floor((F.col("_cf_pos") - 1) / size).cast("long"))
+    numbered = keyed_row_number(df, keys, order, _POS, piece_rows)
+    bucketed = numbered.withColumn("win", F.floor((F.col(_POS) - 1) / size).cast("long"))
     return (bucketed.groupBy(*keys, "win")
             .agg(F.count(F.lit(1)).alias(out), F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts"))
             .where(F.col(out) == size))
 
 
-# The tail table of count_window_sum's hot-key plan has at most
-# size * (n - 1) rows; it is broadcast only below this many.
-TAIL_BROADCAST_ROWS = 5_000_000
-
-
 def count_window_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, size: int,
-                     slide: int = 1, out: str = "total", num_partitions: int | None = None,
-                     skew: str = "auto") -> DataFrame:
+                     slide: int = 1, out: str = "total", piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Count window (size, slide) per key reducing by summing ``value`` (the
     reference's reduce adds the tuple's second field): on every ``slide``-th
     row, the sum over the key's last ``size`` rows (SQL sum: nulls skipped,
     null when all are null).
 
-    Without hot keys: one window per key.  With hot keys, over range pieces:
-    the window sum is ``cum(pos) - cum(pos - size)``.  Inside a piece the
-    earlier prefix is ``lag(cum, size)``.  Only the first ``size`` rows of a
-    piece whose key began in an earlier piece look further back, and their
-    targets all lie among the last ``size`` rows of an earlier piece of the
-    key that continues.  Those tails are taken from the range pieces with a
-    per-piece top-``size`` (limited map-side), so the table has at most
-    ``size * (n - 1)`` rows and the main rows are numbered once.
+    Rows are numbered, then dealt into blocks of consecutive positions; the
+    last ``size - 1`` rows of a block are also given to the next, so every
+    window is summed from its own rows and nothing else (a NaN or an overflow
+    stays inside the windows that hold it).  Blocks have a fixed row bound.
     """
     if size < 1 or slide < 1:
         raise ValueError("size and slide must be positive")
-    keys, order = list(keys), list(order)
-    if not split_hot_keys(df, keys, skew, num_partitions):
-        w = Window.partitionBy(*keys).orderBy(*_cols(order))
-        r = df.select("*", F.row_number().over(w).alias("_cf_pos"),
-                      F.sum(value).over(w.rowsBetween(-(size - 1), 0)).alias(out))
-        if slide > 1:
-            r = r.where(F.col("_cf_pos") % slide == 0)
-        return r.drop("_cf_pos")
-
-    n = _num_partitions(df, num_partitions)
-    v = F.col(value)
-    base = df.select("*", F.coalesce(v, F.lit(0)).alias("_cf_x"), v.isNotNull().cast("long").alias("_cf_nn"))
-    ranged = base.repartitionByRange(n, *_cols(keys), *_cols(order)).withColumn(_RP, F.spark_partition_id())
-
-    # Local (in-piece) position, running sums, and the running sums `size` rows back.
-    w = Window.partitionBy(*keys, _RP).orderBy(*_cols(order))
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    local = (ranged.select("*", F.row_number().over(w).alias("_cf_lp"), F.sum("_cf_x").over(run).alias("_cf_lx"),
-                           F.sum("_cf_nn").over(run).alias("_cf_ln"))
-             .select("*", F.lag("_cf_lx", size).over(w).alias("_cf_px"), F.lag("_cf_ln", size).over(w).alias("_cf_pn")))
-
-    # Per piece: size and sums; what the key's earlier pieces add (offsets) and
-    # whether the key goes on in a later piece.  Only pieces of keys that cross
-    # a partition boundary matter: at most n - 1 of each.
-    renamed = [f"_cf_k{i}" for i in range(len(keys))]
-    by_key = Window.partitionBy(*keys).orderBy(_RP)
-    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
-    pieces = (ranged.groupBy(*keys, _RP)
-              .agg(F.count(F.lit(1)).alias("_cf_pc"), F.sum("_cf_x").alias("_cf_px_t"), F.sum("_cf_nn").alias("_cf_pn_t"))
-              .select("*", F.coalesce(F.sum("_cf_pc").over(before), F.lit(0)).alias("_cf_oc"),
-                      F.coalesce(F.sum("_cf_px_t").over(before), F.lit(0)).alias("_cf_ox"),
-                      F.coalesce(F.sum("_cf_pn_t").over(before), F.lit(0)).alias("_cf_on"),
-                      F.lead(_RP).over(by_key).isNotNull().alias("_cf_goes_on")))
-    key_as = [F.col(k).alias(r) for k, r in zip(keys, renamed)]
-    on_key = [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)]
-    offsets = pieces.where(F.col("_cf_oc") > 0).select(*key_as, F.col(_RP).alias("_cf_orp"), "_cf_oc", "_cf_ox",
-                                                       "_cf_on")
-    going_on = pieces.where("_cf_goes_on").select(*key_as, F.col(_RP).alias("_cf_orp"), "_cf_pc", "_cf_px_t",
-                                                 "_cf_pn_t", "_cf_oc", "_cf_ox", "_cf_on")
-
-    # Tails: the last `size` rows of every piece whose key goes on, with their
-    # key-wide position and running sums.
-    desc = Window.partitionBy(*keys, _RP).orderBy(*[c.desc() for c in _cols(order)])
-    tail = (ranged.join(F.broadcast(going_on), on=on_key + [F.col(_RP) == F.col("_cf_orp")], how="inner")
-            .withColumn("_cf_rd", F.row_number().over(desc))
-            .where(F.col("_cf_rd") <= size)
-            .select(*keys, _RP, *order, "_cf_rd", "_cf_x", "_cf_nn", "_cf_pc", "_cf_px_t", "_cf_pn_t", "_cf_oc",
-                    "_cf_ox", "_cf_on"))
-    after = desc.rowsBetween(Window.unboundedPreceding, -1)
-    tail = tail.select(
-        *key_as,
-        (F.col("_cf_oc") + F.col("_cf_pc") - F.col("_cf_rd") + 1).alias("_cf_tpos"),
-        (F.col("_cf_ox") + F.col("_cf_px_t") - F.coalesce(F.sum("_cf_x").over(after), F.lit(0))).alias("_cf_tx"),
-        (F.col("_cf_on") + F.col("_cf_pn_t") - F.coalesce(F.sum("_cf_nn").over(after), F.lit(0))).alias("_cf_tn"))
-    tail_side = F.broadcast(tail) if size * max(n - 1, 1) <= TAIL_BROADCAST_ROWS else tail
-
-    j = local.join(F.broadcast(offsets), on=on_key + [F.col(_RP) == F.col("_cf_orp")], how="left") \
-             .drop("_cf_orp", *renamed)
-    oc, ox, on_ = (F.coalesce(F.col(c), F.lit(0)) for c in ("_cf_oc", "_cf_ox", "_cf_on"))
-    j = j.withColumn("_cf_pos", F.col("_cf_lp") + oc)
-    j = j.withColumn("_cf_target", F.when((F.col("_cf_lp") <= size) & (oc > 0) & (F.col("_cf_pos") > size),
-                                          F.col("_cf_pos") - size))
+    keys = list(keys)
+    rows = max(piece_rows, 8 * size)
+    numbered = keyed_row_number(df, keys, order, _POS, piece_rows)
+    block = F.floor((F.col(_POS) - 1) / rows)
+    # A block's tail also belongs to the block of the position `size - 1` rows on.
+    last = F.floor((F.col(_POS) + size - 2) / rows)
+    dealt = numbered.withColumn(_ROW, block).withColumn(_PIECE, F.explode(F.sequence(block, last)))
+    w = Window.partitionBy(*keys, _PIECE).orderBy(_POS).rowsBetween(1 - size, 0)
+    summed = dealt.withColumn(out, F.sum(value).over(w)).where(F.col(_ROW) == F.col(_PIECE))
     if slide > 1:
-        j = j.where(F.col("_cf_pos") % slide == 0)
-    j = j.join(tail_side, on=on_key + [F.col("_cf_target") == F.col("_cf_tpos")], how="left")
-    inside = F.col("_cf_lp") > size
-    x = (F.when(inside, F.col("_cf_lx") - F.col("_cf_px"))
-          .otherwise(ox + F.col("_cf_lx") - F.coalesce(F.col("_cf_tx"), F.lit(0))))
-    nn = (F.when(inside, F.col("_cf_ln") - F.col("_cf_pn"))
-           .otherwise(on_ + F.col("_cf_ln") - F.coalesce(F.col("_cf_tn"), F.lit(0))))
-    return j.select(*df.columns, F.when(nn > 0, x).alias(out))
-
-
-def _carry_table(parts: DataFrame, keys: list[str], value: str, agg, out: str) -> DataFrame:
-    """Per (key, range partition): ``agg`` of ``value`` over the key's earlier
-    partitions.  Only pairs whose key started in an earlier partition have
-    one -- at most n - 1 rows, so the result is safe to broadcast."""
-    before = Window.partitionBy(*keys).orderBy(_RP).rowsBetween(Window.unboundedPreceding, -1)
-    renamed = [f"_cf_k{i}" for i in range(len(keys))]
-    return (parts.withColumn(out, agg(value).over(before))
-            .where(F.col(out).isNotNull())
-            .select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], F.col(_RP).alias("_cf_orp"), out))
-
-
-def _join_carry(df: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
-    renamed = [f"_cf_k{i}" for i in range(len(keys))]
-    cond = [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)] + [F.col(_RP) == F.col("_cf_orp")]
-    return df.join(F.broadcast(carry), on=cond, how="left").drop("_cf_orp", *renamed)
+        summed = summed.where(F.col(_POS) % slide == 0)
+    return summed.select(*[c for c in df.columns if c != out], out)
 
 
 def sessions(df: DataFrame, keys: Sequence[str], ts: str, gap, tiebreak: Sequence[str] = (),
-             out: str = "n", num_partitions: int | None = None) -> DataFrame:
+             out: str = "n", piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Session windows per key: (session_start, session_end, keys, n).
 
     A row covers ``[ts, ts + gap)``; a row joins the open session unless it
@@ -313,62 +191,23 @@ def sessions(df: DataFrame, keys: Sequence[str], ts: str, gap, tiebreak: Sequenc
     gap apart join).  ``gap`` is a duration string or an interval column
     (dynamic gap); rows with a gap that is not positive form no session.
 
-    Same result as grouping by ``session_window``, but a key is never handled
-    by one task: the key's ordered run is cut by range partitioning, each
-    piece is sessionised locally, and the latest end of the earlier pieces is
-    carried in through a broadcast table of at most n - 1 rows.  Pieces of one
-    session that straddle a cut are re-joined the same way.
+    Same result as grouping by ``session_window``, but no key is one task: the
+    latest end before a row is a running maximum, the session's number a
+    running sum of session starts, both by pieces, and the last grouping is by
+    (key, session) with map-side combining.
     """
-    keys, tiebreak = list(keys), list(tiebreak)
-    order = [ts, *tiebreak]
+    keys, order = list(keys), [ts, *tiebreak]
     gap_col = F.expr(f"INTERVAL {gap}") if isinstance(gap, str) else gap
-    n = _num_partitions(df, num_partitions)
-    END, PREV, CARRY, SID = "_cf_end", "_cf_prev", "_cf_carry", "_cf_sid"
-
-    ends = df.select(*keys, *order, (F.col(ts) + gap_col).alias(END)).where(F.col(END) > F.col(ts))
-    ranged = ends.repartitionByRange(n, *_cols(keys), *_cols(order)).withColumn(_RP, F.spark_partition_id())
-
-    local = Window.partitionBy(*keys, _RP).orderBy(*_cols(order))
-    prev = ranged.withColumn(PREV, F.max(END).over(local.rowsBetween(Window.unboundedPreceding, -1)))
-    # Latest end of the key in earlier partitions.
-    carry = _carry_table(ranged.groupBy(*keys, _RP).agg(F.max(END).alias("_cf_pend")), keys, "_cf_pend", F.max,
-                         CARRY)
-    joined = _join_carry(prev, carry, keys)
-    last_end = F.greatest(F.col(PREV), F.col(CARRY))
-    starts = (last_end.isNull() | (F.col(ts) > last_end)).cast("long")
-    # Sessions started inside this piece; rows before the first start (sid 0)
-    # continue the session left open by an earlier piece.
-    numbered = joined.withColumn(SID, F.sum(starts).over(local.rowsBetween(Window.unboundedPreceding, 0)))
-    frags = (numbered.groupBy(*keys, _RP, SID)
-             .agg(F.min(ts).alias("_cf_s"), F.max(END).alias("_cf_e"), F.count(F.lit(1)).alias("_cf_c")))
-    # Three consumers below need different columns of the fragments, so Spark
-    # would re-run the shuffle and windows for each.  Write them once to the
-    # shared checkpoint folder instead (this also cuts the lineage).
-    ensure_checkpoint_dir(df.sparkSession)
-    frags = frags.checkpoint(eager=True)
-
-    # For every piece that begins with a continuation, the piece that owns the
-    # open session: the latest earlier piece of the key with a start in it.
-    stats = frags.groupBy(*keys, _RP).agg(F.max(SID).alias("_cf_maxsid"), F.min(SID).alias("_cf_minsid"))
-    before = Window.partitionBy(*keys).orderBy(_RP).rowsBetween(Window.unboundedPreceding, -1)
-    owner = F.last(F.when(F.col("_cf_maxsid") > 0, F.struct(F.col(_RP).alias("rp"),
-                                                            F.col("_cf_maxsid").alias("sid"))),
-                   ignorenulls=True).over(before)
-    renamed = [f"_cf_k{i}" for i in range(len(keys))]
-    origin = (stats.withColumn("_cf_own", owner)
-              .where((F.col("_cf_minsid") == 0) & F.col("_cf_own").isNotNull())
-              .select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], F.col(_RP).alias("_cf_orp"),
-                      F.col("_cf_own.rp").alias("_cf_trp"), F.col("_cf_own.sid").alias("_cf_tsid")))
-    # Continuation pieces (at most n - 1) folded into their owner.
-    cond = [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)] + [F.col(_RP) == F.col("_cf_orp")]
-    conts = (frags.where(F.col(SID) == 0).join(F.broadcast(origin), on=cond, how="inner")
-             .groupBy(*renamed, "_cf_trp", "_cf_tsid")
-             .agg(F.max("_cf_e").alias("_cf_ce"), F.sum("_cf_c").alias("_cf_cc")))
-    cond2 = ([F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)]
-             + [F.col(_RP) == F.col("_cf_trp"), F.col(SID) == F.col("_cf_tsid")])
-    whole = frags.where(F.col(SID) > 0).join(F.broadcast(conts), on=cond2, how="left")
-    return whole.select(
-        F.col("_cf_s").alias("session_start"),
-        F.greatest(F.col("_cf_e"), F.col("_cf_ce")).alias("session_end"),
-        *keys,
-        (F.col("_cf_c") + F.coalesce(F.col("_cf_cc"), F.lit(0).cast("long"))).alias(out))
+    ends = df.select(*keys, *order, (F.col(ts) + gap_col).alias("_cf_end")).where(F.col("_cf_end") > F.col(ts))
+    base = with_pieces(ends, order, piece_rows)
+    rows = _with_starts(base, keys, {"_cf_end": F.max("_cf_end")}, {"_cf_end": F.max})
+    local = Window.partitionBy(*keys, _PIECE).orderBy(_ROW, *_cols(order))
+    before = F.max("_cf_end").over(local.rowsBetween(Window.unboundedPreceding, -1))
+    opened = rows.withColumn("_cf_last", before).where(_ROW)
+    opened = opened.withColumn("_cf_new", (F.col("_cf_last").isNull() | (F.col(ts) > F.col("_cf_last"))).cast("long"))
+    opened = opened.select(*keys, *order, "_cf_end", _PIECE, "_cf_new")
+    numbered = _with_starts(opened, keys, {"_cf_new": F.sum("_cf_new")}, {"_cf_new": F.sum})
+    sid = F.sum("_cf_new").over(local.rowsBetween(Window.unboundedPreceding, 0))
+    whole = numbered.withColumn("_cf_sid", sid).where(_ROW).groupBy(*keys, "_cf_sid").agg(
+        F.min(ts).alias("session_start"), F.max("_cf_end").alias("session_end"), F.count(F.lit(1)).alias(out))
+    return whole.select("session_start", "session_end", *keys, out)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from clickflow import operators as op
 from clickflow.functions.text import pair_string
+from clickflow.functions.time import epoch_millis, ntz_from_millis
 from clickflow.sources import app_side, as_click_events, document_lines, read_events, read_table, third_side
 
 # Parameters of the registered queries.
@@ -30,7 +31,6 @@ COUNT_TUMBLE = 10
 INTERVAL_LOWER, INTERVAL_UPPER = "-1 hour", "2 hours"
 JOIN_WINDOW = "1 day"
 COGROUP_WINDOW = "1 day"
-COGROUP_PAGE = 10_000
 RECONCILE_TOLERANCE = "1 hour"
 ROUTE_RULES = (("click", "tag1"), ("view", "tag2"))
 
@@ -172,10 +172,7 @@ def window_join(spark, sf_dir):
 
 def window_cogroup(spark, sf_dir):
     a, b = _pay(spark, sf_dir)
-    cg = op.window_cogroup(a, b, USER, COGROUP_WINDOW, "event_id", page_size=COGROUP_PAGE)
-    ids = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
-    return cg.select(*USER, "window_start", "window_end", "page",
-                     ids("app_values").alias("app_ids"), ids("third_values").alias("third_ids"))
+    return op.window_cogroup_rows(a, b, USER, COGROUP_WINDOW, "event_id")
 
 
 def interval_join(spark, sf_dir):
@@ -193,6 +190,19 @@ def reconcile_alerts(spark, sf_dir):
     return op.reconcile_alerts(a, b, USER, RECONCILE_TOLERANCE)
 
 
+def reconcile_one_to_one(spark, sf_dir):
+    a, b = _pay(spark, sf_dir)
+    return op.reconcile_one_to_one(a, b, USER, RECONCILE_TOLERANCE)
+
+
+def event_time(spark, sf_dir):
+    """``times`` (epoch ms) as the event-time column, its tumbling window, and back."""
+    ev = as_click_events(_events(spark, sf_dir))
+    timed = ev.withColumn("ts", ntz_from_millis("times"))
+    return timed.select("event_id", "ts", F.window("ts", TUMBLE_SIZE).start.alias("window_start"),
+                        epoch_millis("ts").alias("times"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topn_sliding": topn_sliding,
     "sliding_counts": sliding_counts,
@@ -221,6 +231,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interval_join": interval_join,
     "reconcile": reconcile,
     "reconcile_alerts": reconcile_alerts,
+    "reconcile_one_to_one": reconcile_one_to_one,
+    "event_time": event_time,
 }
 
 FLAGSHIP = "topn_sliding"

@@ -142,14 +142,33 @@ FROM {_APP} a JOIN {_THIRD} b
   ON a.user_id = b.user_id AND {_bucket('1 day', 'a.ts')} = {_bucket('1 day', 'b.ts')}
 """,
     "window_cogroup": f"""
-WITH t AS (SELECT user_id, {_bucket('1 day')} AS ws, event_id, event_type FROM events
+SELECT user_id, {_bucket('1 day')} AS window_start, {_bucket('1 day')} + INTERVAL '1 day' AS window_end,
+       CASE event_type WHEN 'click' THEN 'app' ELSE 'third' END AS side,
+       row_number() OVER (PARTITION BY user_id, {_bucket('1 day')}, event_type ORDER BY event_id) AS rank, event_id
+FROM events WHERE event_type IN ('click', 'purchase')
+""",
+    "reconcile_one_to_one": f"""
+WITH t AS (SELECT user_id, event_id, {_MS} AS ms, CAST(event_type = 'purchase' AS INT) AS side FROM events
            WHERE event_type IN ('click', 'purchase')),
-r AS (SELECT *, (row_number() OVER (PARTITION BY user_id, ws, event_type ORDER BY event_id) - 1) // 10000 AS page
-      FROM t)
-SELECT user_id, ws AS window_start, ws + INTERVAL '1 day' AS window_end, page,
-       coalesce(string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) FILTER (WHERE event_type = 'click'), '') AS app_ids,
-       coalesce(string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) FILTER (WHERE event_type = 'purchase'), '') AS third_ids
-FROM r GROUP BY user_id, ws, page
+p AS (SELECT *, lag(event_id) OVER k AS pid, lag(ms) OVER k AS pms, lag(side) OVER k AS pside
+      FROM t WINDOW k AS (PARTITION BY user_id ORDER BY ms, side, event_id)),
+r AS (SELECT *, sum(CASE WHEN pside <> side AND ms - pms <= 3600000 THEN 0 ELSE 1 END)
+                OVER (PARTITION BY user_id ORDER BY ms, side, event_id) AS run FROM p),
+n AS (SELECT *, row_number() OVER k AS nth, count(*) OVER (PARTITION BY user_id, run) AS size
+      FROM r WINDOW k AS (PARTITION BY user_id, run ORDER BY ms, side, event_id))
+SELECT user_id,
+       CASE WHEN side = 0 THEN event_id WHEN nth % 2 = 0 THEN pid END AS app_event_id,
+       CASE WHEN side = 0 THEN ms WHEN nth % 2 = 0 THEN pms END AS app_ms,
+       CASE WHEN side = 1 THEN event_id WHEN nth % 2 = 0 THEN pid END AS third_event_id,
+       CASE WHEN side = 1 THEN ms WHEN nth % 2 = 0 THEN pms END AS third_ms,
+       CASE WHEN nth % 2 = 0 THEN 'MATCHED' WHEN side = 0 THEN 'MISSING_THIRD' ELSE 'MISSING_APP' END AS status
+FROM n WHERE nth % 2 = 0 OR nth = size
+""",
+    "event_time": f"""
+SELECT event_id, make_timestamp({_MS} * 1000) AS ts,
+       time_bucket(INTERVAL '5 hours', make_timestamp({_MS} * 1000), TIMESTAMP '1970-01-01') AS window_start,
+       {_MS} AS times
+FROM events
 """,
     "interval_join": f"""
 SELECT a.user_id, a.event_id AS app_event_id, a.ts AS app_ts, b.event_id AS third_event_id, b.ts AS third_ts

@@ -8,6 +8,7 @@ bounded by the trigger size (``maxFilesPerTrigger``).
 """
 from __future__ import annotations
 
+import decimal
 from collections.abc import Sequence
 
 import numpy as np
@@ -58,20 +59,28 @@ def running_count_state(stream: DataFrame, keys: Sequence[str], order: Sequence[
             yield pdf[keys + carry].assign(**{out: n})
             return
         total = state.get[1] if state.exists else None
-        totals = []
-        for x in pdf[value].tolist():
-            if not pd.isna(x):
-                total = x if total is None else total + x
-            totals.append(total)
-        state.update((int(n[-1]), total))
+        known = pdf[value].notna().to_numpy()
+        zero = decimal.Decimal(0) if isinstance(out_type, T.DecimalType) else 0
+        # Cumulative sum over the batch, started from the state (exact for decimals: object dtype).
+        run = np.cumsum(pdf[value].where(known, zero).to_numpy(dtype=_np_type(out_type)))
+        run = run + (zero if total is None else total)
+        started = np.full(len(pdf), total is not None) | np.logical_or.accumulate(known)
         res = pdf[keys + carry].copy()
-        res[out] = pd.Series(totals, index=res.index, dtype="object")
+        res[out] = pd.Series(run, index=res.index, dtype="object").where(started, None)
+        if started[-1]:
+            total = run[-1] if isinstance(out_type, T.DecimalType) else run[-1].item()
+        state.update((int(n[-1]), total))
         yield res
 
     return stream.groupBy(*keys).applyInPandasWithState(
         step, schema, state_schema, "append", GroupStateTimeout.NoTimeout)
 
 
+def _np_type(dt: T.DataType):
+    """Numpy type of sums: decimals stay exact as objects."""
+    return object if isinstance(dt, T.DecimalType) else np.int64 if isinstance(dt, T.LongType) else np.float64
+
+
 def _sum_type(dt: T.DataType) -> T.DataType:
     if isinstance(dt, T.DecimalType):
         return T.DecimalType(min(38, dt.precision + 10), dt.scale)
@@ -115,16 +124,19 @@ def count_window_state(stream: DataFrame, keys: Sequence[str], order: Sequence[s
                 yield pdf.loc[fire, keys + carry].assign(**{out: np.minimum(pos[fire], size)})
             return
         vals = tail + [None if pd.isna(x) else x for x in pdf[value].tolist()]
-        sums = []
-        for i in np.flatnonzero(fire):
-            end = len(tail) + i + 1                      # row i's place in tail + batch
-            window = [x for x in vals[max(0, end - size):end] if x is not None]
-            sums.append(sum(window) if window else None)
         state.update((int(pos[-1]), vals[-(size - 1):] if size > 1 else []))
-        if fire.any():
-            res = pdf.loc[fire, keys + carry].copy()
-            res[out] = pd.Series(sums, index=res.index, dtype="object")
-            yield res
+        if not fire.any():
+            return
+        # Every window is summed from its own rows: one strided view over values padded in front.
+        zero = decimal.Decimal(0) if isinstance(out_type, T.DecimalType) else 0
+        kind = _np_type(out_type)
+        padded = np.array([zero] * (size - 1) + [zero if x is None else x for x in vals], dtype=kind)
+        known = np.array([False] * (size - 1) + [x is not None for x in vals])
+        ends = len(tail) + np.flatnonzero(fire)          # a row's window starts here in the padded values
+        views = [np.lib.stride_tricks.sliding_window_view(x, size)[ends] for x in (padded, known)]
+        res = pdf.loc[fire, keys + carry].copy()
+        res[out] = pd.Series(views[0].sum(axis=1), index=res.index, dtype="object").where(views[1].any(axis=1), None)
+        yield res
 
     return stream.groupBy(*keys).applyInPandasWithState(
         step, schema, state_schema, "append", GroupStateTimeout.NoTimeout)

@@ -126,8 +126,7 @@ def stream_window_cogroup(left: DataFrame, right: DataFrame, keys: Sequence[str]
     """Co-group as one stateful aggregation over the tagged union (never
     ``cogroup().applyInPandas``, which groups per micro-batch only)."""
     from clickflow.operators.joins import window_cogroup
-    return window_cogroup(with_event_time(left, delay, ts), with_event_time(right, delay, ts), keys, size, value,
-                          ts, page_size=None)
+    return window_cogroup(with_event_time(left, delay, ts), with_event_time(right, delay, ts), keys, size, value, ts)
 
 
 def _bucketed_stream_join(L: DataFrame, R: DataFrame, keys, cond, lt: str, rt: str, lo: int, hi: int,

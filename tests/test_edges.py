@@ -17,29 +17,31 @@ def _df(spark, data):
 def test_empty_inputs(spark):
     e = _df(spark, [])
     assert seq.keyed_row_number(e, ["k"], ["ts", "id"]).count() == 0
-    assert seq.keyed_row_number(e, ["k"], ["ts", "id"], skew="always").count() == 0
+    assert seq.keyed_row_number(e, ["k"], ["ts", "id"], piece_rows=10).count() == 0
     assert seq.sessions(e, ["k"], "ts", "1 hour", ["id"]).count() == 0
     assert op.count_window_tumbling(e, ["k"], ["ts", "id"], 3).count() == 0
     a = e.select("k", "id", "ts")
     assert op.reconcile(a, a, ["k"], "1 hour").count() == 0
     assert op.interval_join(a, a, ["k"], "-1 hour", "1 hour").count() == 0
+    assert op.reconcile_one_to_one(a, a, ["k"], "1 hour", id_col="id").count() == 0
     assert op.window_cogroup(a, a, ["k"], "1 day", "id").count() == 0
+    assert op.window_cogroup_rows(a, a, ["k"], "1 day", "id").count() == 0
 
 
 def test_null_key_numbered_across_pieces(spark):
     data = [(None, i, i * 1000) for i in range(300)] + [(1, 1000 + i, i * 1000) for i in range(50)]
     df = _df(spark, data)
-    got = seq.keyed_row_number(df, ["k"], ["ts", "id"], "rn", num_partitions=16, skew="always")
+    got = seq.keyed_row_number(df, ["k"], ["ts", "id"], "rn", piece_rows=20)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id")).cast("long"))
     assert rows(got, "id", "rn") == rows(want, "id", "rn")
-    s = seq.sessions(df, ["k"], "ts", "2 seconds", ["id"], num_partitions=16)
+    s = seq.sessions(df, ["k"], "ts", "2 seconds", ["id"], piece_rows=20)
     assert rows(s, "k", "n") == sorted([(None, 300), (1, 50)], key=repr)
 
 
 def test_null_key_count_window_sum_across_pieces(spark):
     data = [(None, i, i * 1000) for i in range(300)] + [(1, 1000 + i, i * 1000) for i in range(50)]
     df = _df(spark, data).withColumn("v", F.col("id") % 7)
-    got = seq.count_window_sum(df, ["k"], ["ts", "id"], "v", 20, 3, num_partitions=16, skew="always")
+    got = seq.count_window_sum(df, ["k"], ["ts", "id"], "v", 20, 3, piece_rows=20)
     w = Window.partitionBy("k").orderBy("ts", "id")
     want = (df.withColumn("rn", F.row_number().over(w)).withColumn("total", F.sum("v").over(w.rowsBetween(-19, 0)))
             .where("rn % 3 = 0"))

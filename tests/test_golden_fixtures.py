@@ -103,14 +103,14 @@ def test_unpivot_and_pairs(spark):
     assert rows(op.user_pairs(ev)) == [("u1", 1)]
 
 
-def test_cogroup_pages_keep_every_value(spark):
-    # one hot (key, window) with 25 left and 7 right values, pages of 10
+def test_cogroup_rows_keep_every_value(spark):
     left = spark.createDataFrame([("k", i * 10, i) for i in range(25)], "order_id string, ts long, v long")
     right = spark.createDataFrame([("k", i * 10, 100 + i) for i in range(7)], "order_id string, ts long, v long")
-    got = op.window_cogroup(_ts(left), _ts(right), ["order_id"], "10 seconds", "v", page_size=10)
-    res = sorted((r.page, r.app_values, r.third_values) for r in got.collect())
-    assert res == [(0, list(range(10)), list(range(100, 107))), (1, list(range(10, 20)), []),
-                   (2, list(range(20, 25)), [])]
+    got = op.window_cogroup_rows(_ts(left), _ts(right), ["order_id"], "10 seconds", "v")
+    assert sorted((r.side, r["rank"], r.v) for r in got.collect()) == (
+        [("app", i + 1, i) for i in range(25)] + [("third", i + 1, 100 + i) for i in range(7)])
+    lists = op.window_cogroup(_ts(left), _ts(right), ["order_id"], "10 seconds", "v").collect()
+    assert [(r.app_values, r.third_values) for r in lists] == [(list(range(25)), list(range(100, 107)))]
 
 
 def test_word_count_from_text_file(spark, tmp_path):

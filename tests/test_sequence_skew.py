@@ -1,99 +1,148 @@
-"""Per-key sequence operators on skewed input, against plain single-task
-formulations (Spark window functions / session_window) as brute force."""
-import random
-
+"""Per-key sequence operators on wide, skewed, multi-file input of 120,000 rows,
+against plain single-task formulations as brute force.  Every column is
+compared, with exchange reuse on and off, and in pieces of several sizes."""
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from clickflow import operators as op
 from clickflow.operators import sequence as seq
 from clickflow.operators.windows import _counted
 from conftest import rows
 
+N = 120_000
+KEY, ORDER = ["k"], ["ts", "id"]
+
 
 @pytest.fixture(scope="module")
-def skewed(spark):
-    rnd = random.Random(7)
-    data = []
-    eid = 0
-    # key 0 holds about a third of the rows; a few keys have one row.
-    for k, cnt in [(0, 1500), (1, 700), (2, 600), (3, 1), (4, 1), (5, 1200)]:
-        t = 1_700_000_000_000
-        for _ in range(cnt):
-            t += rnd.choice([1_000, 30_000, 600_000, 4_000_000, 9_000_000])
-            data.append((k, eid, t, rnd.choice(["a", "bb", "ccc", ""])))
-            eid += 1
-    rnd.shuffle(data)
-    df = spark.createDataFrame(data, "k long, id long, ms long, s string")
-    return df.withColumn("ts", F.timestamp_millis("ms").cast("timestamp_ntz"))
-
-
-@pytest.mark.parametrize("parts", [1, 7, 64])
-def test_row_number_matches_window(skewed, parts):
-    got = seq.keyed_row_number(skewed, ["k"], ["ts", "id"], "rn", num_partitions=parts, skew="always")
-    want = skewed.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id")).cast("long"))
-    assert rows(got, "k", "id", "rn") == rows(want, "k", "id", "rn")
-
-
-@pytest.mark.parametrize("parts", [3, 64])
-def test_count_windows(skewed, parts):
-    w = Window.partitionBy("k").orderBy("ts", "id")
-    sl = seq.count_window_sliding(skewed, ["k"], ["ts", "id"], 10, 5, num_partitions=parts, skew="always")
-    brute = (skewed.withColumn("rn", F.row_number().over(w))
-             .withColumn("n", F.count(F.lit(1)).over(w.rowsBetween(-9, 0))).where("rn % 5 = 0"))
-    assert rows(sl, "k", "id", "n") == rows(brute, "k", "id", "n")
-    tu = seq.count_window_tumbling(skewed, ["k"], ["ts", "id"], 10, num_partitions=parts, skew="always")
-    brute_t = (skewed.withColumn("win", F.floor((F.row_number().over(w) - 1) / 10).cast("long"))
-               .groupBy("k", "win").agg(F.count(F.lit(1)).alias("n")).where("n = 10"))
-    assert rows(tu, "k", "win", "n") == rows(brute_t, "k", "win", "n")
-
-
-@pytest.mark.parametrize("parts", [1, 5, 64])
+def skewed(spark, tmp_path_factory):
+    """Two thirds of the rows on key 0; bursts, ties in ts, nulls, other columns and six files."""
+    path = str(tmp_path_factory.mktemp("skewed") / "t")
+    at = F.col("id") * 40_000 + F.pmod(F.xxhash64("id"), F.lit(3_000_000)) + F.when(F.col("id") % 5000 < 50, 0).otherwise(
+        F.floor(F.col("id") / 5000) * 7_000_000_000)
+    (spark.range(N).withColumn("k", F.when(F.col("id") % 3 < 2, 0).when(F.col("id") % 999 == 0, F.lit(None))
+                               .otherwise(F.pmod(F.hash("id"), F.lit(40)) + 1))
+     .withColumn("ts", F.timestamp_micros(F.lit(1_700_000_000_000_000) + at).cast("timestamp_ntz"))
+     .withColumn("v", F.when(F.col("id") % 7 != 0, (F.col("id") % 1000).cast("decimal(18,2)")))
+     .withColumn("d", F.when(F.col("id") == 60_001, F.lit(float("nan"))).when(F.col("id") == 90_001, F.lit(float("inf")))
+                 .otherwise((F.col("id") % 64).cast("double")))
+     .withColumn("s", F.substring(F.lit("abc"), 1, (F.col("id") % 4).cast("int")))
+     .withColumn("other", F.sha2(F.col("id").cast("string"), 256))
+     .repartition(6).write.parquet(path))
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(params=["true", "false"], ids=["reuse", "no-reuse"])
+def reuse(spark, request):
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.exchange.reuse", request.param)
+    spark.conf.set("spark.sql.shuffle.partitions", "8" if request.param == "true" else "32")
+    yield
+    spark.conf.set("spark.sql.exchange.reuse", old)
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+
+def digest(df):
+    """Row count and an order-free digest of all columns."""
+    h = F.xxhash64(*[F.col(c).cast("string") for c in sorted(df.columns)])
+    return tuple(df.agg(F.count(F.lit(1)), F.sum(h.cast("decimal(38,0)")), F.bit_xor(h)).first())
+
+
+def same(got, want):
+    assert sorted(got.columns) == sorted(want.columns)
+    assert dict(got.dtypes) == dict(want.dtypes)
+    assert digest(got) == digest(want)
+
+
+def by():
+    return Window.partitionBy("k").orderBy("ts", "id")
+
+
+@pytest.mark.parametrize("piece", [500, 200_000])
+def test_running_totals(skewed, reuse, piece):
+    run = by().rowsBetween(Window.unboundedPreceding, 0)
+    same(op.running_count(skewed, KEY, ORDER, piece_rows=piece), skewed.withColumn("n", F.count(F.lit(1)).over(run)))
+    same(op.running_sum(skewed, KEY, ORDER, "v", "total", piece_rows=piece), skewed.withColumn("total", F.sum("v").over(run)))
+    got = op.running_sum(skewed, KEY, ORDER, "d", "total", piece_rows=piece)
+    same(got, skewed.withColumn("total", F.sum("d").over(run)))
+
+
+@pytest.mark.parametrize("size,slide", [(2, 1), (10, 5), (700, 7)])
+def test_count_windows(skewed, reuse, size, slide):
+    last = by().rowsBetween(1 - size, 0)
+    numbered = skewed.withColumn("pos", F.row_number().over(by()))
+    fired = F.col("pos") % slide == 0
+    same(op.count_window_sliding(skewed, KEY, ORDER, size, slide, piece_rows=500),
+         numbered.withColumn("n", F.count(F.lit(1)).over(last)).where(fired).drop("pos"))
+    for value in ("v", "d"):
+        same(op.count_window_sum(skewed, KEY, ORDER, value, size, slide, piece_rows=500),
+             numbered.withColumn("total", F.sum(value).over(last)).where(fired).drop("pos"))
+    win = numbered.withColumn("win", F.floor((F.col("pos") - 1) / size).cast("long"))
+    same(op.count_window_tumbling(skewed, KEY, ORDER, size, piece_rows=500),
+         win.groupBy("k", "win").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("start_ts"),
+                                     F.max("ts").alias("end_ts")).where(F.col("n") == size))
+
+
+def test_a_nan_stays_in_its_windows(skewed):
+    got = op.count_window_sum(skewed, KEY, ORDER, "d", 2, 1, piece_rows=500)
+    assert got.where(F.isnan("total")).count() == 2
+
+
 @pytest.mark.parametrize("dynamic", [False, True])
-def test_sessions_match_session_window(skewed, parts, dynamic):
-    gap = F.make_interval(secs=F.length("s") * 1800) if dynamic else "1 hour"
-    got = seq.sessions(skewed, ["k"], "ts", gap, ["id"], num_partitions=parts)
-    want = _counted(skewed, F.session_window("ts", gap), ["k"], "session", "n")
-    assert rows(got) == rows(want.select(*got.columns))
-
-
-@pytest.mark.parametrize("parts", [1, 9, 64])
-def test_running_sum_with_nulls_matches_window(skewed, parts):
-    df = skewed.withColumn("v", F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("ms") % 1000))
-    got = seq.running_sum(df, ["k"], ["ts", "id"], "v", "total", num_partitions=parts, skew="always")
-    want = df.withColumn("total", F.sum("v").over(
-        Window.partitionBy("k").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)))
-    assert rows(got, "k", "id", "total") == rows(want, "k", "id", "total")
-
-
-def test_hot_key_detection(skewed, spark):
-    # key 0 holds 1500 of 4002 rows: hot for 8 tasks once the minimum is lowered
-    assert seq.hot_key_exists(skewed, ["k"], num_partitions=8, min_rows=0)
-    assert not seq.hot_key_exists(skewed, ["k"], num_partitions=2, min_rows=0)   # 1500 < 4002 / 2
-    assert not seq.hot_key_exists(skewed, ["k"], num_partitions=8)               # below HOT_MIN_ROWS
-    assert seq.split_hot_keys(skewed, ["k"], "always") and not seq.split_hot_keys(skewed, ["k"], "never")
-
-
-@pytest.mark.parametrize("skew", ["auto", "never"])
-def test_plain_plans_agree(skewed, skew):
-    w = Window.partitionBy("k").orderBy("ts", "id")
-    got = seq.keyed_row_number(skewed, ["k"], ["ts", "id"], "rn", skew=skew)
-    want = skewed.withColumn("rn", F.row_number().over(w).cast("long"))
-    assert rows(got, "k", "id", "rn") == rows(want, "k", "id", "rn")
-
-
-@pytest.mark.parametrize("parts,skew,size,slide", [(1, "always", 3, 1), (9, "always", 10, 5), (64, "always", 2, 1),
-                                                   (8, "auto", 10, 5), (64, "always", 100, 7),
-                                                   (200, "always", 50, 1)])
-def test_count_window_sum_matches_window(skewed, parts, skew, size, slide):
-    df = skewed.withColumn("v", F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("ms") % 1000))
-    got = seq.count_window_sum(df, ["k"], ["ts", "id"], "v", size, slide, num_partitions=parts, skew=skew)
-    w = Window.partitionBy("k").orderBy("ts", "id")
-    want = (df.withColumn("rn", F.row_number().over(w))
-            .withColumn("total", F.sum("v").over(w.rowsBetween(-(size - 1), 0))).where(F.col("rn") % slide == 0))
-    assert rows(got, "k", "id", "total") == rows(want, "k", "id", "total")
-
-
-def test_hot_key_absolute_cap(skewed):
-    # 1500 rows is below the fair share of 2 tasks (2001) but above an absolute cap of 1000
-    assert seq.hot_key_exists(skewed, ["k"], num_partitions=2, min_rows=0, max_rows=1000)
+def test_sessions(skewed, reuse, dynamic):
+    gap = F.make_interval(secs=F.length("s") * 40) if dynamic else "30 seconds"
+    got = seq.sessions(skewed, KEY, "ts", gap, ["id"], piece_rows=500)
+    want = _counted(skewed, F.session_window("ts", gap), KEY, "session", "n")
+    same(got, want.select(*got.columns))
+
+
+def test_cogroup_rows(skewed, reuse, monkeypatch):
+    a, b = skewed.where("id % 2 = 0"), skewed.where("id % 2 = 1")
+    got = op.window_cogroup_rows(a, b, KEY, "30 days", "id")
+    lists = op.window_cogroup(a, b, KEY, "30 days", "id")
+    back = got.groupBy("k", "window_start", "window_end").agg(
+        *[F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct("rank", "id")))), lambda x: x["id"])
+          .alias(c) for s, c in (("app", "app_values"), ("third", "third_values"))])
+    same(back, lists)
+
+
+def test_previous_row_and_pieces_follow_density(skewed):
+    got = seq.with_previous(skewed.select("k", "ts", "id"), KEY, ORDER, "p", piece_rows=500)
+    same(got, skewed.select("k", "ts", "id").withColumn("p", F.lag(F.struct("ts", "id")).over(by())))
+    sizes = seq.with_pieces(skewed, ORDER, 500).groupBy("k", seq._PIECE).count()
+    assert sizes.agg(F.max("count")).first()[0] < 25_000
+    plan = seq.keyed_row_number(skewed, KEY, ORDER)._jdf.queryExecution().toString()
+    assert "Subquery" in plan or "subquery" in plan  # the width is part of the plan, no job runs before it
+
+
+def test_order_by_text_is_one_piece(spark):
+    df = spark.createDataFrame([("a", x, i) for i, x in enumerate("qwertyuiop")], "k string, t string, i int")
+    assert rows(op.running_count(df, ["k"], ["t"], piece_rows=2), "t", "n") == [(c, i + 1) for i, c in enumerate(sorted("qwertyuiop"))]
+
+
+def test_reconcile_one_to_one_equals_the_keyed_process(skewed, reuse):
+    """Against the one-pending-row process, row by row."""
+    some = skewed.where("k is not null and id < 20000").select("k", "ts", F.col("id").alias("event_id"))
+    a, b = some.where("event_id % 2 = 0"), some.where("event_id % 5 = 1")
+    tol = 60
+    events = sorted([(r.k, int(r.ms), s, r.event_id) for d, s in ((a, 0), (b, 1)) for r in
+                     d.withColumn("ms", F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), "ts")).collect()])
+    want, pending = [], {}
+
+    def missing(k, p):
+        want.append((k, p[2], p[0], None, None, "MISSING_THIRD") if p[1] == 0 else (k, None, None, p[2], p[0], "MISSING_APP"))
+    for k, ms, side, i in events:
+        p = pending.pop(k, None)
+        if p and p[1] != side and ms - p[0] <= tol:
+            x, y = ((p[2], p[0]), (i, ms)) if side == 1 else ((i, ms), (p[2], p[0]))
+            want.append((k, *x, *y, "MATCHED"))
+            continue
+        if p:
+            missing(k, p)
+        pending[k] = (ms, side, i)
+    for k, p in pending.items():
+        missing(k, p)
+    got = op.reconcile_one_to_one(a, b, KEY, "60 milliseconds")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert {"MATCHED", "MISSING_THIRD", "MISSING_APP"} == {w[-1] for w in want}

@@ -55,35 +55,6 @@ def main() -> None:
         s = summarise(df._jdf.queryExecution().executedPlan().toString())
         print(f"| `{name}` | {s['shuffles']} | {s['reused']} | {s['broadcasts']} | {s['joins']} | "
               f"{s['partial agg']} | {s['group limit']} | {s['scans']} |", flush=True)
-    from clickflow import operators as op
-    from clickflow.sources import app_side, read_events, third_side
-    ev = read_events(spark, sf)
-    seq_in = ev.select("user_id", "event_id", "ts")
-    forced = {
-        "running_count": lambda: op.running_count(seq_in, ["user_id"], ["ts", "event_id"], skew="always"),
-        "count_window_tumbling": lambda: op.count_window_tumbling(seq_in, ["user_id"], ["ts", "event_id"], 10,
-                                                                  skew="always"),
-        "count_window_sum": lambda: op.count_window_sum(ev.select("user_id", "event_id", "ts", "value"),
-                                                        ["user_id"], ["ts", "event_id"], "value", 2, skew="always"),
-        "session_counts": lambda: op.session_counts(seq_in, "2 hours", ["user_id"], tiebreak=["event_id"],
-                                                    skew="always"),
-        "window_cogroup": lambda: op.window_cogroup(app_side(ev), third_side(ev), ["user_id"], "1 day", "event_id",
-                                                    skew="always"),
-    }
-    print("\n## Hot-key plans (`skew=\"always\"`)\n")
-    print("Range pieces: one range exchange (reused by the piece-total branch), one exchange on (key, piece), "
-          "small exchanges for the per-piece tables, and broadcasts of at most n - 1 rows.  Sessions read "
-          "their fragments back from a checkpoint, so the table shows the plan after it.  When no key happens "
-          "to cross a piece boundary the carry table is empty and AQE drops that join and its branch at run "
-          "time (seen for `window_cogroup`, whose groups are tiny).\n")
-    print("| operator | shuffles | reused | broadcasts | joins | partial agg | group limit | parquet scans |")
-    print("|---|---|---|---|---|---|---|---|")
-    for name, build in forced.items():
-        df = build()
-        df.collect()
-        s = summarise(df._jdf.queryExecution().executedPlan().toString())
-        print(f"| `{name}` | {s['shuffles']} | {s['reused']} | {s['broadcasts']} | {s['joins']} | "
-              f"{s['partial agg']} | {s['group limit']} | {s['scans']} |", flush=True)
     spark.stop()
 
 

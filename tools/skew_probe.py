@@ -2,9 +2,9 @@
 
 Usage: python tools/skew_probe.py SF_DIR SCRATCH_DIR [copies]
 Derives the skewed table with Spark (each row repeated ``copies`` times with
-fresh ids, every third row moved to user 0), then times the skew-safe running
-count against a plain ``Window.partitionBy(user)`` and reports the slowest
-task of each from Spark's event log (written into SCRATCH_DIR).
+fresh ids, every third row moved to user 0), then compares the results of the
+sequence operators with plain windows and times both, with the slowest task of
+each from Spark's event log (written into SCRATCH_DIR).
 """
 from __future__ import annotations
 
@@ -60,7 +60,7 @@ def main() -> None:
     print(f"rows={total} hot_user_rows={hot} ({hot / total:.0%})")
 
     def timed(label, build):
-        """Build (plans may run eager steps, e.g. checkpoints) and run, all timed."""
+        """Run a plan in full."""
         before = set(task_times(log_dir))
         t = time.perf_counter()
         build().write.format("noop").mode("overwrite").save()
@@ -71,25 +71,29 @@ def main() -> None:
         print(f"{label:10s} wall={wall:6.2f}s  slowest task={max(worst[1]) / 1000:.2f}s "
               f"(its stage: {len(worst[1])} tasks, median {sorted(worst[1])[len(worst[1]) // 2] / 1000:.2f}s)")
 
-    plain = df.withColumn("n", F.count(F.lit(1)).over(
-        Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)))
-    only = os.environ.get("PROBE_ONLY", "")
-    for _ in range(2 if only in ("", "rows") else 0):
-        timed("plain", lambda: plain)
-        timed("skew-safe", lambda: running_count(df, ["user_id"], ["ts", "event_id"], skew="always"))
-        timed("auto", lambda: running_count(df, ["user_id"], ["ts", "event_id"]))
-    # Count window summing a field: one window per user vs pieces + tails.
-    for _ in range(2 if only == "cws" else 0):
-        timed("cws-plain", lambda: count_window_sum(df.withColumn("v", F.col("event_id") % 10), ["user_id"],
-                                                    ["ts", "event_id"], "v", 10, 5, skew="never"))
-        timed("cws-safe", lambda: count_window_sum(df.withColumn("v", F.col("event_id") % 10), ["user_id"],
-                                                   ["ts", "event_id"], "v", 10, 5, skew="always"))
-    # Sessions: Spark's session_window aggregation vs the piecewise sessions.
-    for _ in range(2 if only in ("", "sessions") else 0):
-        timed("sess-plain", lambda: session_counts(df, "30 minutes", ["user_id"], skew="never"))
-        timed("sess-safe", lambda: session_counts(df, "30 minutes", ["user_id"], tiebreak=["event_id"],
-                                                  skew="always"))
-        timed("sess-auto", lambda: session_counts(df, "30 minutes", ["user_id"], tiebreak=["event_id"]))
+    by = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    valued = df.withColumn("v", F.col("event_id") % 10)
+    key, order = ["user_id"], ["ts", "event_id"]
+    plain_sessions = df.groupBy(F.session_window("ts", "30 minutes").alias("w"), "user_id").agg(F.count(F.lit(1)).alias("n"))
+    probes = {
+        "running count": (running_count(df, key, order),
+                          df.withColumn("n", F.count(F.lit(1)).over(by.rowsBetween(Window.unboundedPreceding, 0)))),
+        "window sum": (count_window_sum(valued, key, order, "v", 10, 1),
+                       valued.withColumn("total", F.sum("v").over(by.rowsBetween(-9, 0)))),
+        "sessions": (session_counts(df, "30 minutes", key, tiebreak=["event_id"]),
+                     plain_sessions.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"),
+                                           "user_id", "n")),
+    }
+
+    def digest(d):
+        h = F.xxhash64(*[F.col(c).cast("string") for c in sorted(d.columns)])
+        return tuple(d.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(h.cast("decimal(38,0)"))).first())
+
+    for name, (pieces, plain) in probes.items():
+        print(f"{name}: results {'equal' if digest(pieces) == digest(plain) else 'DIFFER'}")
+        for _ in range(2):
+            timed("plain", lambda: plain)
+            timed("pieces", lambda: pieces)
     spark.stop()
 
 
