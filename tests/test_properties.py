@@ -61,7 +61,7 @@ def test_sessions_random_against_brute_force(spark, seed):
         rows.append((k, rnd.randrange(0, 200_000), i, rnd.choice([0, 1_000, 5_000, 20_000])))
     df = spark.createDataFrame(rows, "k long, ms long, id long, g long").withColumn("ts", ntz_from_millis("ms"))
     gap = F.make_interval(secs=(F.col("g") / 1000).cast("decimal(18,6)"))
-    got = seq.sessions(df, ["k"], "ts", gap, ["id"], num_partitions=rnd.choice([3, 9, 40]))
+    got = seq.sessions(df, ["k"], "ts", gap, ["id"], piece_rows=rnd.choice([3, 20, 10_000]))
     ms = lambda c: F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(c))  # noqa
     res = sorted(tuple(r) for r in got.select("k", ms("session_start"), ms("session_end"), "n").collect())
     assert res == brute_sessions(rows)
