@@ -40,16 +40,14 @@ def main() -> None:
     from clickflow.session import build_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]", 8)
-    import __spark_entry__ as E
+    from clickflow.plans import QUERIES
     print(f"# Executed plans ({sf}, local[8], 8 shuffle partitions, AQE on)\n")
     print("Generated by `tools/plans.py` from each query's final adaptive plan (after running it).  "
-          "`shuffles` counts exchanges executed (a reused one is listed separately); `broadcasts` are "
-          "Spark's own size-based choices or the n-1-row carry tables of `operators/sequence.py`.  "
-          "No key is hot at this scale, so the skew checks (separate one-row jobs, not shown) pick the "
-          "one-shuffle plans; the second table forces the hot-key plans.\n")
+          "`shuffles` counts exchanges executed (a reused one is listed separately); `broadcasts` and joins are "
+          "Spark's own size-based choices.\n")
     print("| query | shuffles | reused | broadcasts | joins | partial agg | group limit | parquet scans |")
     print("|---|---|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf)
         df.collect()
         s = summarise(df._jdf.queryExecution().executedPlan().toString())
