@@ -20,7 +20,6 @@ from html.parser import HTMLParser
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 RADIUS, SIGMA = 2, 1.0    # Gaussian kernel, in lines

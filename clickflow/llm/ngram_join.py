@@ -24,8 +24,8 @@ Within a group pairs are compared by length and by parity bitmaps: where the
 bitmaps differ in more places than linked sets of these sizes can, the pair
 cannot link.  What is left is verified on the full sets.  Members of one
 component need no more comparison, so each round tries a few of a node's best
-partners outside its component, more in each round and all in the last, and
-links are contracted to components in between.  No link between components is
+partners outside its component, the last round all that are left, and links
+are contracted to components in between.  No link between components is
 missed and no group of copies is ever written out in pairs.
 """
 from __future__ import annotations
@@ -46,7 +46,7 @@ PERCENT = 85                 # links: 100 * intersection >= PERCENT * union
 COUNTERS = 1 << 20
 CHUNK = 1 << 12              # counters that travel together
 BLOCK = 1_000                # members compared with each other at once
-PARTNERS = (1, 4, 32, None)  # partners a node tries in a round (after the first: per other component)
+PARTNERS = (3, 3, None)      # partners outside its component that a node tries in each round; None: all that are left
 MEMBERS = 256                # sets verified against one set at once
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -263,83 +263,139 @@ def _fold(bits: np.ndarray, size: int) -> np.ndarray:
     return bits
 
 
-def _candidates(members: DataFrame, percent: int, partners: int | None, first: bool) -> DataFrame:
-    """(x, y, cut): pairs in a group that may link and are in different components; ``cut`` if some were held back."""
-    def run(table: pa.Table) -> pa.Table:
-        node, n, part, comp = (table.column(c).to_numpy() for c in ("node", "n", "part", "comp"))
-        order = np.lexsort((node, n))
-        node, n, part, comp = node[order], n[order], part[order], comp[order]
-        raw = table.column("bits").to_pylist()
-        raw = [raw[i] for i in order]
-        two = part.min() != part.max()
-        xs, ys, cut = [], [], False
-        # Bitmaps grow with n: members in order of size form runs of one width.
-        widths = np.array([len(r) for r in raw])
-        maps = {w: np.frombuffer(b"".join(r for r, v in zip(raw, widths) if v == w), np.uint8).reshape(-1, w)
-                for w in np.unique(widths)}
-        place = np.zeros(len(raw), np.int64)
-        for w in maps:
-            place[widths == w] = np.arange((widths == w).sum())
-        for i in range(len(node)):
-            # Sizes that can link with n[i] from above are one stretch.
-            end = np.searchsorted(n, n[i] * 100 // percent, "right")
-            js = np.arange(i + 1, end)
-            js = js[comp[js] != comp[i]]
-            if two:
-                js = js[part[js] != part[i]]
-            if not len(js):
-                continue
-            best, score = [], []
-            mine = maps[widths[i]][place[i]][None, :]
-            for w in np.unique(widths[js]):
-                some = js[widths[js] == w]
-                size = min(w, widths[i])
-                different = np.bitwise_count(_fold(maps[w][place[some]], size) ^ _fold(mine, size)).sum(axis=1, dtype=np.int64)
-                ok = may_link(n[i], n[some], different, percent)
-                best.append(some[ok])
-                score.append(different[ok] / (n[i] + n[some][ok]))
-            best, score = np.concatenate(best), np.concatenate(score)
-            best = best[np.lexsort((node[best], score))]
-            if partners is not None and len(best):
-                if first:
-                    keep = best[:partners]
-                else:  # so many of each other component
-                    c = comp[best]
-                    by = np.argsort(c, kind="stable")
-                    starts = np.flatnonzero(np.r_[True, c[by][1:] != c[by][:-1]])
-                    rank = np.empty(len(best), np.int64)
-                    rank[by] = np.arange(len(best)) - np.repeat(starts, np.diff(np.r_[starts, len(best)]))
-                    keep = best[rank < partners]
-                cut |= len(keep) < len(best)
-                best = keep
-            xs.append(np.full(len(best), node[i]))
-            ys.append(node[best])
-        x = np.concatenate([np.zeros(0, np.int64), *xs])
-        y = np.concatenate([np.zeros(0, np.int64), *ys])
-        return pa.table([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(np.full(len(x), cut))],
-                        names=["x", "y", "cut"])
-
-    pairs = members.groupBy("group", "a", "b").applyInArrow(run, "x bigint, y bigint, cut boolean")
-    return pairs.groupBy("x", "y").agg(F.max("cut").alias("cut"))
-
-
-def _sets(docs: DataFrame, scanned: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+def _differences(x: bytes, y: bytes) -> int:
+    """Places in which two parity bitmaps differ, the wider one folded."""
+    if len(x) != len(y):
+        size = min(len(x), len(y))
+        x, y = (_fold(np.frombuffer(m, np.uint8)[None, :], size).tobytes() for m in (x, y))
+    return (int.from_bytes(x) ^ int.from_bytes(y)).bit_count()
+
+
+def _partners(node, n, part, comp, raw, percent: int, partners: int | None):
+    """(x, y) pairs of one group and whether some were held back: for each member its best partners that may link and are in other components.
+
+    Smaller and larger partners count alike, so every member that has a
+    partner at all is named; without a limit each pair is named once.
+    """
+    order = np.lexsort((node, n))
+    node, n, part, comp = node[order], n[order], part[order], comp[order]
+    raw = [raw[i] for i in order]
+    two = part.min() != part.max()
+    widths = np.array([len(r) for r in raw])
+    maps = {w: np.frombuffer(b"".join(r for r, v in zip(raw, widths) if v == w), np.uint8).reshape(-1, w)
+            for w in np.unique(widths)}
+    place = np.zeros(len(raw), np.int64)
+    for w in maps:
+        place[widths == w] = np.arange((widths == w).sum())
+    # Sizes that can link with a member's are one stretch of the members in order of size.
+    ends = np.searchsorted(n, n * 100 // percent, "right")
+    begins = np.searchsorted(n, -(-n * percent // 100), "left")
+    xs, ys, cut = [], [], False
+    for i in range(len(node)):
+        js = np.arange(begins[i] if partners else i + 1, ends[i])
+        js = js[comp[js] != comp[i]]
+        if two:
+            js = js[part[js] != part[i]]
+        if not len(js):
+            continue
+        best, score = [], []
+        mine = maps[widths[i]][place[i]][None, :]
+        for w in np.unique(widths[js]):
+            some = js[widths[js] == w]
+            size = min(w, widths[i])
+            different = np.bitwise_count(_fold(maps[w][place[some]], size) ^ _fold(mine, size)).sum(axis=1, dtype=np.int64)
+            ok = may_link(n[i], n[some], different, percent)
+            best.append(some[ok])
+            score.append(different[ok] / (n[i] + n[some][ok]))
+        best, score = np.concatenate(best), np.concatenate(score)
+        best = best[np.lexsort((node[best], score))]
+        if partners is not None:
+            cut |= len(best) > partners
+            best = best[:partners]
+        xs.append(np.full(len(best), node[i]))
+        ys.append(node[best])
+    x = np.concatenate([np.zeros(0, np.int64), *xs])
+    y = np.concatenate([np.zeros(0, np.int64), *ys])
+    return np.minimum(x, y), np.maximum(x, y), cut
+
+
+def _candidates(members: DataFrame, percent: int, partners: int | None) -> DataFrame:
+    """(x, y): pairs in a group that may link and are in different components; and, with null x and y, the
+    (group, a, b) in which some were held back.
+
+    Groups, blocked to 2 * BLOCK members, stand one after the other in a
+    partition and are taken from the stream one by one.
+    """
+    names = ["group", "a", "b", "node", "n", "part", "comp", "bits"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def done(table: pa.Table) -> pa.RecordBatch:
+            keys = np.stack([table.column(c).to_numpy() for c in names[:3]])
+            node, n, part, comp = (table.column(c).to_numpy() for c in names[3:7])
+            raw = table.column("bits").to_pylist()
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), len(node)]
+            out: list[tuple] = [(np.zeros(0, np.int64),) * 2]
+            back: list[int] = []
+            pairs: list[tuple[int, int]] = []
+            for i, j in zip(cuts, cuts[1:]):
+                if j - i == 2:
+                    u, v = int(n[i]), int(n[i + 1])
+                    if comp[i] != comp[i + 1] and may_link(u, v, abs(u - v), percent) and may_link(
+                            u, v, _differences(raw[i], raw[i + 1]), percent):
+                        pairs.append((node[i], node[i + 1]))
+                elif j - i > 2:
+                    x, y, cut = _partners(node[i:j], n[i:j], part[i:j], comp[i:j], raw[i:j], percent, partners)
+                    out.append((x, y))
+                    back += [i] * cut
+            if pairs:
+                two = np.array(pairs, dtype=np.int64)
+                out.append((two.min(axis=1), two.max(axis=1)))
+            x, y = (np.concatenate(c) for c in zip(*out))
+            none, nothing = pa.nulls(len(back)), pa.nulls(len(x))
+            columns = [pa.concat_arrays([pa.array(c), none.cast(pa.int64())]) for c in (x, y)]
+            columns += [pa.concat_arrays([nothing.cast(k), pa.array(keys[c][back], k)])
+                        for c, k in enumerate((pa.int64(), pa.int32(), pa.int32()))]
+            return pa.RecordBatch.from_arrays(columns, names=["x", "y", *names[:3]])
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            last = [held.column(c)[-1].as_py() for c in names[:3]]
+            same = np.logical_and.reduce([held.column(c).to_numpy() == x for c, x in zip(names, last)])
+            whole = len(same) - int(same[::-1].argmin()) if not same.all() else 0  # the last group may go on
+            if whole:
+                yield done(held.slice(0, whole))
+                held = held.slice(whole)
+        if held is not None and held.num_rows:
+            yield done(held)
+
+    keys = names[:3]
+    rows = members.select(*names).repartition(*keys).sortWithinPartitions(*keys)
+    return rows.mapInArrow(run, "x bigint, y bigint, group bigint, a int, b int").distinct()
+
+
+def _sets(docs: DataFrame, named: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     """(node, tokens): full sets of ``nodes``, made again from the text of one document each."""
-    chosen = scanned.join(nodes, "node").groupBy("node").agg(F.min("doc").alias("doc"))
-    texts = docs.join(chosen, "doc").select("node", "text")
+    chosen = named.join(nodes, "node").groupBy("node").agg(F.min(F.struct("doc", "text_hash")).alias("d"))
+    chosen = chosen.select("node", F.col("d.doc").alias("d"), F.col("d.text_hash").alias("h"))
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    same = F.col("doc").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
+    # Equal rows are dropped where the join has put them side by side.
+    texts = hashed.join(chosen, same).dropDuplicates(["doc", "text_hash"]).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: tuple[list, list] = [], []
             for node, t in zip(b.column("node").to_pylist(), b.column("text").to_pylist()):
                 s = shingles(t, k)
-                if len(s) and _node(s)[0] == node:  # an id may stand for other texts too
-                    out[0].append(node)
-                    out[1].append(s.tobytes())
+                out[0].append(node)
+                out[1].append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())],
                                              names=["node", "tokens"])
 
-    return texts.mapInArrow(run, "node bigint, tokens binary").dropDuplicates(["node"])
+    return texts.mapInArrow(run, "node bigint, tokens binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -421,21 +477,23 @@ def link_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text", k:
             members = members.withColumn("comp", F.col("node"))
         else:
             members = members.join(comps, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-            # Groups that are in one component already are done.
-            mixed = (members.groupBy("group", "a", "b").agg(F.min("comp").alias("c"), F.max("comp").alias("d"))
-                     .where("c <> d").select("group", "a", "b"))
-            members = members.join(mixed, ["group", "a", "b"], "left_semi")
-        pairs = materialize(_candidates(members, percent, partners, turn == 0), f"pairs-{turn}")
-        found, cut = pairs.agg(F.count(F.lit(1)), F.max("cut")).first()
-        if not found:
+        found = materialize(_candidates(members, percent, partners), f"pairs-{turn}")
+        pairs, held = found.where("x is not null").select("x", "y"), found.where("x is null")
+        cut = not held.isEmpty()
+        # All pairs of the other groups are named: only groups that held some back are looked at again.
+        groups = groups.join(held.select("group", "a", "b"), ["group", "a", "b"], "left_semi")
+        if pairs.isEmpty():
             break
         if sets is None:
             # Every node that has a partner at all has one in the first round.
             paired = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
+            sets = materialize(_sets(slim.where("text is not null"), named.select("node", "doc", "text_hash"), paired, k),
+                               "sets")
+        links = materialize(_verified(pairs, sets, percent), f"links-{turn}")
+        if links.isEmpty():
             if cut:
-                paired = nodes.select("node")
-            sets = materialize(_sets(slim.where("text is not null"), named.select("node", "doc"), paired, k), "sets")
-        links = _verified(pairs, sets, percent)
+                continue
+            break
         if comps is None:
             edges = links
         else:  # components of components
