@@ -75,9 +75,12 @@ def shingles(text: str | None, k: int = WORDS) -> np.ndarray:
 
 
 def bitmap_bits(n: int, percent: int) -> int:
-    """Bits of a set's parity bitmap: four times the differences that a link allows, as a power of two."""
+    """Bits of a set's parity bitmap: eight times the differences that a link allows, as a power of two.
+
+    The wider, the fewer differences share a bit: pairs with a fifth more than allowed are told apart.
+    """
     allowed = 2 * n * (100 - percent) / (100 + percent)
-    return 1 << max(6, int(np.ceil(np.log2(max(4 * allowed, 1)))))
+    return 1 << max(6, int(np.ceil(np.log2(max(8 * allowed, 1)))))
 
 
 def parity_bitmap(tokens: np.ndarray, bits: int) -> bytes:
@@ -352,7 +355,7 @@ def _candidates(members: DataFrame, percent: int, partners: int | None) -> DataF
             if pairs:
                 two = np.array(pairs, dtype=np.int64)
                 out.append((two.min(axis=1), two.max(axis=1)))
-            x, y = (np.concatenate(c) for c in zip(*out))
+            x, y = np.unique(np.stack([np.concatenate(c) for c in zip(*out)]), axis=1)
             none, nothing = pa.nulls(len(back)), pa.nulls(len(x))
             columns = [pa.concat_arrays([pa.array(c), none.cast(pa.int64())]) for c in (x, y)]
             columns += [pa.concat_arrays([nothing.cast(k), pa.array(keys[c][back], k)])
