@@ -1,25 +1,20 @@
-"""Nearest neighbours by inner product from a forest of hash prefixes.
-
-Each of ``TREES`` trees gives every vector a string of 64 bits, the sides of
-64 random planes it lies on, and is the array of those strings in order.  A
-query descends to its longest matching prefix in every tree and then ascends
-in all trees at once: the prefix is shortened by a bit everywhere until at
-least ``CANDIDATES`` entries match.  These are scored exactly.
-
-A tree's array is dealt out by its first bits into blocks, sized from the row
-count, so a query visits one block a tree.  Blocks that come out too large, on
-either side, are dealt out further by a hash, their partners repeated.  What
-moves is a copy of each vector per tree; work per query is bounded by
-``CANDIDATES``, not by the number of vectors.
-
-Inner products become angles by one more dimension that gives all candidates
-the same norm.  Of vectors that are equal in all components only the TOP + 1
-with the smallest ids can be among the nearest; the others are never indexed.
-Equal query vectors are searched once.
-
-The search is approximate.  README gives the recall measured against brute
-force; ``candidates`` of at least twice the number of vectors times trees
-makes it exact.
+"""Nearest neighbours by inner product, exact, from blocks of scores.
+
+The vectors are dealt into parts by a hash of the id and the queries into
+turns of ``TURN`` rows; every pair of a part and a turn is one group, scored by
+matrix products in bounded slices, and gives its best ``TOP`` + 1 ids a query.
+The best of all parts are the answer.  A vector moves once per turn, a query
+once per part.  There are ``PARTS`` parts until one would hold more than
+``BLOCK`` vectors, so a group's memory is bounded.
+
+Every query is compared with every vector: the work is their product, and no
+limit on candidates, hash or norm decides what is found.  README gives the cost.
+
+A matrix product's rounding depends on a row's place, so it only rules out what
+is below the last rank by more than its error bound; what is left is scored row
+by row.  Of vectors that are equal in all components only the TOP + 1 with the
+smallest ids can be among the nearest; the others are never compared.  Equal
+query vectors are searched once.
 """
 from __future__ import annotations
 
@@ -30,24 +25,12 @@ from pyspark.sql import functions as F
 
 from clickflow.llm.common import materialize
 
-TREES = 32
-BITS = 64
 TOP = 20
-CANDIDATES = 32_768   # entries to match over all trees before a query stops ascending
-BLOCK = 8_192         # vectors in a block, about
-DEPTHS = 24           # prefix lengths looked at below a block's own
-BROADCAST_BLOCKS = 50_000
-SEED = 20_240_601
-
-
-def planes(tree: int, dim: int) -> np.ndarray:
-    return np.random.default_rng([SEED, tree, dim]).normal(size=(dim, BITS))
-
-
-def hash_strings(vectors: np.ndarray, tree: int) -> np.ndarray:
-    """Bit strings as unsigned 64-bit numbers, the first plane in the highest bit."""
-    sides = vectors @ planes(tree, vectors.shape[1]) > 0
-    return np.packbits(sides, axis=1).view(">u8").astype(np.uint64).ravel()
+PARTS = 32            # parts the vectors are dealt into, at least
+BLOCK = 131_072       # vectors in a part, about, at most
+TURN = 16_384         # queries in a turn, about
+ROWS, COLUMNS = 256, 8_192  # queries and vectors in one matrix product
+PAIRS = 65_536        # pairs scored row by row at once
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
@@ -68,55 +51,56 @@ def valid_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
                        F.xxhash64(F.lit(1), "v").alias("h2"))
 
 
-def _dealt(rows: DataFrame, kind: str, prefix: int, norm: float) -> DataFrame:
-    """A row per vector and tree: tree, block (first ``prefix`` bits), code, and the other columns."""
-    names = rows.columns
-
-    def run(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            dims = b.column("dim").to_numpy()
-            for dim in np.unique(dims):
-                part = b.filter(pa.array(dims == dim))
-                v = _matrix(part.column("v"), dim)
-                size = (v * v).sum(axis=1)
-                more = np.sqrt(np.maximum(norm * norm - size, 0)) if kind == "candidate" else np.zeros(len(v))
-                v = np.column_stack([v, more])
-                for tree in range(TREES):
-                    code = hash_strings(v, tree)
-                    block = code >> np.uint64(BITS - prefix) if prefix else np.zeros(len(code), np.uint64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([tree] * len(code), pa.int32()), pa.array(block.view(np.int64)),
-                         pa.array(code.view(np.int64)), *part.columns], names=["tree", "block", "code", *names])
-
-    kinds = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
-    return rows.mapInArrow(run, f"tree int, block bigint, code bigint, {kinds}")
-
-
-KEYS = ["dim", "tree", "block", "part", "turn"]
-
-
-def _spread(rows: DataFrame, sizes: DataFrame, own: str, other: str, by: Column) -> DataFrame:
-    """Rows of large blocks dealt out by hash on their own side and repeated for the parts of the other side."""
-    sized = rows.join(sizes, ["dim", "tree", "block"], "left")
-    n_own, n_other = F.coalesce(own, F.lit(1)), F.coalesce(other, F.lit(1))
-    return sized.withColumn(own, F.pmod(F.hash(by), n_own)).withColumn(
-        other, F.explode(F.sequence(F.lit(0), n_other - 1)))
-
-
-def _ranges(codes: np.ndarray, wanted: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where the entries begin and end that share ``length`` bits with each of ``wanted``."""
-    if length == 0:
-        return np.zeros(len(wanted), np.int64), np.full(len(wanted), len(codes), np.int64)
-    shift = np.uint64(BITS - length)
-    low = (wanted >> shift) << shift
-    high = low | np.uint64((1 << (BITS - length)) - 1)
-    return np.searchsorted(codes, low, "left"), np.searchsorted(codes, high, "right")
+KEYS = ["dim", "part", "turn"]
+
+
+def _first(row: np.ndarray, ids: np.ndarray, scores: np.ndarray, top: int) -> tuple[np.ndarray, ...]:
+    """The best ``top`` of each row, an id once with its best score; ties go to the smaller id."""
+    order = np.lexsort((-scores, ids, row))
+    row, ids, scores = row[order], ids[order], scores[order]
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (ids[1:] != ids[:-1])
+    row, ids, scores = row[new], ids[new], scores[new]
+    order = np.lexsort((ids, -scores, row))
+    row, ids, scores = row[order], ids[order], scores[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < top
+    return row[keep], ids[keep], scores[keep]
+
+
+def nearest(entries: np.ndarray, ids: np.ndarray, asked: np.ndarray, top: int) -> tuple[np.ndarray, ...]:
+    """(row of ``asked``, id, score): the best ``top`` ids among ``entries`` for each row."""
+    order = np.argsort(ids, kind="stable")
+    entries, ids = entries[order], ids[order]
+    error = 4 * (entries.shape[1] + 1) * np.finfo(float).eps
+    norms, asked_norms = (np.sqrt((x * x).sum(axis=1)) for x in (entries, asked))
+    out: list[tuple[np.ndarray, ...]] = []
+    for a in range(0, len(asked), ROWS):
+        q = asked[a:a + ROWS]
+        best = (np.zeros(0, np.int64), np.zeros(0, ids.dtype), np.zeros(0))
+        last = np.full(len(q), -np.inf)  # score of the last rank so far
+        for c in range(0, len(entries), COLUMNS):
+            part, part_ids = entries[c:c + COLUMNS], ids[c:c + COLUMNS]
+            rough = q @ part.T
+            slack = error * asked_norms[a:a + ROWS] * norms[c:c + COLUMNS].max()
+            starts = np.flatnonzero(np.r_[True, part_ids[1:] != part_ids[:-1]])
+            if np.isinf(last).any() and len(starts) > top:
+                by_id = rough if len(starts) == len(part_ids) else np.maximum.reduceat(rough, starts, axis=1)
+                last = np.maximum(last, np.partition(by_id, -top, axis=1)[:, -top] - slack)
+            row, at = np.nonzero(rough >= (last - slack)[:, None])
+            for p in range(0, len(row), PAIRS):
+                r, e = row[p:p + PAIRS], at[p:p + PAIRS]
+                # Row by row, so that equal vectors get equal scores.
+                exact = (part[e] * q[r]).sum(axis=1)
+                best = _first(*(np.concatenate(x) for x in zip(best, (r, part_ids[e], exact))), top)
+            full = np.bincount(best[0], minlength=len(q)) == top
+            ends = np.searchsorted(best[0], np.flatnonzero(full), "right") - 1
+            last[full] = best[2][ends]
+        out.append((best[0] + a, best[1], best[2]))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def search(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", top: int = TOP,
-           candidates: int = CANDIDATES) -> DataFrame:
+           candidates: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest ``top`` found of all ``vectors`` but the query's own id.
 
     Vectors that are null, zero, or hold null or non-finite components take
@@ -124,81 +108,36 @@ def search(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     never compared.  Ties go to the smaller id; a query id that is repeated is
     answered once for each different vector it has; an empty table gives no
     rows.  Scores are inner products of the vectors as given, in double
-    precision.  Other columns are ignored.
+    precision.  Other columns are ignored.  ``candidates`` limits nothing any
+    more; calls that give it get the exact answer too.
     """
     everyone = valid_vectors(vectors, key, vector)
     asked = materialize(valid_vectors(queries, key, vector).dropDuplicates(["id", "h1", "h2"]), "ann-queries")
     equal = Window.partitionBy("dim", "h1", "h2").orderBy("id")
     indexed = materialize(everyone.dropDuplicates(["id", "h1", "h2"]).withColumn("n", F.row_number().over(equal))
                           .where(F.col("n") <= top + 1).drop("n"), "ann-vectors")
-    size = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    n, norm = indexed.agg(F.count(F.lit(1)), F.max(size)).first()
-    prefix = max(0, (n // BLOCK).bit_length() - 1)
     distinct = asked.dropDuplicates(["dim", "h1", "h2"]).drop("id")
+    parts = max(PARTS, -(-indexed.count() // BLOCK))
+    turns = max(1, -(-asked.count() // TURN))
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = indexed.select("dim", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"),
+                          every(turns).alias("turn"), "id", "v")
+    right = distinct.select("dim", every(parts).alias("part"),
+                            F.pmod(F.col("h1"), F.lit(turns)).cast("int").alias("turn"), "h1", "h2", "v")
 
-    left = _dealt(indexed.drop("h1", "h2"), "candidate", prefix, norm or 0.0)
-    right = _dealt(distinct, "query", prefix, norm or 0.0)
-    at = ["dim", "tree", "block"]
-    large = (left.groupBy(*at).agg(F.count(F.lit(1)).alias("a")).join(
-        right.groupBy(*at).agg(F.count(F.lit(1)).alias("b")), at)
-        .select(*at, F.ceil(F.col("a") / (4 * BLOCK)).cast("int").alias("part"),
-                F.ceil(F.col("b") / BLOCK).cast("int").alias("turn")).where("part > 1 or turn > 1"))
-    large = materialize(large, "ann-large")
-    if large.count() <= BROADCAST_BLOCKS:
-        large = F.broadcast(large)
-    left = _spread(left, large, "part", "turn", F.col("id"))
-    right = _spread(right, large, "turn", "part", F.col("h1"))
-
-    # Ascending: how many entries match each query at each prefix length, over all trees.
-    lengths = range(prefix, min(BITS, prefix + DEPTHS))
-
-    def count(a: pa.Table, b: pa.Table) -> pa.Table:
-        codes = np.sort(a.column("code").to_numpy().view(np.uint64))
-        wanted = b.column("code").to_numpy().view(np.uint64)
-        sizes = [np.subtract(*_ranges(codes, wanted, x)[::-1]) for x in lengths]
-        return pa.table([b.column("dim"), b.column("h1"), b.column("h2"), *(pa.array(s, pa.int64()) for s in sizes)],
-                        names=["dim", "h1", "h2", *(f"n{x}" for x in lengths)])
-
-    found = (left.select(*KEYS, "code").groupBy(*KEYS).cogroup(right.select(*KEYS, "code", "h1", "h2").groupBy(*KEYS))
-             .applyInArrow(count, "dim int, h1 bigint, h2 bigint, " + ", ".join(f"n{x} bigint" for x in lengths)))
-    totals = found.groupBy("dim", "h1", "h2").agg(*[F.sum(f"n{x}").alias(f"n{x}") for x in lengths])
-    depth = F.coalesce(*[F.when(F.col(f"n{x}") >= candidates, x) for x in reversed(lengths)], F.lit(prefix))
-    depths = materialize(totals.select("dim", "h1", "h2", depth.alias("depth")), "ann-depths")
-
-    # Scoring the matching entries, block by block.
     def score(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows or not b.num_rows:
             return _scores([], [], [], [], [])
         dim = a.column("dim")[0].as_py()
-        codes = a.column("code").to_numpy().view(np.uint64)
-        order = np.argsort(codes, kind="stable")
-        codes, ids = codes[order], a.column("id").to_numpy()[order]
-        entries = _matrix(a.column("v"), dim)[order]
-        wanted, asked_v = b.column("code").to_numpy().view(np.uint64), _matrix(b.column("v"), dim)
-        h1, h2, deep = (b.column(x).to_numpy() for x in ("h1", "h2", "depth"))
-        out: list[list] = [[], [], [], [], []]
-        lo, hi = np.zeros(len(wanted), np.int64), np.zeros(len(wanted), np.int64)
-        for x in np.unique(deep):
-            here = deep == x
-            lo[here], hi[here] = _ranges(codes, wanted[here], int(x))
-        for begin, end in {(int(i), int(j)) for i, j in zip(lo, hi) if i < j}:
-            for q in np.array_split(same := np.flatnonzero((lo == begin) & (hi == end)), -(-len(same) // 256)):
-                rough = asked_v[q] @ entries[begin:end].T
-                k = min(end - begin, 3 * (top + 1))
-                near = np.argpartition(-rough, k - 1, axis=1)[:, :k] + begin
-                # Row by row, so that equal vectors get equal scores.
-                exact = (entries[near] * asked_v[q][:, None, :]).sum(axis=2)
-                for row in range(len(q)):
-                    best = np.lexsort((ids[near[row]], -exact[row]))[:top + 1]
-                    out[0].append(np.full(len(best), h1[q[row]]))
-                    out[1].append(np.full(len(best), h2[q[row]]))
-                    out[2].append(ids[near[row][best]])
-                    out[3].append(exact[row][best])
-        rows = [np.concatenate(c) if c else [] for c in out[:4]]
-        return _scores(np.full(len(rows[0]), dim), *rows)
-
-    scored = (left.select(*KEYS, "code", "id", "v").groupBy(*KEYS)
-              .cogroup(right.join(depths, ["dim", "h1", "h2"]).select(*KEYS, "code", "h1", "h2", "v", "depth").groupBy(*KEYS))
+        row, ids, scores = nearest(_matrix(a.column("v"), dim), a.column("id").to_numpy(), _matrix(b.column("v"), dim),
+                                   top + 1)
+        h1, h2 = (b.column(x).to_numpy()[row] for x in ("h1", "h2"))
+        return _scores(np.full(len(row), dim), h1, h2, ids, scores)
+
+    scored = (left.groupBy(*KEYS).cogroup(right.groupBy(*KEYS))
               .applyInArrow(score, "dim int, h1 bigint, h2 bigint, vec_id bigint, score double"))
     best = Window.partitionBy("dim", "h1", "h2").orderBy(F.desc("score"), "vec_id")
     lists = (scored.groupBy("dim", "h1", "h2", "vec_id").agg(F.max("score").alias("score"))

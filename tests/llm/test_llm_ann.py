@@ -1,5 +1,7 @@
 """Hash-prefix forest against brute force."""
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 
 from clickflow.llm import ann
 
@@ -56,3 +58,25 @@ def test_recall_where_the_search_is_cut_short(spark, monkeypatch):
     true = ann.brute_force(m, np.arange(3000), at)
     recall = np.mean([len({i for i, _ in got[int(q)]} & set(t)) / 20 for q, t in zip(at, true)])
     assert recall >= 0.9
+
+
+def unit_vectors(seed, n, dim=64):
+    v = np.random.default_rng(seed).normal(size=(n, dim))
+    return (v / np.sqrt((v * v).sum(axis=1))[:, None]).astype(np.float32)
+
+
+def found_in_table(spark, folder, v, every):
+    """The ids found for every so manieth vector of ``v``, read from Parquet."""
+    pq.write_table(pa.table({"vec_id": np.arange(len(v)), "embedding": list(v)}), f"{folder}/v.parquet")
+    df = spark.read.parquet(f"{folder}/v.parquet")
+    out = {}
+    for r in ann.search(df, df.where(f"vec_id % {every} = 0")).orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append(r.vec_id)
+    return out
+
+
+def test_large_table_is_searched_whole(spark, tmp_path):
+    v = unit_vectors(3, 60_000)
+    at = np.arange(0, len(v), 1000)
+    got = found_in_table(spark, tmp_path, v, 1000)
+    assert [got[int(q)] for q in at] == ann.brute_force(v.astype(float), np.arange(len(v)), at)
