@@ -80,3 +80,25 @@ def test_large_table_is_searched_whole(spark, tmp_path):
     at = np.arange(0, len(v), 1000)
     got = found_in_table(spark, tmp_path, v, 1000)
     assert [got[int(q)] for q in at] == ann.brute_force(v.astype(float), np.arange(len(v)), at)
+
+
+def test_one_long_vector_hides_no_neighbours(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 50)
+    v = unit_vectors(4, 5000, 16)
+    v[2501] *= 100
+    at = np.arange(0, len(v), 50)
+    got = found_in_table(spark, tmp_path, v, 50)
+    assert [got.get(int(q)) for q in at] == ann.brute_force(v.astype(float), np.arange(len(v)), at)
+
+
+def test_repeated_ids_and_ties_at_the_last_rank():
+    rng = np.random.default_rng(5)
+    v = rng.integers(-1, 2, (3000, 6)).astype(float)  # few different scores, so ties at every rank
+    ids = rng.integers(0, 900, len(v))
+    row, found, scores = ann.nearest(v, ids, v[:300], 20)
+    for q in range(300):
+        best = {}
+        for i, s in zip(ids.tolist(), (v * v[q]).sum(axis=1).tolist()):
+            best[i] = max(best.get(i, s), s)
+        want = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:20]
+        assert list(zip(found[row == q].tolist(), scores[row == q].tolist())) == want
