@@ -6,10 +6,12 @@ met since the line before.  Lines inside elements that never hold article
 text (scripts, menus, footers, adverts, forms, comments, ...) count as having
 none.  The ratio of text to tags is smoothed with a Gaussian kernel over
 neighbouring lines, and lines above a threshold taken from the page's own
-ratios form the content clusters.  The innermost element that holds nearly
-all clustered text is the content region; its lines are the article, so short
-paragraphs and headings between long ones are kept.  Where no element encloses
-the content, lines outside the clusters' span are left out.
+ratios form the content clusters.  The content region is the outermost
+<article> or <main> that holds nearly all clustered text, else the innermost
+element that encloses all of it and the heading before it.  The region's lines
+are the article, so short paragraphs and headings between long ones are kept.
+Where no element encloses the content, lines outside the clusters' span are
+left out.
 """
 from __future__ import annotations
 
@@ -24,7 +26,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 RADIUS, SIGMA = 2, 1.0    # Gaussian kernel, in lines
 THRESHOLD = 0.5           # lines above this share of the page's mean smoothed ratio are content
-REGION_SHARE = 0.9        # an element is the region as long as it holds this share of the clustered text
+REGION_SHARE = 0.9        # an <article> or <main> with this share of the clustered text is the region
 LINK_SHARE = 0.8          # lines that are links to this share are lists of links
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -35,6 +37,7 @@ CONTAINERS = frozenset("html body div section article main td th tr table tbody
 DROPPED = frozenset("script style noscript template head title svg math iframe object canvas audio video select "
                     "button textarea form nav footer aside dialog menu".split())
 ARTICLE = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words in class, id or role that mark what is not the article.
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion menu "
                   "nav navbar navigation breadcrumb breadcrumbs sidebar footer masthead cookie cookies consent notice "
@@ -46,19 +49,24 @@ WORD = re.compile(r"[a-z]+")
 
 
 class _Events(HTMLParser):
-    """Collects lines: (text parts, characters in links, tags, element, dropped)."""
+    """Collects lines: (text, characters in links, tags, element), and which of them are headings."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.parents = [-1]          # elements by number; 0 is the page
+        self.names = [""]
         self.open: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, element, dropped
         self.lines: list[tuple[str, int, int, int]] = []           # text, link characters, tags, element
         self.parts: list[str] = []
+        self.headings: set[int] = set()  # numbers of lines
         self.tags = self.links = self.in_link = self.in_article = 0
+        self.in_heading = False
 
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
+            if self.in_heading:
+                self.headings.add(len(self.lines))
             self.lines.append((text, self.links, self.tags, self.open[-1][1]))
             self.tags = 0
         self.parts.clear()
@@ -85,6 +93,7 @@ class _Events(HTMLParser):
         self.tags += 1
         if tag not in INLINE:
             self._flush()
+            self.in_heading = tag in HEADINGS
         if tag in VOID:
             return
         if tag == "a":
@@ -96,6 +105,7 @@ class _Events(HTMLParser):
             if own and tag in INLINE:
                 self._flush()
             self.parents.append(self.open[-1][1])
+            self.names.append(tag)
             self.open.append((tag, len(self.parents) - 1, dropped or own))
             self.in_article += tag in ARTICLE
 
@@ -103,6 +113,7 @@ class _Events(HTMLParser):
         self.tags += 1
         if tag not in INLINE:
             self._flush()
+            self.in_heading = False
         if tag == "a":
             self.in_link = max(0, self.in_link - 1)
         for i in range(len(self.open) - 1, 0, -1):
@@ -149,6 +160,14 @@ def clusters(sizes: np.ndarray, tags: np.ndarray) -> np.ndarray:
     return smooth >= THRESHOLD * smooth.mean()
 
 
+def _enclosing(parents: list[int], elements: set[int]) -> int:
+    """The innermost element around all ``elements``."""
+    while len(elements) > 1:
+        last = max(elements)  # parents have smaller numbers
+        elements = elements - {last} | {parents[last]}
+    return elements.pop()
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks in page order, joined by one space."""
     if not page:
@@ -163,27 +182,30 @@ def main_text(page: str | None) -> str:
         content[:] = True
         sizes = np.array([len(t) for t, _, _, _ in lines], dtype=float)
 
+    linkish = [k > LINK_SHARE * len(t) and not yes for (t, k, _, _), yes in zip(lines, content)]
     # Clustered text in each element and below it; elements are numbered parents first.
     weight = [0.0] * len(parents)
-    for (_, _, _, e), size, yes in zip(lines, sizes, content):
-        if yes:
-            weight[e] += size
+    clustered = [i for i, (size, yes) in enumerate(zip(sizes, content)) if yes and size]
+    for i in clustered:
+        weight[lines[i][3]] += sizes[i]
     for e in range(len(parents) - 1, 0, -1):
         weight[parents[e]] += weight[e]
-    region, total = 0, weight[0]
+    region = next((e for e, name in enumerate(events.names) if name in ARTICLE and weight[e] >= REGION_SHARE * weight[0]), 0)
+    if not region and clustered:
+        for i in range(clustered[0] - 1, -1, -1):  # the headings the content begins with belong to it
+            if linkish[i]:
+                break
+            if i in events.headings:
+                clustered.insert(0, i)
+        region = _enclosing(parents, {lines[i][3] for i in clustered})
     inside = [True] * len(parents)
-    for e in range(1, len(parents)):
-        # The next element down that holds nearly everything; there is one at most per level.
-        if parents[e] == region and weight[e] >= REGION_SHARE * total:
-            region = e
     for e in range(1, len(parents)):
         inside[e] = e == region or (inside[parents[e]] and parents[e] >= region)
     inside[0] = region == 0
 
     chosen = [i for i, line in enumerate(lines) if inside[line[3]]]
-    linkish = [k > LINK_SHARE * len(t) and not yes for (t, k, _, _), yes in zip(lines, content)]
-    if region == 0:  # nothing encloses the content: from the first clustered line to the last
-        span = [i for i in chosen if content[i]]
+    if region == 0:  # nothing encloses the content: from the first clustered line or its heading to the last
+        span = [i for i in chosen if content[i] or i in clustered]
         chosen = [i for i in chosen if span[0] <= i <= span[-1]] if span else chosen
     return " ".join(lines[i][0] for i in chosen if not linkish[i])
 

@@ -56,3 +56,21 @@ def test_given_pages_give_their_articles(spark):
         inner = re.search(r"<article>(.*?)(</article>|$)", h, re.S)
         blocks = [" ".join(html.unescape(re.sub(r"</?b>", "", x)).split()) for x in re.split(r"</?(?:p|h1|br)>", inner.group(1))]
         assert main_text(h) == " ".join(b for b in blocks if b)
+
+
+WHOLE = {
+    "lead before a body": (f"<article><h1>Title</h1><p>Lead</p><div class='body'>{'<p>' + LONG + '</p>'}</div></article>",
+                           f"Title Lead {LONG}"),
+    "long list": (f"<article><p>Before.</p><ul>{''.join(f'<li>{LONG}</li>' for _ in range(30))}</ul><p>After.</p></article>",
+                  " ".join(["Before.", *[LONG] * 30, "After."])),
+    "long section": (f"<main><p>Before.</p><section>{'<p>' + LONG + '</p>' + '<p>' + LONG * 20 + '</p>'}</section><p>After.</p></main>",
+                     f"Before. {LONG} {LONG * 20} After."),
+    "no article": (f"<body><div>{MENU}</div><div class='post'><h1>Title</h1><p>Lead</p><div class='body'><p>{LONG}</p><p>{LONG * 20}</p></div>"
+                   f"<p>{LONG}</p></div></body>", f"Title Lead {LONG} {LONG * 20} {LONG}"),
+}
+
+
+@pytest.mark.parametrize("name", WHOLE)
+def test_text_around_the_longest_container_stays(name):
+    page, want = WHOLE[name]
+    assert main_text(page) == want
