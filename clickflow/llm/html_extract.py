@@ -4,7 +4,8 @@ The standard library's parser streams a page as events.  Block-level tags cut
 it into lines; each line has the length of its text and the number of tags
 met since the line before.  Lines inside elements that never hold article
 text (scripts, menus, footers, adverts, forms, comments, ...) count as having
-none.  The ratio of text to tags is smoothed with a Gaussian kernel over
+none.  Where only a class, id or role says so, an element around the article
+is not dropped.  The ratio of text to tags is smoothed with a Gaussian kernel over
 neighbouring lines, and lines above a threshold taken from the page's own
 ratios form the content clusters.  The content region is the outermost
 <article> or <main> that holds nearly all clustered text, else the innermost
@@ -38,16 +39,29 @@ DROPPED = frozenset("script style noscript template head title svg math iframe o
                     "button textarea form nav footer aside dialog menu".split())
 ARTICLE = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Words in class, id or role that mark what is not the article.
+#: A class, id or role made of these words, and QUALIFIERS, marks what is not the article.
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion menu "
                   "nav navbar navigation breadcrumb breadcrumbs sidebar footer masthead cookie cookies consent notice "
                   "notices popup modal overlay newsletter subscribe subscription signup share sharing social related "
                   "recommended recommendations comment comments respond disqus reply replies widget toolbar pagination "
                   "pager login search contentinfo complementary dialog alert form".split())
+QUALIFIERS = frozenset("top bottom left right site page main global primary secondary wrapper container box bar block area "
+                       "section list item items links inner outer icons buttons posts articles stories body".split())
+MOST, NEARLY_ALL = 0.5, 0.9  # shares of the page's text
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 WORD = re.compile(r"[a-z]+")
 
 
+def _is_marked(attrs) -> bool:
+    for name, value in attrs:
+        if name in ("class", "id", "role") and value:
+            for token in value.lower().split():
+                words = set(WORD.findall(token))
+                if not MARKS.isdisjoint(words) and words <= MARKS | QUALIFIERS:
+                    return True
+    return False
+
+
 class _Events(HTMLParser):
     """Collects lines: (text, characters in links, tags, element), and which of them are headings."""
 
@@ -55,7 +69,11 @@ class _Events(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parents = [-1]          # elements by number; 0 is the page
         self.names = [""]
-        self.open: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, element, dropped
+        self.marked = [False]        # by class, id or role
+        self.loose = [False]         # marked, and not inside an <article>
+        self.anchors: list[int] = []  # elements that are <article> or <main>, or hold an <h1>
+        self.titled: list[int] = []  # those that hold an <h1>
+        self.open: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # tag, element, dropped, marked or inside
         self.lines: list[tuple[str, int, int, int]] = []           # text, link characters, tags, element
         self.parts: list[str] = []
         self.headings: set[int] = set()  # numbers of lines
@@ -80,10 +98,7 @@ class _Events(HTMLParser):
         if tag in ("html", "body") or tag in ARTICLE:
             return False
         for name, value in attrs:
-            if name in ("class", "id", "role"):
-                if value and not MARKS.isdisjoint(WORD.findall(value.lower())):
-                    return True
-            elif name == "hidden" or (name == "aria-hidden" and value == "true"):
+            if name == "hidden" or (name == "aria-hidden" and value == "true"):
                 return True
             elif name == "style" and value and HIDDEN.search(value):
                 return True
@@ -98,16 +113,25 @@ class _Events(HTMLParser):
             return
         if tag == "a":
             self.in_link += 1
-        dropped = self.open[-1][2]
+        _, _, dropped, within = self.open[-1]
         own = not dropped and self._is_dropped(tag, attrs)
-        nested = dropped and tag == self.open[-1][0]  # its end tag must not close the outer one
-        if tag in CONTAINERS or own or nested or tag in DROPPED or tag == "header":
-            if own and tag in INLINE:
+        mark = not dropped and not own and _is_marked(attrs)
+        anchor = not dropped and not own and (tag == "h1" or (tag in ARTICLE and not mark))
+        mark = mark and tag not in ("html", "body", "h1") and tag not in ARTICLE
+        nested = (dropped or within) and tag == self.open[-1][0]  # its end tag must not close the outer one
+        if tag in CONTAINERS or own or mark or nested or tag in DROPPED or tag == "header":
+            if (own or mark) and tag in INLINE:
                 self._flush()
             self.parents.append(self.open[-1][1])
             self.names.append(tag)
-            self.open.append((tag, len(self.parents) - 1, dropped or own))
+            self.marked.append(mark)
+            self.loose.append(mark and not any(x[0] == "article" for x in self.open))
+            self.open.append((tag, len(self.parents) - 1, dropped or own, within or mark))
             self.in_article += tag in ARTICLE
+        if anchor:
+            self.anchors.append(self.open[-1][1])
+            if tag == "h1":
+                self.titled.append(self.open[-1][1])
 
     def handle_endtag(self, tag):
         self.tags += 1
@@ -119,7 +143,7 @@ class _Events(HTMLParser):
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i][0] == tag:
                 self._flush()
-                self.in_article -= sum(t in ARTICLE for t, _, _ in self.open[i:])
+                self.in_article -= sum(x[0] in ARTICLE for x in self.open[i:])
                 del self.open[i:]
                 return
             if tag in INLINE and self.open[i][0] not in INLINE:
@@ -134,6 +158,36 @@ class _Events(HTMLParser):
     def close(self):
         super().close()
         self._flush()
+        if any(self.marked):
+            self._drop_marked()
+
+    def _drop_marked(self) -> None:
+        """Marked elements go with their lines, but not those around the article: the clusters decide there."""
+        size, holds, titled = ([0] * len(self.parents) for _ in range(3))
+        for text, _, _, e in self.lines:
+            size[e] += len(text)
+        for e in self.anchors:
+            holds[e] = 1
+        for e in self.titled:
+            titled[e] = 1
+        for e in range(len(self.parents) - 1, 0, -1):
+            size[self.parents[e]] += size[e]
+            holds[self.parents[e]] |= holds[e]
+            titled[self.parents[e]] |= titled[e]
+        gone = [False] * len(self.parents)
+        for e in range(1, len(self.parents)):
+            spared = titled[e] or size[e] > NEARLY_ALL * size[0] or (
+                self.loose[e] and (holds[e] or (not holds[0] and size[e] > MOST * size[0])))
+            gone[e] = gone[self.parents[e]] or (self.marked[e] and not spared)
+        kept, headings, tags = [], set(), 0
+        for i, (text, links, n, e) in enumerate(self.lines):
+            tags += n
+            if not gone[e]:
+                if i in self.headings:
+                    headings.add(len(kept))
+                kept.append((text, links, tags, e))
+                tags = 0
+        self.lines, self.headings = kept, headings
 
 
 def _events(page: str) -> _Events:

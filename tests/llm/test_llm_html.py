@@ -74,3 +74,21 @@ WHOLE = {
 def test_text_around_the_longest_container_stays(name):
     page, want = WHOLE[name]
     assert main_text(page) == want
+
+
+@pytest.mark.parametrize("attrs", ["class='content has-sidebar'", "id='page' class='no-comments'", "class='post social-icons-on'",
+                                   "class='social'", "id='main' class='widget'"])
+def test_marks_on_a_layout_wrapper_do_not_drop_the_article(attrs):
+    inner = f"<h2>Head</h2><p>{LONG}</p><p>{LONG}</p><div class='sidebar'><p>{LONG} aside</p></div>"
+    assert main_text(f"<body><div>{MENU}</div><div {attrs}>{inner}</div></body>") == f"Head {LONG} {LONG}"
+    assert main_text(f"<body><div {attrs}><article>{inner}</article></div></body>") == f"Head {LONG} {LONG}"
+    assert main_text(f"<body><div {attrs}><h1>Head</h1>{inner[13:]}</div></body>") == f"Head {LONG} {LONG}"
+    assert main_text(f"<main><div {attrs}><article>{inner}</article></div></main>") == f"Head {LONG} {LONG}"
+    assert main_text(f"<article><div {attrs}>{inner[:13]}<p>{LONG}</p></div></article>") == f"Head {LONG}"
+
+
+def test_marked_elements_beside_the_article_go():
+    for mark in ("ad", "site-footer", "related-posts", "comment-list", "cookie-notice", "left sidebar"):
+        for page in (f"<article><h1>Head</h1><p>{LONG}</p></article><div class='{mark}'><p>{LONG}</p><p>{LONG}</p></div>",
+                     f"<div class='post'><h1>Head</h1><p>{LONG}</p></div><div id='x' class='{mark}'><p>{LONG}</p></div>"):
+            assert main_text(page) == f"Head {LONG}"
