@@ -102,14 +102,17 @@ def _alone(left: DataFrame, right: DataFrame, keys: Sequence[str], tol: int, ts:
 
     The tagged union is bucketed by time, each row also given to the buckets
     next to its own; in a bucket the last row of the other side before and
-    the first after a row decide.
+    the first after a row decide.  Rows without a time never have a partner
+    and are added as they are, so they need no bucket.
     """
     cols = [c for c in left.columns if c not in keys]
     one, other = (d.select(*keys, *cols, F.lit(s).alias("_cf_side"), _micros(d, ts).alias("_cf_us"))
                   for d, s in ((left, 0), (right, 1)))
     width = max(tol, 1)
     own = F.floor(F.col("_cf_us") / width)
-    rows = one.unionByName(other).withColumn(_B, F.explode(F.array(own - 1, own, own + 1))).withColumn("_cf_own", own)
+    tagged = one.unionByName(other)
+    rows = tagged.where(F.col("_cf_us").isNotNull()).withColumn(_B, F.explode(F.array(own - 1, own, own + 1))).withColumn(
+        "_cf_own", own)
     w = Window.partitionBy(*keys, _B).orderBy("_cf_us")
     before, after = w.rangeBetween(-tol, 0), w.rangeBetween(0, tol)
 
@@ -121,7 +124,9 @@ def _alone(left: DataFrame, right: DataFrame, keys: Sequence[str], tol: int, ts:
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()  # null keys never have a partner
-    return marked.where(~(has & keyed)).select(*keys, *cols, "_cf_side")
+    timeless = tagged.where(F.col("_cf_us").isNull())
+    return marked.where(~(has & keyed)).select(*keys, *cols, "_cf_side").unionByName(
+        timeless.select(*keys, *cols, "_cf_side"))
 
 
 def reconcile_alerts(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance: str | int = "5 seconds",

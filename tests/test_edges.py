@@ -59,3 +59,20 @@ def test_checkpoint_folder_must_be_named_on_a_cluster():
     cluster = SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master="yarn", getConf=lambda: unset))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(cluster)
+
+
+def test_reconcile_reports_rows_without_a_time(spark):
+    """As the full outer interval join does: a row without a time, or key, is missing on the other side."""
+    a = _df(spark, [(1, 1, 1000), (1, 2, None), (1, 3, None), (None, 4, None), (2, 5, 9000)]).select("k", "id", "ts")
+    b = _df(spark, [(1, 11, 2000), (1, 12, None), (2, 13, 90_000), (3, 14, None)]).select("k", "id", "ts")
+    got = op.reconcile(a, b, ["k"], "5 seconds").select("k", "app_id", "third_id", "status")
+    la, lb = a.toDF("k", "app_id", "a_ts"), b.toDF("k2", "third_id", "b_ts")
+    five = F.make_interval(secs=F.lit(5))
+    near = F.col("b_ts").between(F.col("a_ts") - five, F.col("a_ts") + five)
+    full = la.join(lb, (F.col("k") == F.col("k2")) & near, "full_outer")
+    status = (F.when(F.col("third_id").isNull(), "MISSING_THIRD").when(F.col("app_id").isNull(), "MISSING_APP")
+              .otherwise("MATCHED"))
+    assert rows(got) == rows(full.select(F.coalesce("k", "k2").alias("k"), "app_id", "third_id", status.alias("status")))
+    alerts = op.reconcile_alerts(a, b, ["k"], "5 seconds")
+    assert sorted((r.id, r.status) for r in alerts.collect()) == \
+        [(i, "MISSING_THIRD") for i in (2, 3, 4, 5)] + [(i, "MISSING_APP") for i in (12, 13, 14)]
