@@ -464,6 +464,11 @@ def link_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text", k:
     text are judged by their own text; null ids are never the smallest.
     Empty tables give no rows; other columns are ignored.
     """
+    return _linked(docs, doc, text, k, percent).drop("root")
+
+
+def _linked(docs: DataFrame, doc: str, text: str, k: int, percent: int) -> DataFrame:
+    """``link_documents`` with ``root``: the smallest node of the component, null if empty."""
     slim = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
     scanned = materialize(_scan(slim, k, percent), "scanned")
     rows = scanned.where("chunk is null").drop("chunk", "counts")
@@ -516,11 +521,11 @@ def link_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text", k:
     if comps is not None:
         smallest = smallest.join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
         lowest = smallest.groupBy("root").agg(F.min("first").alias("component_id"))
-        smallest = smallest.join(lowest, "root").select("node", "component_id")
+        smallest = smallest.join(lowest, "root").select("node", "root", "component_id")
     else:
-        smallest = smallest.withColumnRenamed("first", "component_id")
+        smallest = smallest.select("node", F.col("node").alias("root"), F.col("first").alias("component_id"))
     joined = rows.join(smallest, "node", "left")
-    return joined.select(F.col("doc").alias(doc), "text_hash", F.col("n").alias("n_shingles"), "node",
+    return joined.select(F.col("doc").alias(doc), "text_hash", F.col("n").alias("n_shingles"), "node", "root",
                          F.when(F.col("node").isNull(), F.col("doc")).otherwise(F.col("component_id")).alias("component_id"))
 
 
@@ -530,13 +535,12 @@ def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text", k: int =
 
     Documents without words are linked with nothing and stay.  Of rows that
     are equal in id and text one stays; of different texts with the smallest
-    id in one component the one with the smallest hash stays.
+    id in one component the one with the smallest hash stays.  Components are
+    told apart by their root: an id may be the smallest in several of them.
     """
-    links = materialize(link_documents(docs, doc, text, k, percent), "links")
+    links = materialize(_linked(docs, doc, text, k, percent), "links")
     first = links.where(F.col(doc).eqNullSafe(F.col("component_id")) & F.col("node").isNotNull())
-    # Null ids are never the smallest: a component of null ids alone is told apart by its sets.
-    group = F.when(F.col(doc).isNull(), F.col("node"))
-    stay = first.groupBy(F.col(doc).alias("__doc"), group.alias("__group")).agg(
+    stay = first.groupBy(F.col(doc).alias("__doc"), "root").agg(
         F.min("text_hash").alias("__hash"), F.count(F.lit(1)).alias("__n"))
     stay = stay.select("__doc", "__hash", "__n").union(
         links.where("node is null").select(doc, "text_hash", F.lit(1).cast("bigint"))).distinct()

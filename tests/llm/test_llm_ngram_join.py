@@ -86,6 +86,16 @@ def test_keep_one(spark):
     assert nj.keep_one(df.limit(0)).count() == 0
 
 
+def test_keep_one_where_one_id_is_in_two_components(spark):
+    """Each component keeps a text of its own, ids null or repeated."""
+    one, two, three = (" ".join(f"{p}{i}" for i in range(60)) for p in ("a", "b", "c"))
+    docs = [(1, one), (1, two), (2, one + " x"), (3, two + " x"), (4, two + " y"), (1, three), (1, three),
+            (None, "d " + three.replace("c", "d")), (None, three.replace("c", "d"))]
+    kept = [(r.doc_id, r.text) for r in nj.keep_one(spark.createDataFrame(docs, "doc_id long, text string"), k=5, percent=80).collect()]
+    assert sorted(x for x in kept if x[0] is not None) == [(1, one), (1, two), (1, three)]
+    assert len(kept) == 4
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.integers(6, 400), st.integers(0, 10**6), st.sampled_from([80, 85, 90]), st.integers(0, 4))
 def test_linked_sets_share_a_signature(n, seed, percent, share):
