@@ -32,6 +32,7 @@ from clickflow.llm.common import crc_fold, materialize
 SAMPLE_DOCS = 30_000
 MIN_DOCS = 8          # toxic texts that must hold an entry
 MIN_PRECISION = 0.8   # share of toxic texts among those that hold it
+MIN_CLEAN = 3         # clean texts that must hold an exception phrase
 MAX_ENTRIES = 20_000
 STEMS = range(4, 9)   # lengths of stems
 FEATURE_ROWS = 200_000  # candidate entries the driver weighs, the most frequent first
@@ -202,10 +203,10 @@ def learn(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "
         hit = [any(e in weights for e in (f" {w} ", *(f" {w[:n]}" for n in STEMS))) for w in words]
         return {f" {a} {b} " for a, b, x, y in zip(words, words[1:], hit, hit[1:]) if x or y}
 
-    seen: dict[str, list[int]] = {}
-    for r in _count(rows, phrases).where(F.col("n") >= 3).orderBy(F.desc("n"), "feature").limit(FEATURE_ROWS).collect():
-        seen.setdefault(r["feature"], [0, 0])[r["toxic"]] += r["n"]
-    exceptions = {p for p, (c, t) in seen.items() if c >= 3 and not t}
+    seen = _count(rows, phrases).groupBy("feature").agg(
+        *[F.sum(F.when(F.col("toxic") == y, F.col("n")).otherwise(0)).alias(name) for y, name in ((0, "clean"), (1, "bad"))])
+    # At most one phrase for each two words of the bounded sample, each in MIN_CLEAN texts.
+    exceptions = {r["feature"] for r in seen.where((F.col("clean") >= MIN_CLEAN) & (F.col("bad") == 0)).select("feature").collect()}
     lexicon = Lexicon(weights, exceptions)
     shape = docs.sparkSession.sparkContext.broadcast(lexicon)
 

@@ -95,3 +95,13 @@ def test_toxicity_edges(spark):
     assert tx.score_by_fold(docs.limit(0), labels).count() == 0
     unlabelled = tx.score_by_fold(docs, labels.limit(0)).collect()
     assert len(unlabelled) == 104 and {r.predicted for r in unlabelled} == {0}
+
+
+def test_phrases_of_toxic_texts_are_no_exceptions(spark):
+    """However few toxic texts hold a phrase, it hides no entry."""
+    toxic = [f"a{i} vile b{i}" for i in range(40)] + [f"not vile c{i}" for i in range(2)]
+    clean = [f"not vile d{i}" for i in range(4)] + [f"so vile e{i}" for i in range(3)] + [f"good f{i}" for i in range(50)]
+    rows = [(i, t, int(i < len(toxic))) for i, t in enumerate(toxic + clean)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = tx.learn(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert " vile " in lexicon.weights and lexicon.exceptions == {" so vile "}
