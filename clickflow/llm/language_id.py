@@ -10,8 +10,8 @@ quantile plus ``MARGIN`` bits).
 
 Training counts n-grams of a sample of bounded size: about ``SAMPLE_DOCS``
 texts of each language, picked by a hash of the id, counted whole on the
-executors.  The driver gets n-gram counts only, at most ``MAX_GRAMS`` a
-language, and sends the arrays (a few MB) to the executors.
+executors.  The driver gets the counts of all n-grams of the sample, so the
+sample's size bounds them, and sends the arrays to the executors.
 """
 from __future__ import annotations
 
@@ -29,7 +29,6 @@ from clickflow.llm.common import crc_fold, materialize
 
 ORDER = 4
 SAMPLE_DOCS = 3000
-MAX_GRAMS = 200_000
 MARGIN = 1.0        # bits per character
 CONFIDENCE = 20.0   # characters of evidence behind ``score``
 UNDETERMINED = "und"
@@ -150,7 +149,7 @@ class Models:
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc: str = "doc_id",
-          sample_docs: int = SAMPLE_DOCS, max_grams: int = MAX_GRAMS) -> Models:
+          sample_docs: int = SAMPLE_DOCS) -> Models:
     """Models for every non-null ``lang`` of ``docs``; about ``sample_docs`` texts of each are counted."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}
@@ -177,9 +176,9 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc: str = "d
                           .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "lang-grams")
     counts = {}
     for name in sizes:
-        top = counted.where(F.col("lang") == name).orderBy(F.desc("n"), "gram").limit(max_grams).toArrow()
-        if top.num_rows:
-            counts[name] = (top.column("gram").to_numpy().view(np.uint64), top.column("n").to_numpy().astype(float))
+        own = counted.where(F.col("lang") == name).toArrow()
+        if own.num_rows:
+            counts[name] = (own.column("gram").to_numpy().view(np.uint64), own.column("n").to_numpy().astype(float))
     models = Models(counts)
     shared = docs.sparkSession.sparkContext.broadcast(models)
 

@@ -105,3 +105,13 @@ def test_phrases_of_toxic_texts_are_no_exceptions(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     lexicon = tx.learn(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
     assert " vile " in lexicon.weights and lexicon.exceptions == {" so vile "}
+
+
+def test_all_grams_of_the_sample_count(spark):
+    """Large alphabets have more than a few hundred thousand n-grams, most of them seen once."""
+    rng = np.random.default_rng(6)
+    texts = ["".join(map(chr, x)) for x in rng.integers(0x4E00, 0x9000, (300, 1000))]
+    df = spark.createDataFrame([(i, t, "zz") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    models = li.train(df)
+    grams = np.unique(np.concatenate([li.grams(li.symbols(t)) for t in texts]))
+    assert len(grams) > 250_000 and len(models.keys) == len(grams)
