@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from clickflow.llm.ann import search
 from clickflow.llm.bpe import encode_documents
+from clickflow.llm.conversation_repair import repair_damaged
 from clickflow.llm.decontaminate import contamination
 from clickflow.llm.html_extract import extract_pages
 from clickflow.llm.language_id import identify_by_fold
+from clickflow.llm.license_scan import scan_licenses
 from clickflow.llm.line_dedup import dedup_lines
 from clickflow.llm.ngram_join import link_documents
+from clickflow.llm.token_align import link_statistics
 from clickflow.llm.toxicity import score_by_fold
 from clickflow.llm.url_filter import HOST_RULES, PATTERN_RULES, filter_urls
 from clickflow.llm.warc import archive_index
@@ -66,6 +69,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read_table(spark, sf_dir, "pages"))
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_statistics(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
@@ -77,6 +93,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
+    "op11_token_align": op11_token_align,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_license_scan": op13_license_scan,
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -178,4 +197,67 @@ best AS (
 SELECT p.page_id, p.host, p.path, b.hit.n AS rule,
        coalesce(b.hit.v, CASE WHEN {_PATTERNS} THEN 'block' ELSE 'allow' END) AS verdict
 FROM parts p LEFT JOIN best b USING (page_id, host, path)""",
+    "op12_conversation_repair": r"""
+WITH RECURSIVE src AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, conv_id, turn, coalesce(role, ' ') AS role,
+         coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+  FROM conversations),
+dice AS (
+  SELECT *, xor(list_reduce([4294967295] || list_transform(range(1, len(k) + 1), lambda i: ascii(k[i])::BIGINT),
+    lambda crc, byte: list_reduce([xor(crc, byte)] || range(8),
+      lambda r, bit: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)), 4294967295) % 20 AS d
+  FROM src),
+damaged AS (
+  SELECT c, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+         CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN d = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM dice WHERE d <> 0),
+placed AS (
+  SELECT c, turn, role, text, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+         row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos
+  FROM damaged),
+judged AS (
+  SELECT *, body = '' AS blank, body <> '' AND row_number() OVER (PARTITION BY c, role, text ORDER BY pos) > 1 AS twice,
+         left(role, 1) AS letter, lag(left(role, 1)) OVER (PARTITION BY c ORDER BY pos) AS before
+  FROM placed),
+faults AS (
+  SELECT *, NOT blank AND NOT twice AND right(body, 1) NOT IN ('.', '!', '?') AS cut, blank OR twice AS gone FROM judged),
+ins(p, q, cost, audit) AS (VALUES (0, 0, 0, ''), (0, 2, 2, 'I'), (0, 3, 4, 'II'), (1, 1, 0, ''), (1, 2, 2, 'I'), (1, 3, 4, 'II'),
+  (2, 2, 0, ''), (2, 3, 2, 'I'), (2, 2, 4, 'II'), (3, 3, 0, ''), (3, 2, 2, 'I'), (3, 3, 4, 'II')),
+kept(q, letter, t) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+ways AS (
+  SELECT c, 0::BIGINT AS pos, 0 AS s, struct_pack(cost := 0, audit := '') AS w FROM (SELECT DISTINCT c FROM faults)
+  UNION ALL
+  SELECT c, pos, s, min(struct_pack(cost := cost, audit := audit)) FROM (
+    SELECT y.c, f.pos, e.s, y.w.cost + i.cost + e.cost AS cost, y.w.audit || i.audit || e.audit AS audit
+    FROM ways y JOIN ins i ON i.p = y.s JOIN faults f ON f.c = y.c AND f.pos = y.pos + 1,
+      LATERAL (SELECT i.q AS s, 3 AS cost, 'D' AS audit
+        UNION ALL SELECT CASE i.q WHEN 2 THEN 3 ELSE 2 END, 2 + f.cut::INT, 'R' WHERE NOT f.gone
+        UNION ALL SELECT k.t, f.cut::INT, 'K' FROM kept k WHERE NOT f.gone AND k.q = i.q AND k.letter = f.letter) e)
+  GROUP BY c, pos, s),
+best AS (
+  SELECT c, min(struct_pack(cost := y.w.cost + i.cost, audit := y.w.audit || i.audit)) AS w
+  FROM ways y JOIN ins i ON i.p = y.s JOIN (SELECT c, max(pos) AS pos FROM faults GROUP BY c) l USING (c, pos)
+  WHERE i.q IN (0, 3) GROUP BY c),
+letters AS (SELECT c, w.audit AS audit, unnest(range(1, len(w.audit) + 1)) AS j FROM best),
+edits AS (
+  SELECT c, j, audit[j] AS e, sum((audit[j] <> 'I')::INT) OVER (PARTITION BY c ORDER BY j) AS pos FROM letters),
+turns AS (
+  SELECT e.c, e.e, f.role, f.letter, CASE WHEN e.e = 'I' THEN '' ELSE f.text END AS text,
+         row_number() OVER (PARTITION BY e.c ORDER BY j) AS m
+  FROM edits e LEFT JOIN faults f ON f.c = e.c AND f.pos = e.pos WHERE e.e <> 'D'),
+system AS (SELECT c, (e = 'K' AND letter = 's')::INT AS s FROM turns WHERE m = 1),
+shas AS (
+  SELECT c, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN (m - s) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || text, chr(10) ORDER BY m)) AS sha FROM turns JOIN system USING (c) GROUP BY c),
+counts AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (twice) AS duplicate, count(*) FILTER (cut) AS truncated,
+         count(*) FILTER (pos > 1 AND before || letter NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(w.cost, 0)::BIGINT AS cost, coalesce(w.audit, '') AS audit,
+       coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM src) LEFT JOIN counts USING (c) LEFT JOIN best USING (c) LEFT JOIN shas USING (c)""",
 }
