@@ -93,18 +93,46 @@ class Pair:
         return text.replace(SPACE, " ").encode("utf-8")
 
     def _learn(self, parts: set[str]) -> dict[str, tuple[bytes, bytes] | None]:
-        """Ids of both tokenizers for each part (int32 bytes), or None where the bytes are not the part's."""
-        parts, out = list(parts), {}
-        # The model adds a space itself; before a line end that space is taken off again.
-        lists = self.pieces.encode([p[1:] if p[0] == " " else p for p in parts], num_threads=1)
-        for part, b in zip(parts, lists):
+        """Ids of both tokenizers for each part (int32 bytes), or None where the bytes are not the part's.
+
+        Parts that end in no space stand one after the other as in a text, so
+        all are encoded in one go and cut where the parts end.
+        """
+        listed = sorted(p for p in parts if not p[-1].isspace())
+        listed.sort(key=lambda p: p[0] != " ")
+        joined = "".join(listed)
+        out = {}
+        if joined[:1] == " ":
+            raw, ends = joined.encode("utf-8"), np.cumsum([len(p.encode("utf-8")) for p in listed])
+            cuts = [self._cut(ids, size, token, raw, ends) for ids, size, token in (
+                (self.bpe.encode_ordinary(joined), self.a_size, self.a_bytes),
+                (self.pieces.encode(joined[1:]), self.b_size, self.b_bytes))]
+            if None not in cuts:
+                out = dict(zip(listed, zip(*cuts)))
+        for part in parts - out.keys():
+            # The model adds a space itself; before a line end that space is taken off again.
+            b = self.pieces.encode(part[1:] if part[0] == " " else part)
             if part[0] != " ":
                 b = b[1:] if b[:1] == [self.gap] else []
-            a, raw = self.bpe.encode_ordinary(part), part.encode("utf-8")
-            same = b"".join(map(self.b_bytes.__getitem__, b)) == raw and b"".join(map(self.a_bytes.__getitem__, a)) == raw
-            out[part] = (np.array(a, np.int32).tobytes(), np.array(b, np.int32).tobytes()) if same else None
+            raw = part.encode("utf-8")
+            cuts = [self._cut(ids, size, token, raw, np.array([len(raw)])) for ids, size, token in (
+                (self.bpe.encode_ordinary(part), self.a_size, self.a_bytes), (b, self.b_size, self.b_bytes))]
+            out[part] = None if None in cuts else (cuts[0][0], cuts[1][0])
         return out
 
+    @staticmethod
+    def _cut(ids: list[int], size: np.ndarray, token: dict[int, bytes], raw: bytes, ends: np.ndarray) -> list[bytes] | None:
+        """The ids (int32 bytes) of each stretch of ``raw``, or None if the tokens' bytes are not ``raw`` so cut."""
+        if b"".join(map(token.__getitem__, ids)) != raw:
+            return None
+        array = np.array(ids, np.int32)
+        at = np.cumsum(size[array])
+        last = np.searchsorted(at, ends)
+        if (at[last] != ends).any():
+            return None
+        packed, stops = array.tobytes(), (4 * (last + 1)).tolist()
+        return [packed[i:j] for i, j in zip([0, *stops], stops)]
+
     def encode(self, text: str) -> Iterator[tuple[np.ndarray, np.ndarray]] | None:
         """Ids of both tokenizers for a space and ``text``, block by block; both end a token where a block ends.
 
@@ -142,12 +170,12 @@ class Pair:
                 np.frombuffer(b"".join([f[1] for f in found]), np.int32))
 
 
-def diagonal_runs(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[tuple[int, int, int]], list[list[tuple[int, int]]]]:
+def diagonal_runs(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[tuple[int, int, int]], list[tuple[int, ...]]]:
     """Alternating runs of one-to-one groups and irregular groups of two arrays of token ends with the same last end.
 
     Returns (index in A, index in B, length) of each run, some of length 0,
-    and after each the linked index pairs of the irregular group that follows
-    (an empty list at the end of the arrays).
+    and after each the irregular group that follows: indices of A from, to
+    and of B from, to (ends not included; empty at the end of the arrays).
     """
     x, y = ends_a.astype(np.int64).tobytes(), ends_b.astype(np.int64).tobytes()
     a, b = ends_a.tolist(), ends_b.tolist()
@@ -167,39 +195,41 @@ def diagonal_runs(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[tuple[in
                 block //= 2
         runs.append((at, at + shift, run))
         at += run
-        links = []
+        i, j = at, at + shift
         if at < n:  # tokens of both sides up to the next common end
-            i, j = at, at + shift
-            links.append((i, j))
-            while a[i] != b[j]:
-                if a[i] < b[j]:
+            p, q = a[i], b[j]
+            while p != q:
+                if p < q:
                     i += 1
+                    p = a[i]
                 else:
                     j += 1
-                links.append((i, j))
-            at, shift = i + 1, j - i
-        odd.append(links)
+                    q = b[j]
+            i, j = i + 1, j + 1
+        odd.append((at, i, at + shift, j))
+        at, shift = i, j - i
     return runs, odd
 
 
 class Alignment:
     """Groups of one block: id pairs that are linked, and the groups as text."""
 
-    def __init__(self, a: np.ndarray, b: np.ndarray, pair: Pair, names: "_PairText"):
+    def __init__(self, a: np.ndarray, b: np.ndarray, pair: Pair, names: "Names"):
         runs, odd = diagonal_runs(np.cumsum(pair.a_size[a]), np.cumsum(pair.b_size[b]))
         i0, j0, size = np.array(runs, np.int64).T if runs else np.zeros((3, 0), np.int64)
         step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
         straight = _keys(a[np.repeat(i0, size) + step], b[np.repeat(j0, size) + step])
-        crooked = np.array([link for links in odd for link in links], np.int64).reshape(-1, 2)
-        self.keys = np.concatenate([straight, _keys(a[crooked[:, 0]], b[crooked[:, 1]])])
-        self.n_groups = len(straight) + sum(map(bool, odd))
-        texts, out, done = list(map(names.__getitem__, straight.tolist())), [], 0
-        for (_, _, run), links in zip(runs, odd):
+        texts, out, links, done = list(map(names.straight.__getitem__, straight.tolist())), [], [], 0
+        a4, b4, crooked = a.tobytes(), b.tobytes(), names.crooked
+        for (_, _, run), (i, i_end, j, j_end) in zip(runs, odd):
             out += texts[done:done + run]
             done += run
-            if links:
-                (i, j), (i_last, j_last) = links[0], links[-1]
-                out.append(f"{','.join(map(str, a[i:i_last + 1].tolist()))}|{','.join(map(str, b[j:j_last + 1].tolist()))}")
+            if i < i_end:
+                text, keys = crooked[a4[4 * i:4 * i_end], b4[4 * j:4 * j_end]]
+                out.append(text)
+                links.append(keys)
+        self.keys = np.concatenate([straight, np.frombuffer(b"".join(links), np.int64)])
+        self.n_groups = len(out)
         self.text = ";".join(out)
 
 
@@ -207,23 +237,52 @@ def _keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a.astype(np.int64) << 32 | b
 
 
-class _PairText(dict):
+class _Straight(dict):
     """The text of a one-to-one group by its id pair (forgotten as a whole when it grows large)."""
 
     def __missing__(self, key: int) -> str:
-        if len(self) > 1_000_000:
+        if len(self) > 500_000:
             self.clear()
         text = self[key] = f"{key >> 32}|{key & 0xFFFFFFFF}"
         return text
 
 
-_PAIRS: dict[tuple, tuple[Pair, _PairText]] = {}  # one per Python worker
+class _Crooked(dict):
+    """The text and the linked id pairs of an irregular group by the ids (int32 bytes) of both sides."""
+
+    def __init__(self, pair: Pair):
+        super().__init__()
+        self.pair = pair
+
+    def __missing__(self, key: tuple[bytes, bytes]) -> tuple[str, bytes]:
+        if len(self) > 200_000:
+            self.clear()
+        a, b = (np.frombuffer(k, np.int32) for k in key)
+        ends = np.cumsum(self.pair.a_size[a]), np.cumsum(self.pair.b_size[b])
+        # A pair of overlapping tokens shares the stretch up to one end of either.
+        stretch = np.union1d(*ends)
+        links = _keys(a[np.searchsorted(ends[0], stretch)], b[np.searchsorted(ends[1], stretch)])
+        text = f"{','.join(map(str, a.tolist()))}|{','.join(map(str, b.tolist()))}"
+        if len(key[0]) + len(key[1]) > 256:
+            return text, links.tobytes()
+        known = self[key] = text, links.tobytes()
+        return known
+
+
+class Names:
+    """Texts of groups met before, a bounded number of each kind."""
+
+    def __init__(self, pair: Pair):
+        self.straight, self.crooked = _Straight(), _Crooked(pair)
+
+
+_PAIRS: dict[tuple, tuple[Pair, Names]] = {}  # one per Python worker
 
 
 class _Text:
     """What one document gives: counts, linked id pairs with their numbers, the groups' digest and text."""
 
-    def __init__(self, text: str | None, pair: Pair, names: _PairText, with_groups: bool):
+    def __init__(self, text: str | None, pair: Pair, names: Names, with_groups: bool):
         self.n_a = self.n_b = self.n_groups = self.n_links = 0
         self.digest, kept = "", []
         keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -255,10 +314,11 @@ def _load(docs: DataFrame, a_path: str, b_path: str, pattern: str, memory: int):
         shared = docs.sparkSession.sparkContext.broadcast((load_byte_bpe(a_path), f.read()))
     key = (a_path, b_path, pattern, memory)
 
-    def get() -> tuple[Pair, _PairText]:
+    def get() -> tuple[Pair, Names]:
         if key not in _PAIRS:
             _PAIRS.clear()
-            _PAIRS[key] = Pair(*shared.value, pattern, memory), _PairText()
+            pair = Pair(*shared.value, pattern, memory)
+            _PAIRS[key] = pair, Names(pair)
         return _PAIRS[key]
     return get
 

@@ -88,7 +88,8 @@ def test_small_chunks_blocks_and_memory(spark, naive, monkeypatch):
     docs = _rows(spark, texts).repartition(3)
     got = ta.link_statistics(docs, *FILES, memory=3, chunk_entries=5)
     assert [tuple(r[c] for c in COLUMNS) for r in got.orderBy("doc_id").collect()] == want
-    pair, names = ta.Pair(ta.load_byte_bpe(FILES[0]), open(FILES[1], "rb").read(), FILES[2], memory=2), ta._PairText()
+    pair = ta.Pair(ta.load_byte_bpe(FILES[0]), open(FILES[1], "rb").read(), FILES[2], memory=2)
+    names = ta.Names(pair)
     monkeypatch.setattr(ta, "BLOCK", 2)
     for text, row in zip(texts, want):
         one = ta._Text(text, pair, names, True)
@@ -102,12 +103,12 @@ def test_diagonal_runs_on_random_ends():
         last = rng.randint(1, 60)
         a, b = (np.array(sorted(set(rng.sample(range(1, last + 1), rng.randint(0, last))) | {last})) for _ in range(2))
         runs, odd = ta.diagonal_runs(a, b)
-        links = [(i + k, j + k) for i, j, n in runs for k in range(n)] + [x for group in odd for x in group]
-        starts = [np.concatenate([[0], e[:-1]]) for e in (a, b)]
-        assert sorted(links) == [(i, j) for i in range(len(a)) for j in range(len(b))
-                                 if starts[0][i] < b[j] and starts[1][j] < a[i]]
-        assert sum(n for *_, n in runs) + sum(map(bool, odd)) == len(set(a) & set(b))
-    assert ta.diagonal_runs(np.arange(1, 1001), np.arange(1, 1001)) == ([(0, 0, 1000)], [[]])
+        groups = sorted([(i + k, i + k + 1, j + k, j + k + 1) for i, j, n in runs for k in range(n)]
+                        + [g for g in odd if g[0] < g[1]])
+        common = sorted(set(a) & set(b))
+        i, j = ([0, *(np.searchsorted(e, common) + 1).tolist()] for e in (a, b))
+        assert groups == list(zip(i, i[1:], j, j[1:]))
+    assert ta.diagonal_runs(np.arange(1, 1001), np.arange(1, 1001)) == ([(0, 0, 1000)], [(1000, 1000, 1000, 1000)])
 
 
 def test_groups_text(spark, naive):
