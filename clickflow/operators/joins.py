@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickflow.functions.time import epoch_micros, millis_of, to_micros
-from clickflow.operators.sequence import keyed_prefix_sums, keyed_row_number, with_previous
+from clickflow.operators.sequence import PIECE_ROWS, keyed_row_number, running_max, with_neighbours
 
 # Reconciliation status names.
 MATCHED = "MATCHED"
@@ -201,33 +201,42 @@ def window_cogroup_rows(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def reconcile_one_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance: str | int = "5 seconds",
-                         ts: str = "ts", id_col: str = "event_id") -> DataFrame:
+                         ts: str = "ts", id_col: str = "event_id", piece_rows: int = PIECE_ROWS) -> DataFrame:
     """1:1 reconciliation: each row pairs with at most one row of the other side.
 
     The batch form of the keyed process that keeps one pending row: rows of a
     key are taken in (time in ms, app before third, id) order; a row within
     ``tolerance`` of the pending row of the other side is MATCHED with it, any
-    other row replaces the pending one, which is reported missing.  So only
-    neighbours can pair, and in a run of rows that are each in reach of the
-    one before, the first pairs with the second, the third with the fourth.
+    other row replaces the pending one, which is reported missing.
     Output: keys, app and third id and ms, status.
+
+    The process is a small automaton whose state after a row is "this row is
+    pending" or "nothing is".  A row out of reach of the row before makes the
+    first state, whatever came earlier; a row in reach turns one state into
+    the other.  Such steps compose: a stretch of rows either sets the state or
+    turns it as often as it has rows.  So a row's state is the parity of its
+    distance from the last setting row, a running maximum of positions, and no
+    chain of rows in reach of each other is walked by one task, however long.
     """
     keys, tol_ms = list(keys), to_micros(tolerance) // 1000
     order = ["_cf_ms", "_cf_side", "_cf_id"]
     sides = [d.select(*keys, millis_of(d, ts).alias("_cf_ms"), F.lit(s).alias("_cf_side"), F.col(id_col).alias("_cf_id"))
              for d, s in ((left, 0), (right, 1))]
-    timeline = with_previous(sides[0].unionByName(sides[1]), keys, order, "_cf_prev")
-    linked = (F.col("_cf_prev._cf_side") != F.col("_cf_side")) & (F.col("_cf_ms") - F.col("_cf_prev._cf_ms") <= tol_ms)
-    timeline = timeline.withColumn("_cf_new", F.when(F.coalesce(linked, F.lit(False)), 0).otherwise(1))
-    runs = keyed_prefix_sums(timeline, keys, order, {"_cf_run": "_cf_new"})
-    run = Window.partitionBy(*keys, "_cf_run").orderBy(*order)
-    runs = runs.withColumns({"_cf_at": F.row_number().over(run), "_cf_more": F.lead("_cf_id").over(run).isNotNull()})
-    second = F.col("_cf_at") % 2 == 0
+    timeline = with_neighbours(sides[0].unionByName(sides[1]), keys, order, "_cf_prev", "_cf_next", "_cf_at", piece_rows,
+                               keep_piece=True)
+
+    def reach(earlier: str, later: str) -> Column:
+        other = F.col(earlier + "_cf_side") != F.col(later + "_cf_side")
+        return F.coalesce(other & (F.col(later + "_cf_ms") - F.col(earlier + "_cf_ms") <= tol_ms), F.lit(False))
+    timeline = timeline.withColumns({"_cf_sets": F.when(~reach("_cf_prev.", ""), F.col("_cf_at")),
+                                     "_cf_more": reach("", "_cf_next.")})
+    states = running_max(timeline, keys, order, "_cf_sets", "_cf_set", piece_rows)
+    second = (F.col("_cf_at") - F.col("_cf_set")) % 2 == 1
     app = F.col("_cf_side") == 0
 
     def pick(mine: Column, field: str) -> Column:
         return F.when(mine, F.col(field)).when(second, F.col(f"_cf_prev.{field}"))
     status = F.when(second, MATCHED).when(app, MISSING_THIRD).otherwise(MISSING_APP)
-    return runs.where(second | ~F.col("_cf_more")).select(
+    return states.where(second | ~F.col("_cf_more")).select(
         *keys, pick(app, "_cf_id").alias(f"app_{id_col}"), pick(app, "_cf_ms").alias("app_ms"),
         pick(~app, "_cf_id").alias(f"third_{id_col}"), pick(~app, "_cf_ms").alias("third_ms"), status.alias("status"))

@@ -1,26 +1,30 @@
 """Per-key sequences without a single task per key.
 
 Running totals, count windows and sessions need what lies before a row in its
-key.  ``Window.partitionBy(key)`` would put a whole key into one task.  Here a
-key's rows are cut into pieces by the first order column, and the piece is a
-pure function of the row:
-
-    piece = floor(position / width)
-
-with ``position`` the order column as a number (microseconds for times) and
-one ``width`` for the table, taken from its span and row count so that a key
-holding every row would have about ``PIECE_ROWS`` rows a piece.  The width is
-a scalar subquery, so building a plan runs nothing.
-
-1. Totals per (key, piece), combined map-side; a running total over a key's
-   earlier pieces gives what each piece starts from.  A key has at most
-   rows / PIECE_ROWS pieces.
+key.  ``Window.partitionBy(key)`` would put a whole key into one task.  Here
+the rows of a heavy key (more than ``PIECE_ROWS`` rows) are cut into pieces by
+the first order column, at cut points that follow the rows' density:
+
+* A sample of the heavy keys' rows is picked by a hash of the row, about
+  ``SAMPLED`` rows a piece.  Every ``SAMPLED``-th of its order values, sorted,
+  is a cut point.  An outlier or a burst moves no other piece's borders, and no
+  piece is much larger than ``PIECE_ROWS`` rows of all heavy keys together.
+* Heavy keys and cut points are scalar subqueries, so building a plan runs
+  nothing, and pure functions of the table: no order of merging matters, so two
+  branches of a plan cannot disagree about a row's piece.
+* A table has ``MAX_PIECES`` pieces at most; beyond ``MAX_PIECES * PIECE_ROWS``
+  rows a piece is that share of the table, so both subqueries stay small
+  (``SAMPLED * MAX_PIECES`` numbers) however large the table is.
+
+1. Totals per (key, piece) of heavy keys, combined map-side; a running total
+   over a key's earlier pieces gives what each piece starts from.
 2. That start joins the piece as its first row, so one window per (key, piece)
-   gives final results: no join, and no plan that depends on the key's size.
+   gives final results: no join, and one plan for keys of every size.  A light
+   key is one piece and needs no start.
 
 Rows that share the first order column cannot be cut apart: a key with far
-more than ``PIECE_ROWS`` rows at one instant is one piece.  Order columns that
-are neither times nor integers make one piece a key.
+more than ``PIECE_ROWS`` rows at one instant (or without one) is one piece.
+Order columns that are neither times nor integers make one piece a key.
 """
 from __future__ import annotations
 
@@ -32,9 +36,12 @@ from pyspark.sql import types as T
 
 from clickflow.functions.time import epoch_micros
 
-PIECE_ROWS = 200_000  # rows of a piece, about, if one key held the whole table
+PIECE_ROWS = 200_000  # rows of a piece, about
+MAX_PIECES = 10_000   # of a table
+SAMPLED = 64          # rows of a piece, about, that its cut points are taken from
 
 _PIECE, _ROW, _POS = "_cf_piece", "_cf_row", "_cf_pos"
+_LIGHT = -1           # the piece of all rows of a key that is not cut
 
 
 def _cols(cs) -> list[Column]:
@@ -55,20 +62,50 @@ def _number(df: DataFrame, col: str) -> Column | None:
     return None
 
 
-def with_pieces(df: DataFrame, order: Sequence[str], piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """``df`` with the piece of each row (null order values have a null piece, which sorts first as they do)."""
+def _with_steps(sorted_values: Column) -> Column:
+    """The values with the steps of a bisection over them (powers of two, falling)."""
+    powers = F.sequence(F.floor(F.log2(F.size(sorted_values) + 1)).cast("int"), F.lit(0))
+    return F.struct(sorted_values.alias("values"), F.transform(powers, lambda i: F.pow(2, i).cast("int")).alias("steps"))
+
+
+def _up_to(searched: Column, value: Column) -> Column:
+    """How many of the values (see ``_with_steps``) are not above ``value``."""
+    return F.aggregate(searched["steps"], F.lit(0), lambda at, step: F.when(
+        F.get(searched["values"], at + step - 1) <= value, at + step).otherwise(at))
+
+
+def _with(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` written once, however often it is used: a plan would hold a subquery each time."""
+    return F.transform(F.array(value), use)[0]
+
+
+def with_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """``df`` with the piece of each row: its place among the cut points from 1 on, 0 without an order value,
+    ``_LIGHT`` in keys that are not cut.  Rows that have their piece already keep it."""
+    if _PIECE in df.columns:
+        return df
     at = _number(df, order[0])
     if at is None:
-        return df.withColumn(_PIECE, F.lit(0).cast("long"))
-    lo, hi, n = F.min("p"), F.max("p"), F.count(F.lit(1))
-    pieces = F.greatest(F.lit(1.0), F.ceil(n / piece_rows).cast("double"))
-    width = F.greatest(F.lit(1.0), (hi.cast("double") - lo.cast("double")) / pieces)
-    return df.withColumn(_PIECE, F.floor(at / df.select(at.alias("p")).agg(width.alias("w")).scalar()))
+        return df.withColumn(_PIECE, F.lit(_LIGHT))
+    key = F.xxhash64(*keys) if keys else F.lit(0).cast("long")
+    slim = df.select(key.alias("k"), at.alias("at"), F.xxhash64(*keys, *order).alias("pick"))
+    many = slim.agg(F.greatest(F.lit(piece_rows), F.ceil(F.count(F.lit(1)) / MAX_PIECES)).cast("long").alias("w"))
+    counts = slim.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("many", many.scalar())
+    heavy = counts.where("n > many").agg(F.collect_list("k").alias("heavy"))
+    asked = slim.withColumns({"heavy": heavy.scalar(), "many": many.scalar()})
+    sampled = _with(F.struct("heavy", "many"), lambda x: F.when(
+        F.array_contains(x["heavy"], F.col("k")) & (F.pmod(F.col("pick"), x["many"]) < SAMPLED), F.col("at")))
+    every = F.filter(F.array_sort(F.collect_list(sampled)), lambda _, i: (i + 1) % SAMPLED == 0)
+    cuts = asked.agg(every.alias("cuts")).select(_with_steps(F.col("cuts")).alias("cuts"))
+    known = df.withColumns({"_cf_heavy": heavy.scalar(), "_cf_cuts": cuts.scalar()})
+    piece = _with(F.struct("_cf_heavy", "_cf_cuts"), lambda x: F.when(~F.array_contains(x["_cf_heavy"], key), _LIGHT).when(
+        at.isNull(), 0).otherwise(_up_to(x["_cf_cuts"], at) + 1))
+    return known.withColumn(_PIECE, piece).drop("_cf_heavy", "_cf_cuts")
 
 
 def _with_starts(base: DataFrame, keys: list[str], totals: dict[str, Column], merge: dict) -> DataFrame:
     """``base`` plus one first row per (key, piece) that holds ``merge`` of ``totals`` over the key's earlier pieces."""
-    per_piece = base.groupBy(*keys, _PIECE).agg(*[v.alias(c) for c, v in totals.items()])
+    per_piece = base.where(F.col(_PIECE) != _LIGHT).groupBy(*keys, _PIECE).agg(*[v.alias(c) for c, v in totals.items()])
     before = Window.partitionBy(*keys).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
     starts = per_piece.select(*keys, _PIECE, *[merge[c](c).over(before).alias(c) for c in totals],
                               F.lit(False).alias(_ROW))
@@ -85,7 +122,7 @@ def keyed_prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys, order = list(keys), list(order)
     values = {f"_cf_v{i}": (F.col(v) if isinstance(v, str) else v) for i, v in enumerate(sums.values())}
-    base = with_pieces(df.select("*", *[v.alias(t) for t, v in values.items()]), order, piece_rows)
+    base = with_pieces(df.select("*", *[v.alias(t) for t, v in values.items()]), keys, order, piece_rows)
     kinds = df.select(*[F.sum(v).alias(t) for t, v in values.items()]).schema
     rows = _with_starts(base, keys, {t: F.sum(t) for t in values}, {t: F.sum for t in values})
     run = Window.partitionBy(*keys, _PIECE).orderBy(_ROW, *_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
@@ -99,14 +136,45 @@ def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], o
     return keyed_prefix_sums(df, keys, order, {out: F.lit(1).cast("long")}, piece_rows)
 
 
-def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
-                  piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """``df`` with ``out``, a struct of the order columns of the row before in its key (null for the first)."""
+def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
+                piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """The largest ``value`` of a key's rows up to and including each row (nulls skipped)."""
     keys, order = list(keys), list(order)
-    base = with_pieces(df.withColumn(out, F.struct(*order)), order, piece_rows)
+    base = with_pieces(df.withColumn(out, F.col(value)), keys, order, piece_rows)
     rows = _with_starts(base, keys, {out: F.max(out)}, {out: F.max})
+    run = Window.partitionBy(*keys, _PIECE).orderBy(_ROW, *_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn(out, F.max(out).over(run)).where(_ROW).select(*[c for c in df.columns if c != _PIECE], out)
+
+
+def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], before: str, after: str, position: str,
+                    piece_rows: int = PIECE_ROWS, keep_piece: bool = False) -> DataFrame:
+    """``df`` with the rows around each row of its key: ``before`` and ``after`` are structs of the order columns
+    (null at the ends), ``position`` counts from 1.
+
+    A piece gets the last row of the earlier pieces and their number of rows
+    as its first row, and the first row of the later pieces as its last.
+    ``keep_piece`` leaves the piece in the result, for the next operator.
+    """
+    keys, order = list(keys), list(order)
+    base = with_pieces(df.withColumn(before, F.struct(*order)), keys, order, piece_rows)
+    per_piece = base.where(F.col(_PIECE) != _LIGHT).groupBy(*keys, _PIECE).agg(
+        F.max(before).alias("_cf_last"), F.min(before).alias("_cf_first"), F.count(F.lit(1)).alias(_POS))
+    earlier = Window.partitionBy(*keys).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(_PIECE).rowsBetween(1, Window.unboundedFollowing)
+    per_piece = per_piece.select(*keys, _PIECE, F.max("_cf_last").over(earlier).alias("_cf_last"),
+                                 F.min("_cf_first").over(later).alias("_cf_first"), F.sum(_POS).over(earlier).alias(_POS))
+    # 0: what lies before the piece, 1: its rows, 2: what lies after it.
+    edge = F.explode(F.array(F.struct(F.lit(0).alias(_ROW), F.col("_cf_last").alias(before), F.col(_POS)),
+                             F.struct(F.lit(2).alias(_ROW), F.col("_cf_first").alias(before), F.lit(None).cast("long").alias(_POS))))
+    edges = per_piece.select(*keys, _PIECE, edge.alias("_cf_e")).select(*keys, _PIECE, "_cf_e.*").where(
+        F.col(before).isNotNull())
+    rows = base.withColumns({_ROW: F.lit(1), _POS: F.lit(1).cast("long")}).unionByName(edges, allowMissingColumns=True)
     local = Window.partitionBy(*keys, _PIECE).orderBy(_ROW, *_cols(order))
-    return rows.withColumn(out, F.lag(out).over(local)).where(_ROW).select(*df.columns, out)
+    around = rows.withColumns({
+        after: F.lead(before).over(local), "_cf_previous": F.lag(before).over(local),
+        position: F.sum(_POS).over(local.rowsBetween(Window.unboundedPreceding, 0))})
+    kept = [*df.columns, *[_PIECE] * keep_piece]
+    return around.where(F.col(_ROW) == 1).select(*kept, F.col("_cf_previous").alias(before), after, position)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str = "total",
@@ -199,7 +267,7 @@ def sessions(df: DataFrame, keys: Sequence[str], ts: str, gap, tiebreak: Sequenc
     keys, order = list(keys), [ts, *tiebreak]
     gap_col = F.expr(f"INTERVAL {gap}") if isinstance(gap, str) else gap
     ends = df.select(*keys, *order, (F.col(ts) + gap_col).alias("_cf_end")).where(F.col("_cf_end") > F.col(ts))
-    base = with_pieces(ends, order, piece_rows)
+    base = with_pieces(ends, keys, order, piece_rows)
     rows = _with_starts(base, keys, {"_cf_end": F.max("_cf_end")}, {"_cf_end": F.max})
     local = Window.partitionBy(*keys, _PIECE).orderBy(_ROW, *_cols(order))
     before = F.max("_cf_end").over(local.rowsBetween(Window.unboundedPreceding, -1))
