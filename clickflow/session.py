@@ -10,6 +10,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# State store with keyed timers, spilling to disk; its jar ships with Spark.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Settings that every plan in this package assumes or benefits from.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -19,9 +22,11 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Delete reliable-checkpoint files (hot-key session fragments) once the
-    # checkpointed data is no longer referenced.
+    # Delete reliable-checkpoint files once the checkpointed data is no longer referenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # Literal sources under availableNow run batch after batch, the last one without rows, as file sources do.
+    "spark.sql.streaming.triggerAvailableNowWrapper.enabled": "true",
 }
 
 # The subset that can be changed on a running session (SQL runtime settings).

@@ -1,37 +1,42 @@
 """Per-key state across micro-batches (``applyInPandasWithState``).
 
 Used only where a stream needs per-row emission with memory of earlier
-micro-batches: keyed running totals, count windows and the 1:1 payment
-reconciliation.  State per key is a handful of numbers; the rows of one key
-in one micro-batch are the only thing held in Python at a time, and they are
-bounded by the trigger size (``maxFilesPerTrigger``).
+micro-batches: keyed running totals and count windows (``timers`` holds what
+also needs timers).  State per key is a handful of numbers.  A key's rows of a
+micro-batch are taken ``HELD_ROWS`` at a time: up to that many are put in
+order, more come as stretches in arrival order, each in order, so a backlog on
+one key needs no more Python memory than that.
 """
 from __future__ import annotations
 
 import decimal
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from clickflow.functions.time import to_micros
-from clickflow.operators.joins import MATCHED, MISSING_APP, MISSING_THIRD
+HELD_ROWS = 100_000  # rows of a key that are in Python at a time
 
 
 def _fields(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
     return [df.schema[n] for n in names]
 
 
-def _ordered(pdfs, order: list[str]) -> pd.DataFrame:
-    frames = [p for p in pdfs if len(p)]
-    if not frames:
-        return pd.DataFrame()
-    pdf = pd.concat(frames, ignore_index=True)
-    return pdf.sort_values(order, kind="stable", ignore_index=True)
+def _stretches(pdfs: Iterable[pd.DataFrame], order: list[str]) -> Iterator[pd.DataFrame]:
+    """A key's rows of a micro-batch in frames of about ``HELD_ROWS`` rows, each in ``order``."""
+    held, n = [], 0
+    for frame in pdfs:
+        if len(frame):
+            held.append(frame)
+            n += len(frame)
+        if n >= HELD_ROWS:
+            yield pd.concat(held, ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
+            held, n = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
 
 
 def running_count_state(stream: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -39,9 +44,9 @@ def running_count_state(stream: DataFrame, keys: Sequence[str], order: Sequence[
     """Every input row emits its key's new running count (keyed reduce, no
     window), or with ``value`` the running sum of that field (nulls skipped).
 
-    Within a micro-batch rows are taken in ``order``; across micro-batches in
-    arrival order, as a keyed stream does.  State per key: one number (two
-    with ``value``).
+    Within a micro-batch rows are taken in ``order`` (see ``HELD_ROWS``); across
+    micro-batches in arrival order, as a keyed stream does.  State per key: one
+    number (two with ``value``).
     """
     keys, order, carry = list(keys), list(order), [c for c in carry if c not in keys]
     out_type = T.LongType() if value is None else _sum_type(stream.schema[value].dataType)
@@ -49,28 +54,26 @@ def running_count_state(stream: DataFrame, keys: Sequence[str], order: Sequence[
     state_schema = "seen long" if value is None else f"seen long, total {out_type.simpleString()}"
 
     def step(key, pdfs, state):
-        pdf = _ordered(pdfs, order)
-        if pdf.empty:
-            return
-        seen = state.get[0] if state.exists else 0
-        n = seen + np.arange(1, len(pdf) + 1, dtype="int64")
-        if value is None:
-            state.update((int(n[-1]),))
-            yield pdf[keys + carry].assign(**{out: n})
-            return
-        total = state.get[1] if state.exists else None
-        known = pdf[value].notna().to_numpy()
-        zero = decimal.Decimal(0) if isinstance(out_type, T.DecimalType) else 0
-        # Cumulative sum over the batch, started from the state (exact for decimals: object dtype).
-        run = np.cumsum(pdf[value].where(known, zero).to_numpy(dtype=_np_type(out_type)))
-        run = run + (zero if total is None else total)
-        started = np.full(len(pdf), total is not None) | np.logical_or.accumulate(known)
-        res = pdf[keys + carry].copy()
-        res[out] = pd.Series(run, index=res.index, dtype="object").where(started, None)
-        if started[-1]:
-            total = run[-1] if isinstance(out_type, T.DecimalType) else run[-1].item()
-        state.update((int(n[-1]), total))
-        yield res
+        seen, total = (*state.get, None)[:2] if state.exists else (0, None)
+        for pdf in _stretches(pdfs, order):
+            n = seen + np.arange(1, len(pdf) + 1, dtype="int64")
+            seen = int(n[-1])
+            if value is None:
+                yield pdf[keys + carry].assign(**{out: n})
+                continue
+            known = pdf[value].notna().to_numpy()
+            zero = decimal.Decimal(0) if isinstance(out_type, T.DecimalType) else 0
+            # Cumulative sum over the frame, started from the state (exact for decimals: object dtype).
+            run = np.cumsum(pdf[value].where(known, zero).to_numpy(dtype=_np_type(out_type)))
+            run = run + (zero if total is None else total)
+            started = np.full(len(pdf), total is not None) | np.logical_or.accumulate(known)
+            res = pdf[keys + carry].copy()
+            res[out] = pd.Series(run, index=res.index, dtype="object").where(started, None)
+            if started[-1]:
+                total = run[-1] if isinstance(out_type, T.DecimalType) else run[-1].item()
+            yield res
+        if seen:
+            state.update((seen,) if value is None else (seen, total))
 
     return stream.groupBy(*keys).applyInPandasWithState(
         step, schema, state_schema, "append", GroupStateTimeout.NoTimeout)
@@ -107,116 +110,32 @@ def count_window_state(stream: DataFrame, keys: Sequence[str], order: Sequence[s
     state_schema = "seen long" if value is None else \
         f"seen long, tail array<{stream.schema[value].dataType.simpleString()}>"
 
+    zero = decimal.Decimal(0) if isinstance(out_type, T.DecimalType) else 0
+    kind = _np_type(out_type)
+
     def step(key, pdfs, state):
-        pdf = _ordered(pdfs, order)
-        if pdf.empty:
-            return
-        if state.exists:
-            seen = state.get[0]
-            tail = list(state.get[1]) if value is not None and state.get[1] is not None else []
-        else:
-            seen, tail = 0, []
-        pos = seen + np.arange(1, len(pdf) + 1, dtype="int64")
-        fire = pos % slide == 0
-        if value is None:
-            state.update((int(pos[-1]),))
+        seen, tail = (*state.get, None)[:2] if state.exists else (0, None)
+        tail = list(tail) if tail is not None else []
+        for pdf in _stretches(pdfs, order):
+            pos = seen + np.arange(1, len(pdf) + 1, dtype="int64")
+            seen, fire = int(pos[-1]), pos % slide == 0
+            if value is None:
+                if fire.any():
+                    yield pdf.loc[fire, keys + carry].assign(**{out: np.minimum(pos[fire], size)})
+                continue
+            vals = tail + [None if pd.isna(x) else x for x in pdf[value].tolist()]
             if fire.any():
-                yield pdf.loc[fire, keys + carry].assign(**{out: np.minimum(pos[fire], size)})
-            return
-        vals = tail + [None if pd.isna(x) else x for x in pdf[value].tolist()]
-        state.update((int(pos[-1]), vals[-(size - 1):] if size > 1 else []))
-        if not fire.any():
-            return
-        # Every window is summed from its own rows: one strided view over values padded in front.
-        zero = decimal.Decimal(0) if isinstance(out_type, T.DecimalType) else 0
-        kind = _np_type(out_type)
-        padded = np.array([zero] * (size - 1) + [zero if x is None else x for x in vals], dtype=kind)
-        known = np.array([False] * (size - 1) + [x is not None for x in vals])
-        ends = len(tail) + np.flatnonzero(fire)          # a row's window starts here in the padded values
-        views = [np.lib.stride_tricks.sliding_window_view(x, size)[ends] for x in (padded, known)]
-        res = pdf.loc[fire, keys + carry].copy()
-        res[out] = pd.Series(views[0].sum(axis=1), index=res.index, dtype="object").where(views[1].any(axis=1), None)
-        yield res
+                # Every window is summed from its own rows: one strided view over values padded in front.
+                padded = np.array([zero] * (size - 1) + [zero if x is None else x for x in vals], dtype=kind)
+                known = np.array([False] * (size - 1) + [x is not None for x in vals])
+                ends = len(tail) + np.flatnonzero(fire)      # a row's window starts here in the padded values
+                views = [np.lib.stride_tricks.sliding_window_view(x, size)[ends] for x in (padded, known)]
+                res = pdf.loc[fire, keys + carry].copy()
+                res[out] = pd.Series(views[0].sum(axis=1), index=res.index, dtype="object").where(views[1].any(axis=1), None)
+                yield res
+            tail = vals[-(size - 1):] if size > 1 else []
+        if seen:
+            state.update((seen,) if value is None else (seen, tail))
 
     return stream.groupBy(*keys).applyInPandasWithState(
         step, schema, state_schema, "append", GroupStateTimeout.NoTimeout)
-
-
-def reconcile_state(app: DataFrame, third: DataFrame, keys: Sequence[str], tolerance: str | int,
-                    delay: str = "0 seconds", ts: str = "ts", id_col: str = "event_id") -> DataFrame:
-    """1:1 reconciliation with event-time timers, as the reference's keyed co-process.
-
-    Per key one pending row per side is kept.  A row pairs with the other
-    side's pending row when they are at most ``tolerance`` apart (MATCHED).
-    A pending row is reported missing when the watermark passes its time +
-    tolerance, when a newer row of its side replaces it, or when a row of the
-    other side arrives too late to ever pair with it.  Only the side whose
-    deadline passed alerts on a timeout; the other keeps waiting.
-    """
-    keys = list(keys)
-    tol_ms = to_micros(tolerance) // 1000
-    tagged = (app.select(*keys, F.col(id_col).alias("_id"), F.col(ts).alias("_ts"), F.lit(0).alias("_side"))
-              .unionByName(third.select(*keys, F.col(id_col).alias("_id"), F.col(ts).alias("_ts"),
-                                        F.lit(1).alias("_side")))
-              .withWatermark("_ts", delay)
-              .withColumn("_ms", F.unix_millis("_ts")))
-    key_fields = _fields(app, keys)
-    schema = T.StructType(key_fields + [
-        T.StructField("app_event_id", T.LongType()), T.StructField("app_ms", T.LongType()),
-        T.StructField("third_event_id", T.LongType()), T.StructField("third_ms", T.LongType()),
-        T.StructField("status", T.StringType())])
-    state_schema = "app_id long, app_ms long, third_id long, third_ms long"
-
-    def step(key, pdfs, state):
-        a_id, a_ms, b_id, b_ms = state.get if state.exists else (None, None, None, None)
-        out = []
-        k = list(key)
-        if state.hasTimedOut:
-            wm = state.getCurrentWatermarkMs()
-            if a_id is not None and a_ms + tol_ms < wm:
-                out.append(k + [a_id, a_ms, None, None, MISSING_THIRD])
-                a_id = a_ms = None
-            if b_id is not None and b_ms + tol_ms < wm:
-                out.append(k + [None, None, b_id, b_ms, MISSING_APP])
-                b_id = b_ms = None
-        else:
-            pdf = _ordered(pdfs, ["_ms", "_side", "_id"])
-            batch = [] if pdf.empty else zip(pdf["_id"].tolist(), pdf["_ms"].tolist(), pdf["_side"].tolist())
-            for rid, rms, side in batch:
-                if side == 0:
-                    if b_id is not None and abs(rms - b_ms) <= tol_ms:
-                        out.append(k + [rid, rms, b_id, b_ms, MATCHED])
-                        b_id = b_ms = None
-                        continue
-                    if b_id is not None and rms - b_ms > tol_ms:
-                        out.append(k + [None, None, b_id, b_ms, MISSING_APP])
-                        b_id = b_ms = None
-                    if a_id is not None:
-                        out.append(k + [a_id, a_ms, None, None, MISSING_THIRD])
-                    a_id, a_ms = rid, rms
-                else:
-                    if a_id is not None and abs(rms - a_ms) <= tol_ms:
-                        out.append(k + [a_id, a_ms, rid, rms, MATCHED])
-                        a_id = a_ms = None
-                        continue
-                    if a_id is not None and rms - a_ms > tol_ms:
-                        out.append(k + [a_id, a_ms, None, None, MISSING_THIRD])
-                        a_id = a_ms = None
-                    if b_id is not None:
-                        out.append(k + [None, None, b_id, b_ms, MISSING_APP])
-                    b_id, b_ms = rid, rms
-        if a_id is None and b_id is None:
-            if state.exists:
-                state.remove()
-        else:
-            state.update((a_id, a_ms, b_id, b_ms))
-            deadline = min(m + tol_ms for m in (a_ms, b_ms) if m is not None)
-            # Fires once the watermark is past the deadline: a partner at the
-            # deadline itself is still accepted.
-            state.setTimeoutTimestamp(max(deadline, state.getCurrentWatermarkMs()))
-        if out:
-            yield pd.DataFrame(out, columns=[f.name for f in schema.fields]).astype(
-                {"app_event_id": "Int64", "app_ms": "Int64", "third_event_id": "Int64", "third_ms": "Int64"})
-
-    return tagged.groupBy(*keys).applyInPandasWithState(
-        step, schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)

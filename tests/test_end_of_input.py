@@ -1,0 +1,125 @@
+"""Bounded streams that end close every window: the reference's literal inputs, and stream = batch for all windows."""
+import tempfile
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from clickflow import operators as op
+from clickflow import streaming as st
+from clickflow.schemas import DRIVER_EVENTS
+from clickflow.sources import app_side, end_folder, stream_events, stream_literal, third_side, without_end
+from conftest import SF001, rows
+from streamutil import run_to_memory, write_batches
+
+PAYMENT = "order_id string, channel string, ts timestamp"
+APP = [("order-1", "app", 1000), ("order-2", "app", 2000), ("order-3", "app", 3000)]
+THIRD = [("order-1", "third", 3000), ("order-2", "third", 4000), ("order-2", "third", 8000), ("order-6", "third", 5000)]
+
+
+def _ms(df, *cols):
+    return df.select(*[F.unix_millis(c).alias(c) if t == "timestamp" else F.col(c)
+                       for c, t in df.dtypes if not cols or c in cols])
+
+
+@pytest.fixture
+def payments(spark):
+    return stream_literal(spark, APP, PAYMENT), stream_literal(spark, THIRD, PAYMENT)
+
+
+def test_window_join_of_literal_streams(payments):
+    got = _ms(run_to_memory(st.stream_window_join(*payments, ["order_id"], "5 seconds", "0 seconds")),
+              "order_id", "app_ts", "third_ts")
+    assert rows(got) == [("order-1", 1000, 3000), ("order-2", 2000, 4000)]
+
+
+def test_window_cogroup_of_literal_streams(payments):
+    left, right = (p.withColumn("ms", F.unix_millis("ts")) for p in payments)
+    got = run_to_memory(st.stream_window_cogroup(left, right, ["order_id"], "10 seconds", "ms", "0 seconds"))
+    assert sorted((r.order_id, r.app_values, r.third_values) for r in got.collect()) == [
+        ("order-1", [1000], [3000]), ("order-2", [2000], [4000, 8000]), ("order-3", [3000], []), ("order-6", [], [5000])]
+    as_rows = run_to_memory(st.stream_window_cogroup_rows(left, right, ["order_id"], "10 seconds", "ms", "0 seconds"))
+    assert sorted((r.order_id, r.side, r["rank"], r.ms) for r in as_rows.collect()) == [
+        ("order-1", "app", 1, 1000), ("order-1", "third", 1, 3000), ("order-2", "app", 1, 2000),
+        ("order-2", "third", 1, 4000), ("order-2", "third", 2, 8000), ("order-3", "app", 1, 3000), ("order-6", "third", 1, 5000)]
+
+
+def test_interval_join_of_literal_streams(spark):
+    orders = [("Mary", "order-1", 5000), ("Alice", "order-2", 5000), ("Bob", "order-3", 20000), ("Alice", "order-4", 20000),
+              ("Cary", "order-5", 51000)]
+    acts = [("Bob", "读书", 2000), ("Alice", "看报", 3000), ("Alice", "数鸭子", 3500), ("Bob", "学画画", 2500),
+            ("Alice", "说哈哈哈", 36000), ("Bob", "说额呵呵呵", 30000), ("Bob", "看电视", 23000), ("Bob", "玩电脑", 33000)]
+    schema = "user string, item string, ts timestamp"
+    got = run_to_memory(st.stream_interval_join(stream_literal(spark, orders, schema), stream_literal(spark, acts, schema),
+                                                ["user"], "-5 seconds", "10 seconds", "0 seconds"))
+    assert sorted((r.third_item, r.app_item) for r in got.collect()) == sorted(
+        [("看报", "order-2"), ("数鸭子", "order-2"), ("看电视", "order-3"), ("说额呵呵呵", "order-3")])
+
+
+@pytest.mark.parametrize("one_to_one", [False, True])
+def test_reconciliation_of_literal_streams(spark, one_to_one):
+    third = [("order-3", "third", 10000), ("order-1", "third", 3000), ("order-2", "third", 4000), ("order-6", "third", 5000)]
+    a, b = (stream_literal(spark, r, PAYMENT).withColumn("event_id", F.unix_millis("ts")) for r in (APP, third))
+    out = (st.reconcile_state if one_to_one else st.stream_reconcile)(a, b, ["order_id"], "5 seconds")
+    assert sorted((r.order_id, r.status) for r in run_to_memory(out).collect()) == [
+        ("order-1", "MATCHED"), ("order-2", "MATCHED"), ("order-3", "MISSING_APP"), ("order-3", "MISSING_THIRD"),
+        ("order-6", "MISSING_APP")]
+
+
+def test_literal_rows_types_order_and_end(spark):
+    schema = "a long, b string, c double, t timestamp_ntz, ts timestamp, l array<int>"
+    given = [(i, None if i % 3 else f"s{i}", i / 2, 1000 * i, 1500 * i, [i]) for i in range(50)]
+    s = stream_literal(spark, given, schema)
+    assert s.isStreaming
+    got = run_to_memory(without_end(s)).select("a", "b", "c", F.timestamp_diff(
+        "MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), "t"), F.unix_millis("ts"), "l")
+    assert [tuple(r) for r in got.orderBy("a").collect()] == given
+    assert run_to_memory(s).count() == 51 and run_to_memory(stream_literal(spark, given, schema, ts=None)).count() == 50
+
+
+def test_a_literal_stream_goes_on_where_it_stopped(spark):
+    ckpt, out = tempfile.mkdtemp(prefix="cf-lit-ck-"), tempfile.mkdtemp(prefix="cf-lit-")
+    for n in (3, 3, 5):  # the same rows again, then two more
+        s = stream_literal(spark, [(i,) for i in range(n)], "a long", ts=None)
+        q = s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        assert q.exception() is None
+    assert sorted(r.a for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4]
+
+
+@pytest.fixture(scope="module")
+def ended(spark):
+    pdf = pd.read_parquet(f"{SF001}/events.parquet").sort_values(["ts", "event_id"], ignore_index=True)
+    pdf["ts"] = pdf["ts"].astype("datetime64[us]")
+    folder = write_batches(tempfile.mkdtemp(prefix="cf-all-"), [pdf.iloc[:400], pdf.iloc[400:]])
+    end_folder(spark, folder, DRIVER_EVENTS, rows=[{"event_type": "click"}, {"event_type": "purchase"}])
+    return lambda: stream_events(spark, folder, max_files=1), spark.read.parquet(f"{SF001}/events.parquet")
+
+
+def _check(got, want, *times):
+    got = got.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
+    assert rows(got) == rows(want.select(*got.columns))
+
+
+def test_two_streams_equal_batch_for_all_windows(ended):
+    s, b = ended
+    sides = app_side(s()), third_side(s())
+    batch = app_side(b), third_side(b)
+    user, window = ["user_id"], ("window_start", "window_end")
+    _check(run_to_memory(st.stream_window_join(*sides, user, "1 day", "0 seconds")), op.window_join(*batch, user, "1 day"),
+           *window, "app_ts", "third_ts")
+    _check(run_to_memory(st.stream_window_cogroup(*sides, user, "1 day", "event_id", "0 seconds")),
+           op.window_cogroup(*batch, user, "1 day", "event_id"), *window)
+    _check(run_to_memory(st.stream_interval_join(*sides, user, "-1 hour", "2 hours", "0 seconds")),
+           op.interval_join(*batch, user, "-1 hour", "2 hours"), "app_ts", "third_ts")
+    _check(run_to_memory(st.stream_reconcile(*sides, user, "1 hour")), op.reconcile(*batch, user, "1 hour"),
+           "app_ts", "third_ts")
+
+
+def test_single_streams_equal_batch_for_all_windows(ended):
+    s, b = ended
+    _check(run_to_memory(st.stream_sliding_counts(s(), "2 hours", "1 hour", ["event_type"], "0 seconds")),
+           op.sliding_counts(b, "2 hours", "1 hour", ["event_type"]), "window_start", "window_end")
+    _check(run_to_memory(st.stream_session_counts(s(), "2 hours", ["user_id"], "0 seconds")),
+           op.session_counts(b, "2 hours", ["user_id"], tiebreak=["event_id"]), "session_start", "session_end")
+    assert run_to_memory(without_end(s())).count() == b.count()
