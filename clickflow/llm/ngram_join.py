@@ -23,10 +23,13 @@ are one group; groups over ``BLOCK`` members are cut into pairs of blocks.
 Within a group pairs are compared by length and by parity bitmaps: where the
 bitmaps differ in more places than linked sets of these sizes can, the pair
 cannot link.  What is left is verified on the full sets.  Members of one
-component need no more comparison, so each round tries a few of a node's best
-partners outside its component, the last round all that are left, and links
-are contracted to components in between.  No link between components is
-missed and no group of copies is ever written out in pairs.
+component need no more comparison, so each of ``ROUNDS`` rounds tries a few of
+a node's best partners outside its component, and links are contracted to
+components in between.  Groups that held partners back and are not one
+component yet go on to a last step that ships the sets of members that may
+still link into the blocks: there all partners that are left are verified, and only links that join two components of the block are
+written, fewer than it has members.  No link between components is missed, and
+no group of copies, or of texts that nearly link, is ever written out in pairs.
 """
 from __future__ import annotations
 
@@ -46,7 +49,9 @@ PERCENT = 85                 # links: 100 * intersection >= PERCENT * union
 COUNTERS = 1 << 20
 CHUNK = 1 << 12              # counters that travel together
 BLOCK = 1_000                # members compared with each other at once
-PARTNERS = (3, 3, None)      # partners outside its component that a node tries in each round; None: all that are left
+ROUNDS = 2                   # rounds before what is left is verified inside the blocks
+PARTNERS = 3                 # partners outside its component that a node tries in a group in a round
+BLOCK_BYTES = 16 << 20       # sets that are compared with each other at once
 MEMBERS = 256                # sets verified against one set at once
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -429,6 +434,139 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return ones.groupBy("cx", "csalt", "cturn").cogroup(others.groupBy(*keys)).applyInArrow(run, "x bigint, y bigint")
 
 
+class _Forest:
+    """Union-find over the components of a block's members."""
+
+    def __init__(self, comp: np.ndarray):
+        _, self.of = np.unique(comp, return_inverse=True)
+        self.up = list(range(int(self.of.max()) + 1))
+
+    def find(self, member: int) -> int:
+        at = int(self.of[member])
+        while self.up[at] != at:
+            self.up[at] = self.up[self.up[at]]
+            at = self.up[at]
+        return at
+
+    def join(self, one: int, other: int) -> bool:
+        a, b = self.find(one), self.find(other)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _near(n, part, comp, raw: list[bytes], percent: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """For members in order of size: (member, [(differing bits, larger member)]) that may link, in other components."""
+    two = part.min() != part.max()
+    widths = np.array([len(r) for r in raw])
+    maps = {w: np.frombuffer(b"".join(r for r, v in zip(raw, widths) if v == w), np.uint8).reshape(-1, w)
+            for w in np.unique(widths)}
+    place = np.zeros(len(raw), np.int64)
+    for w in maps:
+        place[widths == w] = np.arange((widths == w).sum())
+    ends = np.searchsorted(n, n * 100 // percent, "right")
+    for i in range(len(n)):
+        js = np.arange(i + 1, ends[i])
+        js = js[comp[js] != comp[i]]
+        if two:
+            js = js[part[js] != part[i]]
+        mine, near = maps[widths[i]][place[i]][None, :], []
+        for w in np.unique(widths[js]):
+            some = js[widths[js] == w]
+            size = min(w, widths[i])
+            different = np.bitwise_count(_fold(maps[w][place[some]], size) ^ _fold(mine, size)).sum(axis=1, dtype=np.int64)
+            ok = may_link(n[i], n[some], different, percent)
+            near += zip(different[ok].tolist(), some[ok].tolist())
+        if near:
+            yield i, near
+
+
+def _forest_links(node, n, part, comp, raw: list[bytes], tokens: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between members of different components, each of which joins two components of the block."""
+    order = np.lexsort((node, n))
+    node, n, part, comp = node[order], n[order], part[order], comp[order]
+    raw, tokens = [raw[i] for i in order], [tokens[i] for i in order]
+    forest, out = _Forest(comp), []
+    for i, near in _near(n, part, comp, raw, percent):
+        for _, j in sorted(near):
+            if forest.find(i) == forest.find(j):
+                continue
+            common = len(np.intersect1d(tokens[i], tokens[j], assume_unique=True))
+            if 100 * common >= percent * (int(n[i]) + int(n[j]) - common) and forest.join(i, j):
+                out.append((int(node[i]), int(node[j])))
+    return out
+
+
+def _undecided(members: DataFrame, percent: int) -> DataFrame:
+    """(group, a, b, node): the members that may link with one of another component, by the bitmaps alone."""
+    keys = ["group", "a", "b"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, keys):
+            order = np.lexsort((table.column("node").to_numpy(), table.column("n").to_numpy()))
+            n, part, comp = (table.column(c).to_numpy()[order] for c in ("n", "part", "comp"))
+            bits = table.column("bits").to_pylist()
+            open_ = np.zeros(len(order), bool)
+            for i, near in _near(n, part, comp, [bits[k] for k in order], percent):
+                open_[i] = True
+                open_[[j for _, j in near]] = True
+            if open_.any():
+                yield table.select([*keys, "node"]).take(pa.array(order[open_])).combine_chunks().to_batches()[0]
+
+    rows = members.select(*keys, "node", "n", "part", "comp", "bits").repartition(*keys).sortWithinPartitions(*keys)
+    return rows.mapInArrow(run, "group bigint, a int, b int, node bigint")
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of one group at a time, from rows sorted by ``keys``."""
+    held: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        values = [held.column(c).to_numpy() for c in keys]
+        borders = np.flatnonzero(np.logical_or.reduce([v[1:] != v[:-1] for v in values])) + 1
+        at = 0
+        for border in borders.tolist():
+            yield held.slice(at, border - at)
+            at = border
+        held = held.slice(at)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(x, y): links between components, found with the sets of a block side by side.
+
+    Blocks whose sets take more than ``BLOCK_BYTES`` are cut once more into
+    all pairs of smaller ones, so what a task holds at once stays bounded.
+    A node without a set has no partner in any group.
+    """
+    block, cut = ["group", "a", "b"], ["group", "a", "b", "s", "t"]
+    held = members.join(sets, "node")
+    parts = F.ceil(F.sum(F.col("n") * 8) / BLOCK_BYTES).cast("int").alias("parts")
+    sized = held.join(held.groupBy(*block).agg(parts), block)
+    sub = F.pmod(F.xxhash64("node", F.lit(1)), "parts").cast("int")
+    rows = sized.withColumns({"sub": sub, "other": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
+    first = F.when(F.col("a") == F.col("b"), F.least("sub", "other")).when(F.col("part") == F.col("a"), F.col("sub")).otherwise(
+        F.col("other"))
+    second = F.when(F.col("a") == F.col("b"), F.greatest("sub", "other")).when(
+        F.col("part") == F.col("a"), F.col("other")).otherwise(F.col("sub"))
+    side = F.when(F.col("a") == F.col("b"), F.col("sub")).otherwise(F.col("part"))
+    dealt = rows.select(*block, first.alias("s"), second.alias("t"), "node", "n", side.alias("side"), "comp", "bits", "tokens")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, cut):
+            columns = [table.column(c).to_numpy() for c in ("node", "n", "side", "comp")]
+            sets_ = [np.frombuffer(t.as_buffer(), np.uint64) for t in table.column("tokens")]
+            links = _forest_links(*columns, table.column("bits").to_pylist(), sets_, percent)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=["x", "y"])
+
+    placed = dealt.repartition(*cut).sortWithinPartitions(*cut)
+    return placed.mapInArrow(run, "x bigint, y bigint").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for the nodes of ``edges`` (x, y); root is the smallest node of the component.
 
@@ -454,6 +592,28 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _with_components(members: DataFrame, comps: DataFrame | None) -> DataFrame:
+    if comps is None:
+        return members.withColumn("comp", F.col("node"))
+    return members.join(comps, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+
+
+def _contracted(comps: DataFrame | None, links: DataFrame, name: str) -> DataFrame | None:
+    """``comps`` (node, root) with the components that ``links`` join made one."""
+    if links.isEmpty():
+        return comps
+    if comps is None:
+        return materialize(components(links), name)
+    # Components of components.
+    of = comps.select(F.col("node").alias("at"), F.col("root").alias("to"))
+    edges = (links.join(of, F.col("x") == F.col("at"), "left").select(F.coalesce("to", "x").alias("x"), "y")
+             .join(of, F.col("y") == F.col("at"), "left").select("x", F.coalesce("to", "y").alias("y")))
+    merged = components(edges)
+    renamed = merged.select(F.col("node").alias("was"), F.col("root").alias("now"))
+    older = comps.join(renamed, F.col("root") == F.col("was"), "left").select("node", F.coalesce("now", "root").alias("root"))
+    return materialize(older.union(merged).groupBy("node").agg(F.min("root").alias("root")), name)
+
+
 def link_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text", k: int = WORDS,
                    percent: int = PERCENT) -> DataFrame:
     """Per row: ``doc``, text_hash, n_shingles, node (names equal sets; null if empty), component_id.
@@ -478,14 +638,9 @@ def _linked(docs: DataFrame, doc: str, text: str, k: int, percent: int) -> DataF
     nodes = materialize(groups.select("node").distinct()
                         .join(named.select("node", "n", "bits").dropDuplicates(["node"]), "node"), "nodes")
 
-    comps, sets = None, None
-    for turn, partners in enumerate(PARTNERS):
-        members = groups.join(nodes, "node")
-        if comps is None:
-            members = members.withColumn("comp", F.col("node"))
-        else:
-            members = members.join(comps, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-        found = materialize(_candidates(members, percent, partners), f"pairs-{turn}")
+    comps, sets, cut = None, None, False
+    for turn in range(ROUNDS):
+        found = materialize(_candidates(_with_components(groups.join(nodes, "node"), comps), percent, PARTNERS), f"pairs-{turn}")
         pairs, held = found.where("x is not null").select("x", "y"), found.where("x is null")
         cut = not held.isEmpty()
         # All pairs of the other groups are named: only groups that held some back are looked at again.
@@ -498,24 +653,19 @@ def _linked(docs: DataFrame, doc: str, text: str, k: int, percent: int) -> DataF
             sets = materialize(_sets(slim.where("text is not null"), named.select("node", "doc", "text_hash"), paired, k),
                                "sets")
         links = materialize(_verified(pairs, sets, percent), f"links-{turn}")
-        if links.isEmpty():
-            if cut:
-                continue
-            break
-        if comps is None:
-            edges = links
-        else:  # components of components
-            of = comps.select(F.col("node").alias("at"), F.col("root").alias("to"))
-            edges = (links.join(of, F.col("x") == F.col("at"), "left").select(F.coalesce("to", "x").alias("x"), "y")
-                     .join(of, F.col("y") == F.col("at"), "left").select("x", F.coalesce("to", "y").alias("y")))
-        merged = components(edges)
-        if comps is not None:
-            renamed = merged.select(F.col("node").alias("was"), F.col("root").alias("now"))
-            older = comps.join(renamed, F.col("root") == F.col("was"), "left").select("node", F.coalesce("now", "root").alias("root"))
-            merged = older.union(merged).groupBy("node").agg(F.min("root").alias("root"))
-        comps = materialize(merged, f"components-{turn}")
+        comps = _contracted(comps, links, f"components-{turn}")
         if not cut:
             break
+    if cut:
+        # Blocks that are one component by now, and members that the bitmaps rule out, need no sets.
+        block = ["group", "a", "b"]
+        members = _with_components(groups.join(nodes, "node"), comps)
+        mixed = members.groupBy(*block).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+        members = materialize(members.join(mixed.select(*block), block, "left_semi"), "mixed")
+        left = materialize(_undecided(members, percent), "undecided")
+        members = members.join(left, [*block, "node"], "left_semi")
+        links = materialize(_block_links(members, sets, percent), "links-blocks")
+        comps = _contracted(comps, links, "components-blocks")
 
     smallest = named.groupBy("node").agg(F.min("doc").alias("first"))
     if comps is not None:

@@ -65,6 +65,8 @@ def test_against_all_pairs(spark, monkeypatch, frequent):
         monkeypatch.setattr(nj, "frequent_table", lambda s: np.full(nj.COUNTERS // 8, table, np.uint8))
         monkeypatch.setattr(nj, "BLOCK", 5)
         monkeypatch.setattr(nj, "MEMBERS", 3)
+        monkeypatch.setattr(nj, "BLOCK_BYTES", 2_000)
+        monkeypatch.setattr(nj, "PARTNERS", 1)
     df = spark.createDataFrame([(a, b, 1, 2, "s") for a, b in docs], "doc_id long, text string, node int, n int, sig string")
     got = nj.link_documents(df.repartition(4)).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, got), key=repr) == naive(docs, 4, 85)
@@ -123,6 +125,70 @@ def test_bitmaps_never_exceed_the_difference():
         assert different <= len(np.setxor1d(x, y))
 
 
+def _members(rng, size, length, spread):
+    """Sets near one base, as a block holds them."""
+    base = rng.integers(0, 2**63, length, dtype=np.uint64)
+    tokens = []
+    for _ in range(size):
+        lost = rng.integers(0, spread + 1)
+        tokens.append(np.unique(np.concatenate([rng.permutation(base)[lost:], rng.integers(0, 2**63, lost, dtype=np.uint64)])))
+    n = np.array([len(t) for t in tokens])
+    raw = [nj.parity_bitmap(t, nj.bitmap_bits(len(t), 85)) for t in tokens]
+    return np.arange(size) * 10, n, np.zeros(size, np.int32), np.arange(size), raw, tokens
+
+
+def test_forest_links_join_what_links_and_no_more():
+    rng = np.random.default_rng(4)
+    for spread in (4, 12, 16, 30):
+        node, n, part, comp, raw, tokens = _members(rng, 60, 150, spread)
+        part, comp = rng.integers(0, 2, 60).astype(np.int32), comp // 3
+        root = {int(c): int(c) for c in comp}
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+        links = [(i, j) for i in range(60) for j in range(i) if part[i] != part[j] and 100 * len(np.intersect1d(
+            tokens[i], tokens[j])) >= 85 * len(np.union1d(tokens[i], tokens[j]))]
+        for i, j in links:
+            root[find(int(comp[i]))] = find(int(comp[j]))
+        want = len(set(comp.tolist())) - len({find(c) for c in root})
+        got = nj._forest_links(node, n, part, comp, raw, tokens, 85)
+        assert len(got) == want                              # as many as components that vanish
+        assert {frozenset(x) for x in got} <= {frozenset((i * 10, j * 10)) for i, j in links}
+
+
+def test_rows_of_a_block_do_not_grow_with_its_pairs():
+    rng = np.random.default_rng(5)
+    for size in (150, 300, 600):
+        assert len(nj._forest_links(*_members(rng, size, 150, 8), 85)) <= size - 1       # nearly all link
+        assert len(nj._forest_links(*_members(rng, size, 150, 0)[:3], np.zeros(size, np.int64), *_members(rng, size, 150, 0)[4:], 85)) == 0
+    node, n, part, comp, raw, tokens = _members(rng, 600, 150, 0)
+    apart = [np.unique(np.concatenate([t[:100], rng.integers(0, 2**63, 50, dtype=np.uint64)])) for t in tokens]
+    raw = [b"\0" * 64] * len(raw)                             # bitmaps that rule nothing out
+    assert nj._forest_links(node, np.array([len(t) for t in apart]), part, comp, raw, apart, 85) == []
+
+
+@pytest.mark.parametrize("size", [60, 240])
+def test_pairs_of_near_copies_grow_in_step(spark, monkeypatch, size):
+    """Copies around one text, at the border of linking: rows of pairs and links over all rounds."""
+    rng, made = random.Random(size), []
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(150)]
+    docs = [(i, " ".join(f"x{rng.randint(0, 10**6)}" if rng.random() < 0.02 else w for w in base)) for i in range(size)]
+    plain = nj.materialize
+
+    def counting(df, name):
+        out = plain(df, name)
+        if name.startswith(("pairs", "links-blocks")):
+            made.append(out.count())
+        return out
+    monkeypatch.setattr(nj, "materialize", counting)
+    got = nj.link_documents(spark.createDataFrame(docs, "doc_id long, text string")).select(
+        "doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=repr) == naive(docs, 4, 85)
+    assert sum(made) < 12 * size
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 60)] + \
