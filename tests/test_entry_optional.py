@@ -31,3 +31,13 @@ def test_other_import_errors_are_raised(tmp_path):
     (tmp_path / "corpus_pipeline.py").write_text("import no_such_module_here\n")
     done = _run(tmp_path)
     assert done.returncode != 0 and "no_such_module_here" in done.stderr
+
+
+def test_without_a_package_of_the_subpackage(tmp_path):
+    from clickflow.plans import QUERIES
+    _copy(tmp_path)
+    (tmp_path / "corpus_pipeline.py").write_text(
+        "raise ModuleNotFoundError(\"No module named 'ahocorasick'\", name='ahocorasick')\n")
+    done = _run(tmp_path)
+    assert done.returncode == 0 and "ahocorasick" in done.stderr
+    assert int(done.stdout.split()[-2]) == len(QUERIES)
