@@ -19,17 +19,20 @@ token of every document adds to; a counter never falls short of a token's
 true count, so a rare token's group is bounded by the threshold.
 
 Documents with equal sets are one node.  Index entries with the same members
-are one group; groups over ``BLOCK`` members are cut into pairs of blocks.
-Within a group pairs are compared by length and by parity bitmaps: where the
-bitmaps differ in more places than linked sets of these sizes can, the pair
-cannot link.  What is left is verified on the full sets.  Members of one
-component need no more comparison, so each of ``ROUNDS`` rounds tries a few of
-a node's best partners outside its component, and links are contracted to
-components in between.  Groups that held partners back and are not one
-component yet go on to a last step that ships the sets of members that may
-still link into the blocks: there all partners that are left are verified, and only links that join two components of the block are
-written, fewer than it has members.  No link between components is missed, and
-no group of copies, or of texts that nearly link, is ever written out in pairs.
+are one group, dealt into blocks of about ``BLOCK`` members by hash.  Within a
+block pairs are compared by length and by parity bitmaps: where the bitmaps
+differ in more places than linked sets of these sizes can, the pair cannot
+link.  Of the pairs that may, a block names a spanning forest, the nearest
+first, so fewer than it has members; these are verified on the full sets and
+contracted to components.  That joins nearly all of a group of near copies.
+
+What may still link goes on to a last step: the blocks that left pairs out and
+the pairs of blocks of larger groups, both only where they are not one
+component by then.  It ships the sets of members that may still link into the
+blocks: there all partners that are left are verified, and only links that
+join two components of the block are written, fewer than it has members.  No
+link between components is missed, and no group of copies, or of texts that
+nearly link, is ever written out in pairs.
 """
 from __future__ import annotations
 
@@ -49,8 +52,7 @@ PERCENT = 85                 # links: 100 * intersection >= PERCENT * union
 COUNTERS = 1 << 20
 CHUNK = 1 << 12              # counters that travel together
 BLOCK = 1_000                # members compared with each other at once
-ROUNDS = 2                   # rounds before what is left is verified inside the blocks
-PARTNERS = 3                 # partners outside its component that a node tries in a group in a round
+PARTNERS = 3                 # blocks in which a node has no more partners name all pairs, larger ones a spanning forest
 BLOCK_BYTES = 16 << 20       # sets that are compared with each other at once
 MEMBERS = 256                # sets verified against one set at once
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -255,12 +257,10 @@ def _groups(postings: DataFrame) -> DataFrame:
     return single.select(*cols).union(both.select(*cols)).dropDuplicates(["group", "node"])
 
 
-def _blocked(groups: DataFrame) -> DataFrame:
-    """(group, a, b, node, part): groups over BLOCK members as all pairs of blocks a <= b."""
+def _dealt(groups: DataFrame) -> DataFrame:
+    """(group, node, part, parts): groups over BLOCK members dealt into blocks by hash."""
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), parts).cast("int")
-    rows = groups.withColumns({"part": own, "other": F.explode(F.sequence(F.lit(0), parts - 1))})
-    return rows.select("group", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "node", "part")
+    return groups.select("group", "node", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"), parts.alias("parts"))
 
 
 def _fold(bits: np.ndarray, size: int) -> np.ndarray:
@@ -279,109 +279,109 @@ def _differences(x: bytes, y: bytes) -> int:
     return (int.from_bytes(x) ^ int.from_bytes(y)).bit_count()
 
 
-def _partners(node, n, part, comp, raw, percent: int, partners: int | None):
-    """(x, y) pairs of one group and whether some were held back: for each member its best partners that may link and are in other components.
-
-    Smaller and larger partners count alike, so every member that has a
-    partner at all is named; without a limit each pair is named once.
-    """
-    order = np.lexsort((node, n))
-    node, n, part, comp = node[order], n[order], part[order], comp[order]
-    raw = [raw[i] for i in order]
-    two = part.min() != part.max()
+def _comparer(raw: list[bytes]):
+    """A function (i, js): places in which the bitmap of i differs from those of the members js, the wider ones folded."""
     widths = np.array([len(r) for r in raw])
     maps = {w: np.frombuffer(b"".join(r for r, v in zip(raw, widths) if v == w), np.uint8).reshape(-1, w)
             for w in np.unique(widths)}
     place = np.zeros(len(raw), np.int64)
     for w in maps:
         place[widths == w] = np.arange((widths == w).sum())
+
+    def differ(i: int, js: np.ndarray) -> np.ndarray:
+        mine, out = maps[widths[i]][place[i]][None, :], np.zeros(len(js), np.int64)
+        for w in np.unique(widths[js]):
+            some = widths[js] == w
+            size = min(w, widths[i])
+            out[some] = np.bitwise_count(_fold(maps[w][place[js[some]]], size) ^ _fold(mine, size)).sum(axis=1, dtype=np.int64)
+        return out
+    return differ
+
+
+def _nearest_forest(node, n, raw: list[bytes], percent: int) -> tuple[list[tuple[int, int]], bool]:
+    """Pairs of one block that may link, a spanning forest of the nearest ones, and whether other pairs may link too.
+
+    Each tree grows by the member nearest to any of its own, so every member
+    that has a partner at all is named.
+    """
+    order = np.lexsort((node, n))
+    node, n, differ = node[order], n[order], _comparer([raw[i] for i in order])
     # Sizes that can link with a member's are one stretch of the members in order of size.
     ends = np.searchsorted(n, n * 100 // percent, "right")
     begins = np.searchsorted(n, -(-n * percent // 100), "left")
-    xs, ys, cut = [], [], False
-    for i in range(len(node)):
-        js = np.arange(begins[i] if partners else i + 1, ends[i])
-        js = js[comp[js] != comp[i]]
-        if two:
-            js = js[part[js] != part[i]]
+    outside, score, to = np.ones(len(n), bool), np.full(len(n), np.inf), np.zeros(len(n), np.int64)
+    out, near = [], 0
+    for _ in range(len(n)):
+        i = int(score.argmin())
+        if np.isfinite(score[i]):
+            out.append((int(node[i]), int(node[to[i]])))
+        else:
+            i = int(outside.argmax())  # a new tree
+        outside[i], score[i] = False, np.inf
+        js = np.arange(begins[i], ends[i])
+        js = js[outside[js]]
         if not len(js):
             continue
-        best, score = [], []
-        mine = maps[widths[i]][place[i]][None, :]
-        for w in np.unique(widths[js]):
-            some = js[widths[js] == w]
-            size = min(w, widths[i])
-            different = np.bitwise_count(_fold(maps[w][place[some]], size) ^ _fold(mine, size)).sum(axis=1, dtype=np.int64)
-            ok = may_link(n[i], n[some], different, percent)
-            best.append(some[ok])
-            score.append(different[ok] / (n[i] + n[some][ok]))
-        best, score = np.concatenate(best), np.concatenate(score)
-        best = best[np.lexsort((node[best], score))]
-        if partners is not None:
-            cut |= len(best) > partners
-            best = best[:partners]
-        xs.append(np.full(len(best), node[i]))
-        ys.append(node[best])
-    x = np.concatenate([np.zeros(0, np.int64), *xs])
-    y = np.concatenate([np.zeros(0, np.int64), *ys])
-    return np.minimum(x, y), np.maximum(x, y), cut
-
-
-def _candidates(members: DataFrame, percent: int, partners: int | None) -> DataFrame:
-    """(x, y): pairs in a group that may link and are in different components; and, with null x and y, the
-    (group, a, b) in which some were held back.
-
-    Groups, blocked to 2 * BLOCK members, stand one after the other in a
-    partition and are taken from the stream one by one.
+        different = differ(i, js)
+        ok = may_link(n[i], n[js], different, percent)
+        js, distance = js[ok], different[ok] / (n[i] + n[js[ok]])
+        near += len(js)
+        closer = distance < score[js]
+        score[js[closer]], to[js[closer]] = distance[closer], i
+    return out, near > len(out)
+
+
+def _candidates(members: DataFrame, percent: int) -> DataFrame:
+    """(x, y): in each block a spanning forest of the pairs that may link; and, with null x and y, the (group, part)
+    in which other pairs may link too.
+
+    Blocks stand one after the other in a partition and are taken from the
+    stream one by one.
     """
-    names = ["group", "a", "b", "node", "n", "part", "comp", "bits"]
+    names, keys = ["group", "part", "node", "n", "bits"], ["group", "part"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
         def done(table: pa.Table) -> pa.RecordBatch:
-            keys = np.stack([table.column(c).to_numpy() for c in names[:3]])
-            node, n, part, comp = (table.column(c).to_numpy() for c in names[3:7])
+            group, part, node, n = (table.column(c).to_numpy() for c in names[:4])
             raw = table.column("bits").to_pylist()
-            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), len(node)]
-            out: list[tuple] = [(np.zeros(0, np.int64),) * 2]
+            cuts = [0, *(np.flatnonzero((group[1:] != group[:-1]) | (part[1:] != part[:-1])) + 1).tolist(), len(node)]
             back: list[int] = []
             pairs: list[tuple[int, int]] = []
             for i, j in zip(cuts, cuts[1:]):
-                if j - i == 2:
-                    u, v = int(n[i]), int(n[i + 1])
-                    if comp[i] != comp[i + 1] and may_link(u, v, abs(u - v), percent) and may_link(
-                            u, v, _differences(raw[i], raw[i + 1]), percent):
-                        pairs.append((node[i], node[i + 1]))
-                elif j - i > 2:
-                    x, y, cut = _partners(node[i:j], n[i:j], part[i:j], comp[i:j], raw[i:j], percent, partners)
-                    out.append((x, y))
-                    back += [i] * cut
-            if pairs:
-                two = np.array(pairs, dtype=np.int64)
-                out.append((two.min(axis=1), two.max(axis=1)))
-            x, y = np.unique(np.stack([np.concatenate(c) for c in zip(*out)]), axis=1)
+                if j - i > PARTNERS + 1:
+                    some, left = _nearest_forest(node[i:j], n[i:j], raw[i:j], percent)
+                    pairs += some
+                    back += [i] * left
+                    continue
+                for p in range(i, j):
+                    for q in range(p + 1, j):
+                        u, v = int(n[p]), int(n[q])
+                        if may_link(u, v, abs(u - v), percent) and may_link(u, v, _differences(raw[p], raw[q]), percent):
+                            pairs.append((node[p], node[q]))
+            two = np.array(pairs, dtype=np.int64).reshape(-1, 2)
+            x, y = np.unique(np.stack([two.min(axis=1), two.max(axis=1)]), axis=1)
             none, nothing = pa.nulls(len(back)), pa.nulls(len(x))
             columns = [pa.concat_arrays([pa.array(c), none.cast(pa.int64())]) for c in (x, y)]
-            columns += [pa.concat_arrays([nothing.cast(k), pa.array(keys[c][back], k)])
-                        for c, k in enumerate((pa.int64(), pa.int32(), pa.int32()))]
-            return pa.RecordBatch.from_arrays(columns, names=["x", "y", *names[:3]])
+            columns += [pa.concat_arrays([nothing.cast(k), pa.array(c[back], k)])
+                        for c, k in ((group, pa.int64()), (part, pa.int32()))]
+            return pa.RecordBatch.from_arrays(columns, names=["x", "y", *keys])
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            last = [held.column(c)[-1].as_py() for c in names[:3]]
-            same = np.logical_and.reduce([held.column(c).to_numpy() == x for c, x in zip(names, last)])
-            whole = len(same) - int(same[::-1].argmin()) if not same.all() else 0  # the last group may go on
+            last = [held.column(c)[-1].as_py() for c in keys]
+            same = np.logical_and.reduce([held.column(c).to_numpy() == x for c, x in zip(keys, last)])
+            whole = len(same) - int(same[::-1].argmin()) if not same.all() else 0  # the last block may go on
             if whole:
                 yield done(held.slice(0, whole))
                 held = held.slice(whole)
         if held is not None and held.num_rows:
             yield done(held)
 
-    keys = names[:3]
     rows = members.select(*names).repartition(*keys).sortWithinPartitions(*keys)
-    return rows.mapInArrow(run, "x bigint, y bigint, group bigint, a int, b int").distinct()
+    return rows.mapInArrow(run, "x bigint, y bigint, group bigint, part int").distinct()
 
 
 def _sets(docs: DataFrame, named: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
@@ -456,28 +456,19 @@ class _Forest:
 
 def _near(n, part, comp, raw: list[bytes], percent: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
     """For members in order of size: (member, [(differing bits, larger member)]) that may link, in other components."""
-    two = part.min() != part.max()
-    widths = np.array([len(r) for r in raw])
-    maps = {w: np.frombuffer(b"".join(r for r, v in zip(raw, widths) if v == w), np.uint8).reshape(-1, w)
-            for w in np.unique(widths)}
-    place = np.zeros(len(raw), np.int64)
-    for w in maps:
-        place[widths == w] = np.arange((widths == w).sum())
+    two, differ = part.min() != part.max(), _comparer(raw)
     ends = np.searchsorted(n, n * 100 // percent, "right")
     for i in range(len(n)):
         js = np.arange(i + 1, ends[i])
         js = js[comp[js] != comp[i]]
         if two:
             js = js[part[js] != part[i]]
-        mine, near = maps[widths[i]][place[i]][None, :], []
-        for w in np.unique(widths[js]):
-            some = js[widths[js] == w]
-            size = min(w, widths[i])
-            different = np.bitwise_count(_fold(maps[w][place[some]], size) ^ _fold(mine, size)).sum(axis=1, dtype=np.int64)
-            ok = may_link(n[i], n[some], different, percent)
-            near += zip(different[ok].tolist(), some[ok].tolist())
-        if near:
-            yield i, near
+        if not len(js):
+            continue
+        different = differ(i, js)
+        ok = may_link(n[i], n[js], different, percent)
+        if ok.any():
+            yield i, list(zip(different[ok].tolist(), js[ok].tolist()))
 
 
 def _forest_links(node, n, part, comp, raw: list[bytes], tokens: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -540,7 +531,6 @@ def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
     Blocks whose sets take more than ``BLOCK_BYTES`` are cut once more into
     all pairs of smaller ones, so what a task holds at once stays bounded.
-    A node without a set has no partner in any group.
     """
     block, cut = ["group", "a", "b"], ["group", "a", "b", "s", "t"]
     held = members.join(sets, "node")
@@ -592,10 +582,25 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def _with_components(members: DataFrame, comps: DataFrame | None) -> DataFrame:
-    if comps is None:
-        return members.withColumn("comp", F.col("node"))
-    return members.join(comps, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+def _open_blocks(groups: DataFrame, comps: DataFrame | None, held: DataFrame) -> DataFrame:
+    """(group, a, b, node, part, comp): blocks (a = b) that left pairs out and pairs of blocks a < b of one group,
+    where these are not one component."""
+    rows = groups.withColumn("comp", F.col("node"))
+    if comps is not None:
+        rows = groups.join(comps, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    apart = (F.min("comp") < F.max("comp")).alias("apart")
+    # Rows meet by block; only the blocks' own smallest and largest components meet by group.
+    spans = materialize(rows.groupBy("group", "part").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")), "spans")
+    mixed = spans.groupBy("group").agg((F.min("lo") < F.max("hi")).alias("apart")).where("apart").select("group")
+    rows = materialize(rows.join(spans.join(mixed, "group", "left_semi"), ["group", "part"], "left_semi"), "mixed")
+    own = rows.join(held, ["group", "part"], "left_semi").withColumn("other", F.col("part"))
+    across = rows.where("parts > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    blocks = own.select("group", "node", "part", "other", "comp").union(
+        across.where("other <> part").select("group", "node", "part", "other", "comp"))
+    blocks = blocks.select("group", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"),
+                           "node", "part", "comp")
+    block = ["group", "a", "b"]
+    return blocks.join(blocks.groupBy(*block).agg(apart).where("apart").select(*block), block, "left_semi")
 
 
 def _contracted(comps: DataFrame | None, links: DataFrame, name: str) -> DataFrame | None:
@@ -633,39 +638,33 @@ def _linked(docs: DataFrame, doc: str, text: str, k: int, percent: int) -> DataF
     scanned = materialize(_scan(slim, k, percent), "scanned")
     rows = scanned.where("chunk is null").drop("chunk", "counts")
     frequent = frequent_table(scanned)
-    groups = materialize(_blocked(_groups(_postings(slim, frequent, k, percent))), "groups")
+    groups = materialize(_dealt(_groups(_postings(slim, frequent, k, percent))), "groups")
     named = rows.where("node is not null")
     nodes = materialize(groups.select("node").distinct()
                         .join(named.select("node", "n", "bits").dropDuplicates(["node"]), "node"), "nodes")
 
-    comps, sets, cut = None, None, False
-    for turn in range(ROUNDS):
-        found = materialize(_candidates(_with_components(groups.join(nodes, "node"), comps), percent, PARTNERS), f"pairs-{turn}")
-        pairs, held = found.where("x is not null").select("x", "y"), found.where("x is null")
-        cut = not held.isEmpty()
-        # All pairs of the other groups are named: only groups that held some back are looked at again.
-        groups = groups.join(held.select("group", "a", "b"), ["group", "a", "b"], "left_semi")
-        if pairs.isEmpty():
-            break
-        if sets is None:
-            # Every node that has a partner at all has one in the first round.
-            paired = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
-            sets = materialize(_sets(slim.where("text is not null"), named.select("node", "doc", "text_hash"), paired, k),
-                               "sets")
-        links = materialize(_verified(pairs, sets, percent), f"links-{turn}")
-        comps = _contracted(comps, links, f"components-{turn}")
-        if not cut:
-            break
-    if cut:
+    texts, named_ids = slim.where("text is not null"), named.select("node", "doc", "text_hash")
+    found = materialize(_candidates(groups.join(nodes, "node"), percent), "pairs")
+    pairs, held = found.where("x is not null").select("x", "y"), found.where("x is null").select("group", "part")
+    comps, sets = None, None
+    if not pairs.isEmpty():
+        paired = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
+        sets = materialize(_sets(texts, named_ids, paired, k), "sets")
+        comps = _contracted(None, materialize(_verified(pairs, sets, percent), "links"), "components")
+    if not held.isEmpty() or not groups.where("parts > 1").isEmpty():
         # Blocks that are one component by now, and members that the bitmaps rule out, need no sets.
-        block = ["group", "a", "b"]
-        members = _with_components(groups.join(nodes, "node"), comps)
-        mixed = members.groupBy(*block).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        members = materialize(members.join(mixed.select(*block), block, "left_semi"), "mixed")
+        members = materialize(_open_blocks(groups, comps, held).join(nodes, "node"), "open")
         left = materialize(_undecided(members, percent), "undecided")
-        members = members.join(left, [*block, "node"], "left_semi")
-        links = materialize(_block_links(members, sets, percent), "links-blocks")
-        comps = _contracted(comps, links, "components-blocks")
+        if not left.isEmpty():
+            fresh = left.select("node").distinct()
+            if sets is not None:
+                fresh = fresh.join(sets.select("node"), "node", "left_anti")
+            if not fresh.isEmpty():  # partners in other blocks of a group only
+                more = materialize(_sets(texts, named_ids, fresh, k), "sets-blocks")
+                sets = more if sets is None else sets.union(more)
+            members = members.join(left, ["group", "a", "b", "node"], "left_semi")
+            links = materialize(_block_links(members, sets, percent), "links-blocks")
+            comps = _contracted(comps, links, "components-blocks")
 
     smallest = named.groupBy("node").agg(F.min("doc").alias("first"))
     if comps is not None:

@@ -189,6 +189,49 @@ def test_pairs_of_near_copies_grow_in_step(spark, monkeypatch, size):
     assert sum(made) < 12 * size
 
 
+@pytest.mark.parametrize("near", [0.01, 0.1])
+def test_pairs_of_a_group_of_many_blocks_grow_in_step(spark, monkeypatch, near):
+    """Near copies (0.01) and texts that share half of their words only (0.1): rows named for blocks of 15 of 60 and of 240 members."""
+    monkeypatch.setattr(nj, "BLOCK", 15)
+    monkeypatch.setattr(nj, "frequent_table", lambda s: np.full(nj.COUNTERS // 8, 255, np.uint8))
+    monkeypatch.setattr(nj, "bitmap_bits", lambda n, percent: 8)              # bitmaps that rule hardly anything out
+    made, plain = {}, nj.materialize
+
+    def counting(df, name):
+        out = plain(df, name)
+        if name.startswith(("pairs", "links-blocks")):
+            made[size] = made.get(size, 0) + out.count()
+        return out
+    monkeypatch.setattr(nj, "materialize", counting)
+    for size in (60, 240):
+        rng = random.Random(size)
+        docs = [(i, " ".join(f"x{rng.randint(0, 10**6)}" if rng.random() < near else f"w{j}" for j in range(60))) for i in range(size)]
+        got = nj.link_documents(spark.createDataFrame(docs, "doc_id long, text string")).select(
+            "doc_id", "n_shingles", "component_id").collect()
+        assert sorted(map(tuple, got), key=repr) == naive(docs, 4, 85)
+    assert made[240] < 8 * made[60]                                          # four times the members, sixteen times the pairs
+
+
+def test_nearest_forest_spans_what_may_link():
+    rng = np.random.default_rng(7)
+    for size, spread in ((5, 0), (40, 8), (40, 30), (60, 60)):
+        node, n, _, _, raw, _ = _members(rng, size, 150, spread)
+        some, left = nj._nearest_forest(node, n, raw, 85)
+        near = {frozenset((int(node[i]), int(node[j]))) for i in range(size) for j in range(i) if nj.may_link(
+            int(n[i]), int(n[j]), nj._differences(raw[i], raw[j]), 85)}
+        root = {int(x): int(x) for x in node}
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+        for x, y in some:
+            assert frozenset((x, y)) in near and find(x) != find(y)          # no cycle
+            root[find(x)] = find(y)
+        assert all(find(x) == find(y) for x, y in near)                      # whatever may link is in one tree
+        assert left == (len(near) > len(some))
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 60)] + \
