@@ -191,7 +191,7 @@ def test_pairs_of_near_copies_grow_in_step(spark, monkeypatch, size):
 
 @pytest.mark.parametrize("near", [0.01, 0.1])
 def test_pairs_of_a_group_of_many_blocks_grow_in_step(spark, monkeypatch, near):
-    """Near copies (0.01) and texts that share half of their words only (0.1): rows named for blocks of 15 of 60 and of 240 members."""
+    """Near copies (0.01) and texts of mostly the same words that do not link (0.1): rows for 60 and for 240 texts in blocks of 15."""
     monkeypatch.setattr(nj, "BLOCK", 15)
     monkeypatch.setattr(nj, "frequent_table", lambda s: np.full(nj.COUNTERS // 8, 255, np.uint8))
     monkeypatch.setattr(nj, "bitmap_bits", lambda n, percent: 8)              # bitmaps that rule hardly anything out
